@@ -22,6 +22,7 @@ def local_session(cores: int | str = "*", app: str = "claimwright", memory: str
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
     )
     for key, value in RECOMMENDED.items():

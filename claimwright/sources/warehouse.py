@@ -68,9 +68,16 @@ def copy_into(spark: SparkSession, name: str, path: str, fmt: str = "parquet", s
     rows.write.insertInto(name)
 
 
-def unload_query(spark: SparkSession, query: str, path: str, fmt: str = "parquet", parallel: bool = True) -> None:
+def unload_query(
+    spark: SparkSession,
+    query: str,
+    path: str,
+    fmt: str = "parquet",
+    parallel: bool = True,
+    tables: Mapping[str, DataFrame] | None = None,
+) -> None:
     """Write a query's result. ``parallel=False`` asks for a single file, for small results only."""
-    result = spark.sql(query)
+    result = run_sql(spark, query, tables)
     write_object_store(result if parallel else result.repartition(1), path, fmt)
 
 
