@@ -1,6 +1,6 @@
-from . import profiles, tables
+from . import features, models, profiles, tables
 
-PARTS = (tables, profiles)
+PARTS = (tables, profiles, features, models)
 
 
 def all_queries():
