@@ -1,40 +1,59 @@
 """Exact percentiles at any size.
 
 The built-in exact ``percentile`` keeps every distinct value of a column in one task. Here a
-bounded sketch brackets each wanted rank, counting passes narrow the bracket (each pass is one
-scan with a one-row shuffle), and only the values left inside it are ranked exactly. Copies of
-one value are counted, never listed, so a value that fills a third of the column costs nothing.
+bounded sketch brackets the wanted ranks, counting passes confirm and narrow the brackets (each
+is one scan with a one-row shuffle), and only the values left inside a bracket are ranked
+exactly. Copies of one value are counted, never listed, so a value that fills a third of the
+column costs nothing.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import columns as fx
 
+SKETCH_ACCURACY = 10_000
+LEAF_ROWS = 250_000  # most rows strictly inside a bracket that is ranked exactly
 
-@dataclass
-class _Rank:
-    """One wanted rank of one column and the bracket [low, high] known to hold it."""
 
-    column: str
+@dataclass(frozen=True)
+class Rank:
+    """Position ``first + fraction`` (zero-based) among the sorted values."""
+
     share: float
-    rank: int  # zero-based; rank + 1 is needed too when the position is fractional
+    first: int
     fraction: float
+
+    @property
+    def last(self) -> int:
+        return self.first + (1 if self.fraction > 0 else 0)
+
+
+@dataclass
+class Bracket:
+    """A closed value range of one column known to hold the listed ranks."""
+
+    column: str
     low: float
     high: float
-    below: int  # rows < low
+    below: int  # rows under low
     within: int  # rows in [low, high]
     strictly: int  # rows in (low, high)
-    slack: float
+    ranks: list[Rank] = field(default_factory=list)
+    slack: float = 3.0 / SKETCH_ACCURACY
 
     @property
-    def last_rank(self) -> int:
-        return self.rank + (1 if self.fraction > 0 else 0)
+    def is_small(self) -> bool:
+        return self.strictly <= LEAF_ROWS
+
+    def holds(self, rank: Rank) -> bool:
+        return self.below <= rank.first and rank.last < self.below + self.within
 
 
 def _number(name: str) -> Column:
@@ -42,69 +61,100 @@ def _number(name: str) -> Column:
     return F.nanvl(value, F.lit(None).cast("double"))
 
 
-def _narrow(df: DataFrame, open_ranks: list[_Rank], accuracy: int) -> list[_Rank]:
-    """One sketch pass and one counting pass; a bracket that misses its rank is kept wider."""
-    proposals = []
-    for i, r in enumerate(open_ranks):
-        value = _number(r.column)
-        inside = F.when((value >= r.low) & (value <= r.high), value)
-        at = (r.rank - r.below) / max(r.within - 1, 1)
-        ends = [min(max(at - r.slack, 0.0), 1.0), min(max(at + r.slack, 0.0), 1.0)]
-        proposals.append(F.percentile_approx(inside, ends, accuracy).alias(f"p{i}"))
-    found = df.agg(*proposals).first()
+def _inside(value: Column, bracket: Bracket) -> Column:
+    return (value >= bracket.low) & (value <= bracket.high)
+
+
+def _merge(proposed: list[Bracket]) -> list[Bracket]:
+    """Overlapping brackets of one column become one."""
+    merged: list[Bracket] = []
+    for b in sorted(proposed, key=lambda b: (b.column, b.low, b.high)):
+        last = merged[-1] if merged else None
+        if last and last.column == b.column and b.low <= last.high:
+            last.high = max(last.high, b.high)
+            last.ranks += b.ranks
+        else:
+            merged.append(b)
+    return merged
+
+
+def _narrow(df: DataFrame, wide: list[Bracket]) -> list[Bracket]:
+    """A sketch pass proposes tighter brackets, a counting pass checks them.
+
+    Ranks that a proposal turns out to miss go back to their old bracket with more slack.
+    """
+    sketches = []
+    for i, b in enumerate(wide):
+        value, last = _number(b.column), max(b.within - 1, 1)
+        ends = []
+        for r in b.ranks:
+            ends += [max((r.first - b.below) / last - b.slack, 0.0), min((r.last - b.below) / last + b.slack, 1.0)]
+        sketches.append(F.percentile_approx(F.when(_inside(value, b), value), ends, SKETCH_ACCURACY).alias(f"p{i}"))
+    found = df.agg(*sketches).first()
+    proposed = [
+        Bracket(b.column, found[i][2 * j], found[i][2 * j + 1], 0, 0, 0, [r])
+        for i, b in enumerate(wide)
+        for j, r in enumerate(b.ranks)
+    ]
+    tight = _merge(proposed)
     counts = []
-    for i, r in enumerate(open_ranks):
-        low, high = found[i]
-        value = _number(r.column)
+    for i, b in enumerate(tight):
+        value = _number(b.column)
         counts += [
-            F.count_if(value < low).alias(f"b{i}"),
-            F.count_if((value >= low) & (value <= high)).alias(f"w{i}"),
-            F.count_if((value > low) & (value < high)).alias(f"s{i}"),
+            F.count_if(value < b.low).alias(f"b{i}"),
+            F.count_if(_inside(value, b)).alias(f"w{i}"),
+            F.count_if((value > b.low) & (value < b.high)).alias(f"s{i}"),
         ]
     seen = df.agg(*counts).first()
-    narrowed = []
-    for i, r in enumerate(open_ranks):
-        below, within, strictly = seen[f"b{i}"], seen[f"w{i}"], seen[f"s{i}"]
-        if below <= r.rank and r.last_rank < below + within and within < r.within:
-            low, high = found[i]
-            narrowed.append(_Rank(r.column, r.share, r.rank, r.fraction, low, high, below, within, strictly, r.slack))
-        elif below <= r.rank and r.last_rank < below + within:  # no progress: one value fills it
-            r.low, r.high = found[i]
-            r.below, r.within, r.strictly, r.slack = below, within, strictly, r.slack / 8
-            narrowed.append(r)
-        else:
-            r.slack *= 4
-            narrowed.append(r)
-    return narrowed
-
-
-def _rank_values(df: DataFrame, ranks: list[_Rank]) -> dict[int, tuple[float, float]]:
-    """The values at ``rank`` and ``last_rank``, from the rows inside each bracket."""
-    candidates = [
-        F.when(
-            (_number(r.column) >= r.low) & (_number(r.column) <= r.high),
-            F.struct(F.lit(i).alias("target"), _number(r.column).alias("value")),
-        )
-        for i, r in enumerate(ranks)
-    ]
+    result = []
+    for i, b in enumerate(tight):
+        b.below, b.within, b.strictly = seen[f"b{i}"], seen[f"w{i}"], seen[f"s{i}"]
+        missed = [r for r in b.ranks if not b.holds(r)]
+        b.ranks = [r for r in b.ranks if b.holds(r)]
+        if b.ranks:
+            result.append(b)
+        for old in wide:
+            back = [r for r in old.ranks if old.column == b.column and r in missed]
+            if back:
+                result.append(
+                    Bracket(old.column, old.low, old.high, old.below, old.within, old.strictly, back, old.slack * 4)
+                )
+    return result
+
+
+def _ranked(df: DataFrame, brackets: list[Bracket]) -> dict[tuple[str, float], tuple[float, float]]:
+    """The values at both ends of each rank, from the rows inside the brackets."""
+    names = sorted({b.column for b in brackets})
+    pairs = [F.struct(F.lit(i).alias("c"), _number(n).alias("v")) for i, n in enumerate(names)]
+    wanted = reduce(
+        Column.__or__,
+        [(F.col("c") == names.index(b.column)) & _inside(F.col("v"), b) for b in brackets],
+    )
     counted = (
-        df.select(F.explode(F.array_compact(F.array(*candidates))).alias("c"))
-        .groupBy(F.col("c.target").alias("target"), F.col("c.value").alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        df.select(F.inline(F.array(*pairs))).filter(wanted).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
     )
-    upto = Window.partitionBy("target").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    wanted = F.array(*[F.array(F.lit(r.rank - r.below), F.lit(r.last_rank - r.below)) for r in ranks])
-    rows = (
-        counted.withColumn("upto", F.sum("n").over(upto))
-        .withColumn("ask", F.get(wanted, F.col("target")))
-        .filter((F.col("upto") > F.col("ask")[0]) & (F.col("upto") - F.col("n") <= F.col("ask")[1]))
-        .select("target", "value")
+    rows = [
+        (i, names.index(b.column), b.low, b.high, sorted({x - b.below for r in b.ranks for x in (r.first, r.last)}))
+        for i, b in enumerate(brackets)
+    ]
+    listed = F.broadcast(df.sparkSession.createDataFrame(rows, "b int, bc int, low double, high double, asked array<bigint>"))
+    upto = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    hit = F.exists("asked", lambda a: (a < F.col("upto")) & (a >= F.col("upto") - F.col("n")))
+    hits = (
+        counted.join(listed, (F.col("c") == F.col("bc")) & (F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high")))
+        .withColumn("upto", F.sum("n").over(upto))
+        .filter(hit)
+        .select("b", "v", "n", "upto")
         .collect()
     )
-    values: dict[int, list[float]] = {}
-    for row in rows:
-        values.setdefault(row["target"], []).append(row["value"])
-    return {t: (min(v), max(v)) for t, v in values.items()}
+    values = {}
+    for i, b in enumerate(brackets):
+        own = [h for h in hits if h["b"] == i]
+        def at(position: int) -> float:
+            return next(h["v"] for h in own if h["upto"] - h["n"] <= position < h["upto"])
+        for r in b.ranks:
+            values[(b.column, r.share)] = (at(r.first - b.below), at(r.last - b.below))
+    return values
 
 
 def _between(low: float, high: float, fraction: float) -> float:
@@ -114,47 +164,41 @@ def _between(low: float, high: float, fraction: float) -> float:
     return low + (high - low) * fraction if fraction < 0.5 else high - (high - low) * (1 - fraction)
 
 
-def exact_percentiles(
-    df: DataFrame,
-    wanted: Mapping[str, Sequence[float]],
-    accuracy: int = 10_000,
-    leaf_rows: int = 200_000,
-) -> dict[str, list[float | None]]:
-    """Linear-interpolation percentiles (shares in [0, 1]) per column, nulls and NaN skipped.
-
-    ``leaf_rows`` bounds the rows that one bracket may pass to the exact ranking step.
-    """
+def exact_percentiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> dict[str, list[float | None]]:
+    """Linear-interpolation percentiles (shares in [0, 1]) per column, nulls and NaN skipped."""
     wanted = {c: list(p) for c, p in wanted.items() if p}
     if not wanted:
         return {}
     source = df.select(*[fx.quoted(c) for c in wanted])
-    slack = 3.0 / accuracy
-    first = source.agg(
-        *[F.count(_number(c)).alias(f"n{i}") for i, c in enumerate(wanted)],
-        *[F.min(_number(c)).alias(f"lo{i}") for i, c in enumerate(wanted)],
-        *[F.max(_number(c)).alias(f"hi{i}") for i, c in enumerate(wanted)],
-    ).first()
-    ranks: list[_Rank] = []
+    measures = []
+    for i, c in enumerate(wanted):
+        x = _number(c)
+        measures += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"low{i}"), F.max(x).alias(f"high{i}")]
+    first = source.agg(*measures).first()
+    todo: list[Bracket] = []
+    answers: dict[tuple[str, float], float] = {}
     for i, (column, shares) in enumerate(wanted.items()):
-        n = first[f"n{i}"]
-        for share in shares:
-            if n:
-                position = (n - 1) * share
-                whole = math.floor(position)
-                ranks.append(_Rank(column, share, whole, position - whole, first[f"lo{i}"], first[f"hi{i}"], 0, n, n, slack))
-    settled: dict[tuple[str, float], float] = {}
-    for r in ranks:
-        n = r.within
-        if r.low == r.high or r.last_rank == 0:
-            settled[(r.column, r.share)] = r.low
-        elif r.rank == n - 1:
-            settled[(r.column, r.share)] = r.high
-    todo = [r for r in ranks if (r.column, r.share) not in settled]
-    while any(r.strictly > leaf_rows for r in todo):
-        wide = [r for r in todo if r.strictly > leaf_rows]
-        narrow = [r for r in todo if r.strictly <= leaf_rows]
-        todo = narrow + _narrow(source, wide, accuracy)
-    values = _rank_values(source, todo) if todo else {}
-    for i, r in enumerate(todo):
-        settled[(r.column, r.share)] = _between(*values[i], r.fraction)
-    return {c: [settled.get((c, p)) for p in shares] for c, shares in wanted.items()}
+        n, low, high = first[f"n{i}"], first[f"low{i}"], first[f"high{i}"]
+        bracket = Bracket(column, low, high, 0, n, n)
+        for share in dict.fromkeys(shares):
+            position = (n - 1) * share
+            rank = Rank(share, math.floor(position), position - math.floor(position))
+            if n == 0:
+                continue
+            if low == high or rank.last == 0:
+                answers[(column, share)] = low
+            elif rank.first == n - 1:
+                answers[(column, share)] = high
+            else:
+                bracket.ranks.append(rank)
+        if bracket.ranks:
+            todo.append(bracket)
+    while any(not b.is_small for b in todo):
+        todo = [b for b in todo if b.is_small] + _narrow(source, [b for b in todo if not b.is_small])
+    for b in [b for b in todo if b.low == b.high]:
+        answers |= {(b.column, r.share): b.low for r in b.ranks}
+    open_brackets = [b for b in todo if b.low < b.high]
+    ends = _ranked(source, open_brackets) if open_brackets else {}
+    fractions = {(b.column, r.share): r.fraction for b in open_brackets for r in b.ranks}
+    answers |= {k: _between(*v, fractions[k]) for k, v in ends.items()}
+    return {c: [answers.get((c, p)) for p in shares] for c, shares in wanted.items()}
