@@ -30,7 +30,7 @@ INPUTS = ["AMT_BILLED", "AMT_COINS"]
 
 def linear_rows(spark, sf_dir):
     """Standardised billed and coinsurance amounts with the paid amount."""
-    return scale.scale_zscore(claims_view(spark, sf_dir, [*INPUTS, LABEL]), INPUTS)
+    return models.training_cache(scale.scale_zscore(claims_view(spark, sf_dir, [*INPUTS, LABEL]), INPUTS))
 
 
 def coefficients(spark, model):
@@ -58,14 +58,13 @@ def closed_form(l1, l2, where="true", prefix=""):
     )
 
 
-def fit_linear(spark, sf_dir, model_type, params=None):
-    rows = linear_rows(spark, sf_dir).persist()
+def fit_linear(rows, model_type, params=None):
     return models.train_model(model_type, rows, rows, INPUTS, LABEL, params, "1")
 
 
 @add("train_lasso", closed_form("0.1", "0"))
 def train_lasso(spark, sf_dir):
-    return coefficients(spark, fit_linear(spark, sf_dir, "lasso").model)
+    return coefficients(spark, fit_linear(linear_rows(spark, sf_dir), "lasso").model)
 
 
 RIDGE = closed_form("0", "0.5 / n")
@@ -73,12 +72,12 @@ RIDGE = closed_form("0", "0.5 / n")
 
 @add("train_ridge", RIDGE)
 def train_ridge(spark, sf_dir):
-    return coefficients(spark, fit_linear(spark, sf_dir, "ridge").model)
+    return coefficients(spark, fit_linear(linear_rows(spark, sf_dir), "ridge").model)
 
 
 @add("train_elasticnet", closed_form("0.05", "0.05"))
 def train_elasticnet(spark, sf_dir):
-    return coefficients(spark, fit_linear(spark, sf_dir, "elasticnet").model)
+    return coefficients(spark, fit_linear(linear_rows(spark, sf_dir), "elasticnet").model)
 
 
 # --- tree models --------------------------------------------------------------------------
@@ -89,8 +88,8 @@ FEATURES = ["AMT_BILLED", "AMT_DEDUCT", "AMT_COINS", "CLIENT_LOS", "SV_LINE"]
 def model_rows(spark, sf_dir):
     """(train, validation): claims without nulls, split by an exact seeded fifth."""
     rows = drop_missing_rows(claims_view(spark, sf_dir, ["CLAIM_ID_KEY", *FEATURES, LABEL]))
-    train, held_out = sampling.train_test_split(rows, 0.2, LINE)
-    return train.persist(), held_out.persist()
+    tagged = models.training_cache(sampling.tag_test_rows(rows, 0.2, LINE))
+    return tagged.filter("NOT is_test").drop("is_test"), tagged.filter("is_test").drop("is_test")
 
 
 def trained(spark, sf_dir, model_type, params=None):
@@ -170,9 +169,9 @@ def cross_validate(spark, sf_dir):
 
 def filled_registry(spark, sf_dir):
     """Two versions of a ridge model and one lasso model, saved in a fresh registry."""
-    registry = ModelRegistry(spark, scratch_path(spark, "registry"))
+    registry, rows = ModelRegistry(spark, scratch_path(spark, "registry")), linear_rows(spark, sf_dir)
     for model_type, version in (("ridge", "1"), ("ridge", "2"), ("lasso", "1")):
-        result = fit_linear(spark, sf_dir, model_type, {"alpha": 50.0} if version == "1" else None)
+        result = fit_linear(rows, model_type, {"alpha": 50.0} if version == "1" else None)
         result.metadata.version = version
         registry.save(result, f"paid_{model_type}")
     return registry

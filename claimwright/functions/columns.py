@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -74,15 +73,12 @@ def closed_map(mapping: Mapping[str, str]) -> dict[str, str]:
 
 
 def merged_category(column: Column, mapping: Mapping[str, str] | None = None) -> Column:
+    """Replaced by the map, then 'num' for all digits. One constant map keeps the expression small."""
     steps = closed_map(ICD_MERGES if mapping is None else mapping)
     merged = column
     if steps:
-        branches = reduce(
-            lambda acc, kv: acc.when(column == kv[0], kv[1]) if acc is not None else F.when(column == kv[0], kv[1]),
-            steps.items(),
-            None,
-        )
-        merged = branches.otherwise(column)
+        lookup = F.create_map(*[F.lit(part) for pair in steps.items() for part in pair])
+        merged = F.coalesce(F.try_element_at(lookup, column), column)
     return F.when(merged.rlike("^[0-9]+$"), "num").otherwise(merged)
 
 

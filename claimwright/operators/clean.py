@@ -46,10 +46,18 @@ def fill_missing(df: DataFrame, values: Mapping[str, Any]) -> DataFrame:
 
 
 def drop_missing_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    if subset is None:
-        return df.dropna("any")
-    names = fx.present(df, subset)
-    return df.dropna("any", subset=names) if names else df
+    """Drop rows with a null or NaN in any (listed) column.
+
+    Written as one test per column, not ``dropna``: Catalyst then removes the tests of columns
+    that cannot be null and pushes the others to the scan.
+    """
+    def complete(name: str) -> Column:
+        column = fx.quoted(name)
+        test = column.isNotNull()
+        return test & ~F.isnan(column) if fx.is_floating(df.schema[name].dataType) else test
+
+    names = df.columns if subset is None else fx.present(df, subset)
+    return df.filter(reduce(Column.__and__, [complete(c) for c in names])) if names else df
 
 
 def filter_non_negative(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -262,6 +262,23 @@ def assemble(df: DataFrame, feature_names: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(feature_names), outputCol=FEATURES, handleInvalid="error").transform(df)
 
 
+def training_cache(df: DataFrame) -> DataFrame:
+    """Persist rows that will be scanned many times, spread over all cores.
+
+    Adaptive execution packs small results into few partitions, which would leave most cores
+    idle in every pass of an iterative fit. Evenly filled inputs are left as they are.
+    """
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = [r["count"] for r in cached.groupBy(F.spark_partition_id()).count().collect()]
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if not sizes or max(sizes) * cores <= 2 * sum(sizes):
+        return cached
+    spread = cached.repartition(max(cores, len(sizes))).persist(StorageLevel.MEMORY_AND_DISK)
+    spread.count()
+    cached.unpersist()
+    return spread
+
+
 def importances_of(regressor, feature_names: Sequence[str]) -> dict[str, float]:
     if isinstance(regressor, AdaBoostR2Model):
         values = regressor.importances()
@@ -324,8 +341,7 @@ def train_all(
     params: Mapping[str, Mapping[str, Any]] | None = None,
 ) -> dict[str, TrainingResult]:
     """Train each type on the same cached split; a failure is logged and skipped."""
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    validation = validation.persist(StorageLevel.MEMORY_AND_DISK)
+    train, validation = training_cache(train), validation.persist(StorageLevel.MEMORY_AND_DISK)
     results: dict[str, TrainingResult] = {}
     for model_type in model_types or DEFAULTS:
         try:

@@ -12,7 +12,6 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -61,8 +60,50 @@ def _number(name: str) -> Column:
     return F.nanvl(value, F.lit(None).cast("double"))
 
 
-def _inside(value: Column, bracket: Bracket) -> Column:
-    return (value >= bracket.low) & (value <= bracket.high)
+def _by_column(brackets: Sequence[Bracket]) -> dict[str, list[Bracket]]:
+    grouped: dict[str, list[Bracket]] = {}
+    for b in brackets:
+        grouped.setdefault(b.column, []).append(b)
+    return grouped
+
+
+def _points(brackets: Sequence[Bracket]) -> list[float]:
+    return sorted({p for b in brackets for p in (b.low, b.high)})
+
+
+def _coded(df: DataFrame, columns: Mapping[str, list[Bracket]]) -> DataFrame:
+    """(c, v, code) for every value: code 2k lies just under bracket end k, code 2k + 1 equals it.
+
+    A binary search written as one small projection per step over constant arrays, which stays
+    cheap in generated code however many ends there are.
+    """
+    ends = [_points(bs) for bs in columns.values()]
+    steps = max(len(e) for e in ends).bit_length()
+    size = 2 ** steps
+    table = F.array(*[F.array(*[F.lit(p) for p in e + [math.inf] * (size - len(e))]) for e in ends])
+    pairs = [F.struct(F.lit(i).alias("c"), _number(c).alias("v")) for i, c in enumerate(columns)]
+    rows = df.select(F.inline(F.array(*pairs))).filter("v IS NOT NULL").select("c", "v", F.lit(0).alias("k"))
+    def end(k: Column) -> Column:
+        return F.get(F.get(table, F.col("c")), k)
+    for step in (2 ** s for s in reversed(range(steps))):
+        under = F.when(end(F.col("k") + (step - 1)) < F.col("v"), step).otherwise(0)
+        rows = rows.select("c", "v", (F.col("k") + under).alias("k"))
+    equal = (end(F.col("k")) == F.col("v")).cast("int")
+    return rows.select("c", "v", (F.col("k") * 2 + F.coalesce(equal, F.lit(0))).alias("code"))
+
+
+def _count(df: DataFrame, brackets: list[Bracket]) -> None:
+    """Fill in the row counts of the brackets: one scan, a few rows shuffled."""
+    columns = _by_column(brackets)
+    rows = _coded(df, columns).groupBy("c", "code").count().collect()
+    for i, bs in enumerate(columns.values()):
+        counts = {r["code"]: r["count"] for r in rows if r["c"] == i}
+        points = _points(bs)
+        for b in bs:
+            low, high = 2 * points.index(b.low) + 1, 2 * points.index(b.high) + 1
+            b.below = sum(n for code, n in counts.items() if code < low)
+            b.within = sum(n for code, n in counts.items() if low <= code <= high)
+            b.strictly = sum(n for code, n in counts.items() if low < code < high)
 
 
 def _merge(proposed: list[Bracket]) -> list[Bracket]:
@@ -89,7 +130,8 @@ def _narrow(df: DataFrame, wide: list[Bracket]) -> list[Bracket]:
         ends = []
         for r in b.ranks:
             ends += [max((r.first - b.below) / last - b.slack, 0.0), min((r.last - b.below) / last + b.slack, 1.0)]
-        sketches.append(F.percentile_approx(F.when(_inside(value, b), value), ends, SKETCH_ACCURACY).alias(f"p{i}"))
+        inside = F.when((value >= b.low) & (value <= b.high), value)
+        sketches.append(F.percentile_approx(inside, ends, SKETCH_ACCURACY).alias(f"p{i}"))
     found = df.agg(*sketches).first()
     proposed = [
         Bracket(b.column, found[i][2 * j], found[i][2 * j + 1], 0, 0, 0, [r])
@@ -97,18 +139,9 @@ def _narrow(df: DataFrame, wide: list[Bracket]) -> list[Bracket]:
         for j, r in enumerate(b.ranks)
     ]
     tight = _merge(proposed)
-    counts = []
-    for i, b in enumerate(tight):
-        value = _number(b.column)
-        counts += [
-            F.count_if(value < b.low).alias(f"b{i}"),
-            F.count_if(_inside(value, b)).alias(f"w{i}"),
-            F.count_if((value > b.low) & (value < b.high)).alias(f"s{i}"),
-        ]
-    seen = df.agg(*counts).first()
+    _count(df, tight)
     result = []
-    for i, b in enumerate(tight):
-        b.below, b.within, b.strictly = seen[f"b{i}"], seen[f"w{i}"], seen[f"s{i}"]
+    for b in tight:
         missed = [r for r in b.ranks if not b.holds(r)]
         b.ranks = [r for r in b.ranks if b.holds(r)]
         if b.ranks:
@@ -122,28 +155,46 @@ def _narrow(df: DataFrame, wide: list[Bracket]) -> list[Bracket]:
     return result
 
 
+def _layers(brackets: list[Bracket]) -> list[list[Bracket]]:
+    """Sets of brackets that do not overlap within a column; nearly always a single one."""
+    layers: list[list[Bracket]] = []
+    for b in sorted(brackets, key=lambda b: (b.column, b.low, b.high)):
+        free = (la for la in layers if all(o.column != b.column or o.high < b.low for o in la))
+        layer = next(free, None)
+        if layer is None:
+            layers.append([b])
+        else:
+            layer.append(b)
+    return layers
+
+
 def _ranked(df: DataFrame, brackets: list[Bracket]) -> dict[tuple[str, float], tuple[float, float]]:
-    """The values at both ends of each rank, from the rows inside the brackets."""
-    names = sorted({b.column for b in brackets})
-    pairs = [F.struct(F.lit(i).alias("c"), _number(n).alias("v")) for i, n in enumerate(names)]
-    wanted = reduce(
-        Column.__or__,
-        [(F.col("c") == names.index(b.column)) & _inside(F.col("v"), b) for b in brackets],
-    )
+    """The values at both ends of each rank, from the rows inside disjoint brackets."""
+    columns, owners = _by_column(brackets), []
+    for own in columns.values():
+        points = _points(own)
+        owner = [None] * (2 * len(points) + 1)
+        for b in own:
+            low, high = 2 * points.index(b.low) + 1, 2 * points.index(b.high) + 1
+            owner[low:high + 1] = [brackets.index(b)] * (high + 1 - low)
+        owners.append(F.array(*[F.lit(o).cast("int") for o in owner]))
+    # rows outside all brackets fold into one group and are dropped by the join below: a filter
+    # here would be pushed through the search steps and multiply them
+    owner = F.coalesce(F.get(F.get(F.array(*owners), F.col("c")), F.col("code")), F.lit(-1))
     counted = (
-        df.select(F.inline(F.array(*pairs))).filter(wanted).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+        _coded(df, columns)
+        .select(owner.alias("b"), "v")
+        .select("b", F.when(F.col("b") >= 0, F.col("v")).alias("v"))
+        .groupBy("b", "v")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    rows = [
-        (i, names.index(b.column), b.low, b.high, sorted({x - b.below for r in b.ranks for x in (r.first, r.last)}))
-        for i, b in enumerate(brackets)
-    ]
-    listed = F.broadcast(df.sparkSession.createDataFrame(rows, "b int, bc int, low double, high double, asked array<bigint>"))
+    rows = [(i, sorted({x - b.below for r in b.ranks for x in (r.first, r.last)})) for i, b in enumerate(brackets)]
+    listed = F.broadcast(df.sparkSession.createDataFrame(rows, "b int, asked array<bigint>"))
     upto = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    hit = F.exists("asked", lambda a: (a < F.col("upto")) & (a >= F.col("upto") - F.col("n")))
     hits = (
-        counted.join(listed, (F.col("c") == F.col("bc")) & (F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high")))
-        .withColumn("upto", F.sum("n").over(upto))
-        .filter(hit)
+        counted.withColumn("upto", F.sum("n").over(upto))
+        .join(listed, "b")
+        .filter(F.exists("asked", lambda a: (a < F.col("upto")) & (a >= F.col("upto") - F.col("n"))))
         .select("b", "v", "n", "upto")
         .collect()
     )
@@ -198,7 +249,9 @@ def exact_percentiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> d
     for b in [b for b in todo if b.low == b.high]:
         answers |= {(b.column, r.share): b.low for r in b.ranks}
     open_brackets = [b for b in todo if b.low < b.high]
-    ends = _ranked(source, open_brackets) if open_brackets else {}
+    ends = {}
+    for layer in _layers(open_brackets):
+        ends |= _ranked(source, layer)
     fractions = {(b.column, r.share): r.fraction for b in open_brackets for r in b.ranks}
     answers |= {k: _between(*v, fractions[k]) for k, v in ends.items()}
     return {c: [answers.get((c, p)) for p in shares] for c, shares in wanted.items()}

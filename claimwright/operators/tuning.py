@@ -9,12 +9,11 @@ from itertools import product
 from math import sqrt
 from typing import Any
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import columns as fx
 from .evaluate import metric_columns
-from .models import FEATURES, GRIDS, PREDICTION, assemble, estimator, model_params
+from .models import FEATURES, GRIDS, PREDICTION, assemble, estimator, model_params, training_cache
 from .sampling import k_folds
 
 
@@ -44,7 +43,7 @@ def _fold_scores(
 def _folded(df: DataFrame, feature_names: Sequence[str], label: str, k: int, seed: int) -> DataFrame:
     names = list(feature_names)
     folds = k_folds(df.select(*[fx.quoted(c) for c in [*names, label]]), k, None, seed, "__fold")
-    return assemble(folds, names).select(FEATURES, fx.quoted(label), "__fold").persist(StorageLevel.MEMORY_AND_DISK)
+    return training_cache(assemble(folds, names).select(FEATURES, fx.quoted(label), "__fold"))
 
 
 def cross_validate(
