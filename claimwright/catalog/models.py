@@ -30,7 +30,13 @@ INPUTS = ["AMT_BILLED", "AMT_COINS"]
 
 def linear_rows(spark, sf_dir):
     """Standardised billed and coinsurance amounts with the paid amount."""
-    return models.training_cache(scale.scale_zscore(claims_view(spark, sf_dir, [*INPUTS, LABEL]), INPUTS))
+    return models.training_cache(scale.scale_zscore(claims_view(spark, sf_dir, [*LINE, *INPUTS, LABEL]), INPUTS))
+
+
+def fold_sides(rows):
+    """(train, test): all folds but the first, and the first."""
+    folded = sampling.k_folds(rows, FOLDS, LINE)
+    return folded.filter("fold <> 0").drop("fold"), folded.filter("fold = 0").drop("fold")
 
 
 def coefficients(spark, model):
@@ -38,26 +44,53 @@ def coefficients(spark, model):
     return rounded(spark.createDataFrame([(t, float(v)) for t, v in terms], "term string, value double"), ["value"], 2)
 
 
-def closed_form(l1, l2, where="true", prefix=""):
-    """Two standardised features: solve (S + l2 I) b = c - l1 sign(b).
+FOLDS = 3
+STANDARD_SQL = (
+    f", m AS (SELECT avg({INPUTS[0]}) AS m1, stddev_pop({INPUTS[0]}) AS s1, avg({INPUTS[1]}) AS m2, stddev_pop({INPUTS[1]}) AS s2 FROM claims), "
+    f"z AS (SELECT ({INPUTS[0]} - m1) / s1 AS a, ({INPUTS[1]} - m2) / s2 AS b, {LABEL} AS y, {key_sql(LINE)} % {FOLDS} AS fold FROM claims, m)"
+)
+
+
+def solution_sql(i, l1, l2, where):
+    """CTE f{i}: the weights of two features, from (S + l2 I) w = c - l1 sign(w) over the given rows.
 
     The signs are those of the solution without the L1 part; the L1 weight is far too small
     here to move a coefficient to zero or across it.
     """
+    return (
+        f", g{i} AS (SELECT count(*) AS n, var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, "
+        f"covar_pop(b, y) AS by_, avg(a) AS ma, avg(b) AS mb, avg(y) AS my FROM z WHERE {where}), "
+        f"o{i} AS (SELECT *, aa + {l2} AS p11, bb + {l2} AS p22 FROM g{i}), "
+        f"p{i} AS (SELECT *, ay - {l1} * sign(ay * p22 - by_ * ab) AS r1, by_ - {l1} * sign(by_ * p11 - ay * ab) AS r2 FROM o{i}), "
+        f"w{i} AS (SELECT *, (r1 * p22 - r2 * ab) / (p11 * p22 - ab * ab) AS w1, (r2 * p11 - r1 * ab) / (p11 * p22 - ab * ab) AS w2 FROM p{i}), "
+        f"f{i} AS (SELECT n, w1, w2, my - w1 * ma - w2 * mb AS w0 FROM w{i})"
+    )
+
+
+def closed_form(l1, l2):
+    rows = [(INPUTS[0], "w1"), (INPUTS[1], "w2"), ("intercept", "w0")]
     return over_claims(
-        f", m AS (SELECT avg({INPUTS[0]}) AS m1, stddev_pop({INPUTS[0]}) AS s1, avg({INPUTS[1]}) AS m2, stddev_pop({INPUTS[1]}) AS s2 FROM claims), "
-        f"z AS (SELECT ({INPUTS[0]} - m1) / s1 AS a, ({INPUTS[1]} - m2) / s2 AS b, {LABEL} AS y, {', '.join(LINE)} FROM claims, m), "
-        f"g AS (SELECT count(*) AS n, var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS by_, "
-        f"avg(a) AS ma, avg(b) AS mb, avg(y) AS my FROM z WHERE {where}), "
-        f"o AS (SELECT *, aa + {l2} AS p11, bb + {l2} AS p22 FROM g), "
-        f"p AS (SELECT *, ay - {l1} * sign(ay * p22 - by_ * ab) AS r1, by_ - {l1} * sign(by_ * p11 - ay * ab) AS r2 FROM o), "
-        "s AS (SELECT *, (r1 * p22 - r2 * ab) / (p11 * p22 - ab * ab) AS w1, (r2 * p11 - r1 * ab) / (p11 * p22 - ab * ab) AS w2 FROM p), "
-        f"coef AS (SELECT '{INPUTS[0]}' AS term, round(w1, 2) AS value FROM s UNION ALL SELECT '{INPUTS[1]}', round(w2, 2) FROM s "
-        f"UNION ALL SELECT 'intercept', round(my - w1 * ma - w2 * mb, 2) FROM s) {prefix or 'SELECT * FROM coef'}",
+        STANDARD_SQL + solution_sql(0, l1, l2, "true") + " " + union(f"SELECT '{t}' AS term, round({w}, 2) AS value FROM f0" for t, w in rows),
         [*LINE, *INPUTS, LABEL],
     )
 
 
+def scored_sql(i, l1, l2, train, test):
+    """CTE e{i}: actual, prediction and error on the test rows of a fit on the train rows."""
+    return solution_sql(i, l1, l2, train) + (
+        f", e{i} AS (SELECT y, w0 + w1 * a + w2 * b AS p, y - (w0 + w1 * a + w2 * b) AS e FROM z, f{i} WHERE {test})"
+    )
+
+
+R2 = "1 - avg(e * e) / var_pop(y)"
+
+
+def folds_sql(name, l1, l2):
+    """CTE {name}: r2 per fold."""
+    parts = "".join(scored_sql(f"_{name}_{k}", l1, l2, f"fold <> {k}", f"fold = {k}") for k in range(FOLDS))
+    return parts + f", {name} AS ({union(f'SELECT {k} AS fold, {R2} AS r2 FROM e_{name}_{k}' for k in range(FOLDS))})"
+
+
 def fit_linear(rows, model_type, params=None):
     return models.train_model(model_type, rows, rows, INPUTS, LABEL, params, "1")
 
@@ -122,11 +155,25 @@ def train_adaboost(spark, sf_dir):
     return result_rows(spark, {"adaboost": trained(spark, sf_dir, "adaboost", ADA)})
 
 
-@add("train_model")
+@add(
+    "train_model",
+    over_claims(
+        STANDARD_SQL + scored_sql(0, "0", "0.5 / n", "fold <> 0", "fold = 0") + ", v AS (SELECT " + R2 + " AS r2 FROM e0) "
+        + union(f"SELECT '{c}' AS feature, round(abs({w}), 2) AS importance, round(r2, 8) AS validation_r2, n AS training_samples FROM f0, v"
+                for c, w in zip(INPUTS, ("w1", "w2"))),
+        [*LINE, *INPUTS, LABEL],
+    ),
+)
 def train_model(spark, sf_dir):
-    result = trained(spark, sf_dir, "lasso")
+    train, test = fold_sides(linear_rows(spark, sf_dir))
+    result = models.train_model("ridge", train, test, INPUTS, LABEL, None, "1")
     scores = spark.createDataFrame(list(result.importances.items()), "feature string, importance double")
-    return scores.withColumn("validation_r2", F.lit(result.metadata.validation_metrics["r2"]))
+    return rounded(scores, ["importance"], 2).withColumns(
+        {
+            "validation_r2": F.round(F.lit(result.metadata.validation_metrics["r2"]), 8),
+            "training_samples": F.lit(result.metadata.training_samples).cast("bigint"),
+        }
+    )
 
 
 @add("train_all")
@@ -141,27 +188,47 @@ def train_all(spark, sf_dir):
 
 def tuned(spark, points):
     rows = [(json.dumps(p, sort_keys=True), s) for p, s in points]
-    return spark.createDataFrame(rows, "params string, mean_r2 double")
+    return rounded(spark.createDataFrame(rows, "params string, mean_r2 double"), ["mean_r2"], 8)
 
 
-@add("tune_grid")
+def grid_sql(cases):
+    """Mean r2 over folds for each (alpha, l1, l2)."""
+    parts = "".join(folds_sql(f"c{i}", l1, l2) for i, (_, l1, l2) in enumerate(cases))
+    rows = union(f"SELECT '{json.dumps(dict(alpha=a))}' AS params, round(avg(r2), 8) AS mean_r2 FROM c{i}" for i, (a, _, _) in enumerate(cases))
+    return over_claims(STANDARD_SQL + parts + " " + rows, [*LINE, *INPUTS, LABEL])
+
+
+RIDGE_ALPHAS = [0.5, 1000.0, 20000.0]
+
+
+@add("tune_grid", grid_sql([(a, "0", f"{a}::DOUBLE / n") for a in RIDGE_ALPHAS]))
 def tune_grid(spark, sf_dir):
-    rows = model_rows(spark, sf_dir)[0]
-    return tuned(spark, tuning.tune_grid("ridge", rows, FEATURES, LABEL, {"alpha": [0.1, 1.0, 10.0]}, 3)[2])
+    rows = linear_rows(spark, sf_dir)
+    return tuned(spark, tuning.tune_grid("ridge", rows, INPUTS, LABEL, {"alpha": RIDGE_ALPHAS}, FOLDS, fold_keys=LINE)[2])
+
+
+LASSO_CHOICE = [p["alpha"] for p in tuning.grid_points(models.GRIDS["lasso"], 2)]
 
 
-@add("tune_random")
+@add("tune_random", grid_sql([(a, f"{a}::DOUBLE", "0") for a in LASSO_CHOICE]))
 def tune_random(spark, sf_dir):
-    rows = model_rows(spark, sf_dir)[0]
-    return tuned(spark, tuning.tune_random("lasso", rows, FEATURES, LABEL, 2, cv=3)[2])
+    rows = linear_rows(spark, sf_dir)
+    return tuned(spark, tuning.tune_random("lasso", rows, INPUTS, LABEL, 2, cv=FOLDS, fold_keys=LINE)[2])
 
 
-@add("cross_validate")
+@add(
+    "cross_validate",
+    over_claims(
+        STANDARD_SQL + folds_sql("c", "0", "0.5 / n") + " SELECT CAST(fold AS INTEGER) AS fold, round(r2, 8) AS r2, "
+        "(SELECT round(avg(r2), 8) FROM c) AS mean_r2, (SELECT round(stddev_pop(r2), 8) FROM c) AS std_r2 FROM c",
+        [*LINE, *INPUTS, LABEL],
+    ),
+)
 def cross_validate(spark, sf_dir):
-    found = tuning.cross_validate("ridge", model_rows(spark, sf_dir)[0], FEATURES, LABEL, 3)
-    return spark.createDataFrame(list(enumerate(found["scores"])), "fold int, r2 double").withColumns(
-        {"mean_r2": F.lit(found["mean_r2"]), "std_r2": F.lit(found["std_r2"])}
-    )
+    found = tuning.cross_validate("ridge", linear_rows(spark, sf_dir), INPUTS, LABEL, FOLDS, fold_keys=LINE)
+    scores = spark.createDataFrame(list(enumerate(found["scores"])), "fold int, r2 double")
+    shown = scores.withColumns({"mean_r2": F.lit(found["mean_r2"]), "std_r2": F.lit(found["std_r2"])})
+    return rounded(shown, ["r2", "mean_r2", "std_r2"], 8)
 
 
 # --- registry -----------------------------------------------------------------------------
@@ -354,11 +421,19 @@ def regression_metrics(spark, sf_dir):
     return shown_metrics(evaluate.regression_metrics(predictions(spark, sf_dir), LABEL, "steady"))
 
 
-@add("evaluate_model")
+EVALUATED_RIDGE = STANDARD_SQL + scored_sql(0, "0", "0.5 / n", "fold <> 0", "fold = 0")
+TEST_METRICS = (
+    f"round({R2}, 8) AS r2, round(sqrt(avg(e * e)), 4) AS rmse, round(avg(abs(e)), 4) AS mae, "
+    "round(avg(abs(e) / abs(y)) FILTER (y <> 0), 6) AS mape, round(1 - var_pop(e) / var_pop(y), 8) AS explained_variance, "
+    "round(avg(e), 4) AS residual_mean, round(stddev_pop(e), 4) AS residual_std"
+)
+
+
+@add("evaluate_model", over_claims(f"{EVALUATED_RIDGE} SELECT {TEST_METRICS} FROM e0", [*LINE, *INPUTS, LABEL]))
 def evaluate_model(spark, sf_dir):
-    train, held_out = model_rows(spark, sf_dir)
-    result = models.train_model("ridge", train, held_out, FEATURES, LABEL, None, "1")
-    return evaluate.evaluate_model(result.model, held_out, LABEL)[0]
+    train, test = fold_sides(linear_rows(spark, sf_dir))
+    result = models.train_model("ridge", train, test, INPUTS, LABEL, None, "1")
+    return shown_metrics(evaluate.evaluate_model(result.model, test, LABEL)[0])
 
 
 @add("compare_models", over_claims(union(f"SELECT '{m}' AS model, {metrics_sql(m)} FROM claims" for m in GUESSES), EVALUATED))
@@ -466,10 +541,19 @@ def learning_curve_data(spark, sf_dir):
     return rounded(evaluate.learning_curve_data(scores), ["train_mean", "train_std", "validation_mean", "validation_std"], 8)
 
 
-@add("evaluation_report")
+@add(
+    "evaluation_report",
+    over_claims(
+        f"{EVALUATED_RIDGE} SELECT {TEST_METRICS}, round(least(min(y), min(p)), 4) AS low, round(greatest(max(y), max(p)), 4) AS high, "
+        "count(*) AS n FROM e0",
+        [*LINE, *INPUTS, LABEL],
+    ),
+)
 def evaluation_report(spark, sf_dir):
-    train, held_out = model_rows(spark, sf_dir)
-    result = models.train_model("ridge", train, held_out, FEATURES, LABEL, None, "1")
-    report = evaluate.evaluation_report(result.model, held_out, LABEL)
+    train, test = fold_sides(linear_rows(spark, sf_dir))
+    result = models.train_model("ridge", train, test, INPUTS, LABEL, None, "1")
+    report = evaluate.evaluation_report(result.model, test, LABEL)
     ends = report["line"].first()
-    return report["metrics"].withColumns({"low": F.lit(ends["low"]), "high": F.lit(ends["high"])})
+    return shown_metrics(report["metrics"]).withColumns(
+        {"low": F.round(F.lit(ends["low"]), 4), "high": F.round(F.lit(ends["high"]), 4), "n": F.lit(report["predictions"].count()).cast("bigint")}
+    )

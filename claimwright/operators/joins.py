@@ -1,0 +1,41 @@
+"""Joining a large table to a keyed one when a single key may hold a third of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from ..functions import columns as fx
+
+BROADCAST_ROWS = 200_000  # a keyed side of up to this many rows may be broadcast
+HOT_ROWS = 1_000_000  # a key is never called hot below this
+
+
+def hot_keys(df: DataFrame, column: str) -> list:
+    """Values that hold more than an even share of the shuffle. There are at most as many as partitions.
+
+    Counts are combined before the shuffle, so finding them is not itself skewed.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.groupBy(fx.quoted(column).alias("k")).agg(F.count(F.lit(1)).alias("n")).filter(f"n > {HOT_ROWS} AND k IS NOT NULL")
+    largest = counts.orderBy(F.desc("n")).limit(parts).collect()
+    total = df.count() if largest else 0
+    return [r["k"] for r in largest if r["n"] * parts > total]
+
+
+def keyed_join(df: DataFrame, right: DataFrame, on: str, key: str, how: str = "left") -> DataFrame:
+    """Join ``right`` (``key`` under a name of its own) to ``df``; how is left, left_semi or left_anti.
+
+    A right side of counted, bounded size is broadcast. Otherwise the rows of hot keys are split
+    off: the one right row of each hot key is broadcast to them, and only the evenly spread rest
+    is shuffled.
+    """
+    size = right.limit(BROADCAST_ROWS + 1).count()
+    match = fx.quoted(on) == fx.quoted(key)
+    if size <= BROADCAST_ROWS:
+        return df.join(F.broadcast(right), match, how)
+    hot = hot_keys(df, on)
+    if not hot:
+        return df.join(right, match, how)
+    is_hot = F.coalesce(fx.quoted(on).isin(hot), F.lit(False))
+    few = F.broadcast(right.filter(fx.quoted(key).isin(hot)).dropDuplicates([key]))
+    return df.filter(is_hot).join(few, match, how).unionByName(df.filter(~is_hot).join(right, match, how))

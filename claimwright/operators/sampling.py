@@ -14,7 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import columns as fx
+from ..session import shared_folder
 from .clean import require_columns
+from .joins import keyed_join
 
 log = logging.getLogger(__name__)
 
@@ -22,6 +24,7 @@ BUCKET_SHIFT = 11  # keys have 31 bits, so there are 2**20 buckets
 DIRECT_LIMIT = 100_000  # up to here a plain top-k is cheapest
 INLINE_STRATA = 10_000  # strata whose cut points may travel as a broadcast table
 COPIES_PER_ROW = 65_536
+TIED_ROWS = 2_000_000  # rows of one cut bucket that may be ordered in one task
 
 
 def _bucket(key: str) -> Column:
@@ -29,13 +32,10 @@ def _bucket(key: str) -> Column:
 
 
 def semi_join_ids(df: DataFrame, column: str, ids: DataFrame | Sequence) -> DataFrame:
-    """Rows whose value is in ``ids``: a short list becomes a pushed-down IN, a DataFrame a semi join.
-
-    The DataFrame side carries no broadcast hint: Catalyst and AQE broadcast it if its measured
-    size allows and otherwise shuffle both sides, splitting hot keys.
-    """
+    """Rows whose value is in ``ids``: a list becomes a pushed-down IN, a DataFrame a semi join."""
     if isinstance(ids, DataFrame):
-        return df.join(ids.select(ids[ids.columns[0]].alias(column)).distinct(), column, "left_semi")
+        values = ids.select(ids[ids.columns[0]].alias("__id")).distinct()
+        return keyed_join(df, values, column, "__id", "left_semi")
     return df.filter(fx.quoted(column).isin(list(ids)))
 
 
@@ -113,6 +113,42 @@ def repeat_rows(df: DataFrame, count_column: str) -> DataFrame:
     return parts.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("bigint"), here))).drop("__part", "__i", count_column)
 
 
+def _running_total(tied: DataFrame, order: list, spread: bool) -> DataFrame:
+    """Add ``__before``: the rows of the same stratum that come earlier in the order.
+
+    A bucket is small unless one key holds a large share of the table. Then the rows are range
+    partitioned in that order, fixed by a checkpoint, and ranked per partition on top of the
+    totals of the partitions before.
+    """
+    if not spread:
+        running = Window.partitionBy("__stratum").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return tied.withColumn("__before", F.sum("__n").over(running) - F.col("__n"))
+    shared_folder(tied.sparkSession)
+    parts = int(tied.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (
+        tied.repartitionByRange(parts, F.col("__stratum").asc_nulls_first(), *order)
+        .withColumn("__part", F.spark_partition_id())
+        .checkpoint()
+    )
+    earlier = Window.partitionBy("__stratum").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        ranged.groupBy("__stratum", "__part")
+        .agg(F.sum("__n").alias("__held"))
+        .select(
+            F.col("__stratum").alias("__s"),
+            F.col("__part").alias("__p"),
+            F.coalesce(F.sum("__held").over(earlier), F.lit(0)).alias("__offset"),
+        )
+    )
+    running = Window.partitionBy("__stratum", "__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.withColumn("__before", F.sum("__n").over(running) - F.col("__n"))
+    same = local["__stratum"].eqNullSafe(offsets["__s"]) & (local["__part"] == offsets["__p"])
+    # no hint: a few rows per stratum and partition, broadcast when their measured size allows
+    return local.join(offsets, same).withColumn("__before", F.col("__before") + F.col("__offset")).drop(
+        "__s", "__p", "__offset", "__part"
+    )
+
+
 def _tag_smallest(
     df: DataFrame,
     key_columns: Sequence[str],
@@ -139,18 +175,24 @@ def _tag_smallest(
         .select(
             upto["stratum"].alias("__at"),
             F.col("bucket").alias("__cut"),
+            F.col("n").alias("__size"),
             (F.col("quota") - F.col("upto") + F.col("n")).alias("__need"),
         )
     )
     spark = df.sparkSession
     if stratum is None:
         cut = cuts.first()
-        at, need = (cut["__cut"], cut["__need"]) if cut else (-1, 0)
+        at, need, largest = (cut["__cut"], cut["__need"], cut["__size"]) if cut else (-1, 0, 0)
         marked = keyed.withColumns({"__cut": F.lit(at), "__need": F.lit(need).cast("bigint")})
     else:
         short = cuts.limit(INLINE_STRATA + 1).collect()
         if len(short) <= INLINE_STRATA:
+            largest = max((r["__size"] for r in short), default=0)
             cuts = F.broadcast(spark.createDataFrame(short, cuts.schema))
+        else:
+            shared_folder(spark)
+            cuts = cuts.checkpoint()
+            largest = cuts.agg(F.max("__size")).first()[0]
         marked = keyed.join(cuts, keyed["__stratum"].eqNullSafe(cuts["__at"]), "left").withColumns(
             {"__cut": F.coalesce("__cut", F.lit(-1)), "__need": F.coalesce("__need", F.lit(0).cast("bigint"))}
         )
@@ -159,13 +201,14 @@ def _tag_smallest(
         *rows, (F.col("__bucket") < F.col("__cut")).alias("__picked")
     )
     # the bucket of the cut: identical rows are counted, then ranked
-    order = Window.partitionBy("__stratum").orderBy("__key", *[c.asc_nulls_first() for c in rows])
     tied = (
         marked.filter(F.col("__bucket") == F.col("__cut"))
         .groupBy("__stratum", "__need", "__key", *rows)
         .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__before", F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n"))
-        .withColumn("__take", F.greatest(F.lit(0), F.least(F.col("__n"), F.col("__need") - F.col("__before"))))
+    )
+    order = ["__key", *[c.asc_nulls_first() for c in rows]]
+    tied = _running_total(tied, order, spread=largest > TIED_ROWS).withColumn(
+        "__take", F.greatest(F.lit(0), F.least(F.col("__n"), F.col("__need") - F.col("__before")))
     )
     shares = F.array(
         F.struct(F.lit(True).alias("picked"), F.col("__take").alias("n")),

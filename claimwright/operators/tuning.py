@@ -40,9 +40,11 @@ def _fold_scores(
     return [scores[i * k:(i + 1) * k] for i in range(len(candidates))]
 
 
-def _folded(df: DataFrame, feature_names: Sequence[str], label: str, k: int, seed: int) -> DataFrame:
+def _folded(
+    df: DataFrame, feature_names: Sequence[str], label: str, k: int, seed: int, fold_keys: Sequence[str] | None
+) -> DataFrame:
     names = list(feature_names)
-    folds = k_folds(df.select(*[fx.quoted(c) for c in [*names, label]]), k, None, seed, "__fold")
+    folds = k_folds(df, k, fold_keys or [*names, label], seed, "__fold")
     return training_cache(assemble(folds, names).select(FEATURES, fx.quoted(label), "__fold"))
 
 
@@ -55,10 +57,14 @@ def cross_validate(
     params: Mapping[str, Any] | None = None,
     seed: int = 42,
     parallelism: int = 4,
+    fold_keys: Sequence[str] | None = None,
 ) -> dict[str, Any]:
-    """mean_r2, std_r2 (population) and the score of each fold."""
+    """mean_r2, std_r2 (population) and the score of each fold.
+
+    Folds follow a seeded key of ``fold_keys`` (by default features and label).
+    """
     model_params(model_type, params)
-    folded = _folded(df, feature_names, label, cv, seed)
+    folded = _folded(df, feature_names, label, cv, seed, fold_keys)
     try:
         scores = _fold_scores(model_type, folded, label, "__fold", cv, [params or {}], parallelism)[0]
     finally:
@@ -86,6 +92,7 @@ def tune(
     base: Mapping[str, Any] | None = None,
     seed: int = 42,
     parallelism: int = 4,
+    fold_keys: Sequence[str] | None = None,
 ) -> tuple[dict[str, Any], float, list[tuple[dict[str, Any], float]]]:
     """(best parameters, best mean r2, all points with their mean r2).
 
@@ -97,7 +104,7 @@ def tune(
     if not grid:
         return {}, 0.0, []
     points = grid_points(grid, n_iter, seed)
-    folded = _folded(df, feature_names, label, cv, seed)
+    folded = _folded(df, feature_names, label, cv, seed, fold_keys)
     try:
         scores = _fold_scores(model_type, folded, label, "__fold", cv, [{**(base or {}), **p} for p in points], parallelism)
     finally:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import columns as fx
 from ..operators.clean import require_columns
+from ..operators.joins import keyed_join
 from ..operators.sampling import semi_join_ids
 
 log = logging.getLogger(__name__)
@@ -154,13 +155,10 @@ def read_all_lookups(spark: SparkSession, folder: str, sep: str = "|", register:
 
 
 def enrich_lookup(df: DataFrame, lookup: DataFrame, on: str, lookup_key: str | None = None) -> DataFrame:
-    """Left join a lookup; repeated lookup keys are reduced to their smallest row first.
-
-    No broadcast hint: the lookup's size decides, at run time, whether it is broadcast.
-    """
+    """Left join a lookup; repeated lookup keys are reduced to their smallest row first."""
     key = lookup_key or lookup.columns[0]
     others = [c for c in lookup.columns if c != key]
     one = lookup.groupBy(fx.quoted(key).alias("__code")).agg(F.min(F.struct(*[fx.quoted(c) for c in others])).alias("__row"))
-    joined = df.join(one, fx.quoted(on) == F.col("__code"), "left")
+    joined = keyed_join(df, one, on, "__code", "left")
     taken = [F.col("__row").getField(c).alias(c if c not in df.columns else f"{c}_lookup") for c in others]
     return joined.select(*[fx.quoted(c) for c in df.columns], *taken)
