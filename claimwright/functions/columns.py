@@ -45,6 +45,20 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     )
 
 
+def varies(column: Column) -> Column:
+    """Whether an aggregated column has two different values.
+
+    Merging partial moments can leave a constant column with a deviation of about 1e-16, so
+    constancy is decided by min and max.
+    """
+    return F.max(column) > F.min(column)
+
+
+def spread_pop(column: Column) -> Column:
+    """Population variance, exactly 0 for a constant column."""
+    return F.when(varies(column), F.var_pop(column)).when(F.count(column) > 0, 0.0)
+
+
 def safe_divide(numerator: Column, denominator: Column, default: float = 0.0) -> Column:
     return F.when(denominator == 0, F.lit(default)).otherwise(F.try_divide(numerator, denominator))
 

@@ -25,15 +25,15 @@ def metric_columns(actual: Column, predicted: Column) -> dict[str, Column]:
     p = F.when(actual.isNotNull(), predicted.cast("double"))
     error = y - p
     absolute = F.abs(error)
-    mse, spread = F.avg(error * error), F.var_pop(y)
+    mse, spread = F.avg(error * error), fx.spread_pop(y)
     return {
         "r2": _share_explained(mse, spread),
         "rmse": F.sqrt(mse),
         "mae": F.avg(absolute),
         "mape": F.avg(F.when(y != 0, F.try_divide(absolute, F.abs(y)))),
-        "explained_variance": _share_explained(F.var_pop(error), spread),
+        "explained_variance": _share_explained(fx.spread_pop(error), spread),
         "residual_mean": F.avg(error),
-        "residual_std": F.stddev_pop(error),
+        "residual_std": F.sqrt(fx.spread_pop(error)),
     }
 
 

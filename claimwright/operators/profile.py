@@ -62,9 +62,9 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, digits
 
 
 def adjusted_skew(column: Column) -> Column:
-    """Bias-adjusted sample skewness (null below three rows)."""
+    """Bias-adjusted sample skewness (null below three rows and for a constant)."""
     n = F.count(column).cast("double")
-    return F.when(n > 2, F.try_divide(F.skewness(column) * F.sqrt(n * (n - 1)), n - 2))
+    return F.when((n > 2) & fx.varies(column), F.try_divide(F.skewness(column) * F.sqrt(n * (n - 1)), n - 2))
 
 
 def target_stats(df: DataFrame, target: str) -> DataFrame:
@@ -167,7 +167,8 @@ def distinct_count(df: DataFrame, columns: Sequence[str], approximate: bool = Fa
 def pair_correlation(a: Column, b: Column) -> Column:
     """Pearson over rows where both are present; null when either is constant."""
     both_a, both_b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(both_a) * F.stddev_pop(both_b))
+    r = F.try_divide(F.covar_pop(a, b), F.stddev_pop(both_a) * F.stddev_pop(both_b))
+    return F.when(fx.varies(both_a) & fx.varies(both_b), r)
 
 
 def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
@@ -207,7 +208,7 @@ def linear_trend(df: DataFrame, x: str, y: str, points: int = 100) -> DataFrame:
     a, b = fx.quoted(x).cast("double"), fx.quoted(y).cast("double")
     both = df.filter(a.isNotNull() & b.isNotNull())
     fit = both.agg(
-        F.regr_slope(b, a).alias("slope"), F.regr_intercept(b, a).alias("intercept"), F.min(a).alias("low"), F.max(a).alias("high")
+        F.when(fx.varies(a), F.regr_slope(b, a)).alias("slope"), F.when(fx.varies(a), F.regr_intercept(b, a)).alias("intercept"), F.min(a).alias("low"), F.max(a).alias("high")
     )
     step = (F.col("high") - F.col("low")) / (points - 1)
     grid = fit.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))

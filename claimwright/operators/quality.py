@@ -96,9 +96,9 @@ def check_no_duplicates(df: DataFrame, subset: Sequence[str] | None = None, thre
         require_columns(df, subset)
     keys = [fx.quoted(c) for c in (subset or df.columns)]
     if keys:
-        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).select("__n")
         one = counted.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("copies")
+            F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("copies")
         )
     else:
         one = df.agg(F.count(F.lit(1)).alias("rows"), F.lit(0).cast("bigint").alias("copies"))

@@ -35,7 +35,7 @@ def fit_scalers(df: DataFrame, columns: Sequence[str], method: str = "standard")
         if method == "minmax":
             measures += [F.min(x).alias(f"c{i}"), (F.max(x) - F.min(x)).alias(f"s{i}")]
         else:
-            measures += [F.avg(x).alias(f"c{i}"), F.stddev_pop(x).alias(f"s{i}")]
+            measures += [F.avg(x).alias(f"c{i}"), F.sqrt(fx.spread_pop(x)).alias(f"s{i}")]
     row = df.agg(*measures).first()
     return [Scaler(c, method, row[f"c{i}"], row[f"s{i}"] or None) for i, c in enumerate(names)]
 

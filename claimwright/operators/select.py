@@ -16,7 +16,7 @@ from .profile import _correlations, correlation_matrix
 def variances(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(feature, variance), population variance."""
     names = fx.present(df, columns or fx.numeric_columns(df))
-    one = df.agg(*[F.var_pop(fx.quoted(c).cast("double")).alias(f"v{i}") for i, c in enumerate(names)])
+    one = df.agg(*[fx.spread_pop(fx.quoted(c).cast("double")).alias(f"v{i}") for i, c in enumerate(names)])
     rows = [F.struct(F.lit(c).alias("feature"), F.col(f"v{i}").alias("variance")) for i, c in enumerate(names)]
     return one.select(F.inline(F.array(*rows)))
 
