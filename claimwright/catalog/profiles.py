@@ -47,15 +47,16 @@ def missing_profile(spark, sf_dir):
     over_claims(
         union(
             f"SELECT '{c}' AS \"column\", count(x) AS count, round(avg(x), 4) AS mean, round(stddev_samp(x), 4) AS std, "
-            "round(min(x), 4) AS min, round(quantile_cont(x, 0.25), 4) AS p25, round(quantile_cont(x, 0.5), 4) AS p50, "
-            f"round(quantile_cont(x, 0.75), 4) AS p75, round(max(x), 4) AS max FROM (SELECT CAST({c} AS DOUBLE) AS x FROM claims)"
+            "round(min(x), 6) AS min, round(quantile_cont(x, 0.25), 6) AS p25, round(quantile_cont(x, 0.5), 6) AS p50, "
+            f"round(quantile_cont(x, 0.75), 6) AS p75, round(max(x), 6) AS max FROM (SELECT CAST({c} AS DOUBLE) AS x FROM claims)"
             for c in NUMBERS
         ),
         NUMBERS,
     ),
 )
 def describe_numeric(spark, sf_dir):
-    return profile.describe_numeric(claims_view(spark, sf_dir, NUMBERS), digits=4)
+    # amounts have four decimals, their interpolated quartiles six: fewer would round ties
+    return rounded(profile.describe_numeric(claims_view(spark, sf_dir, NUMBERS), digits=6), ["mean", "std"])
 
 
 @add(
