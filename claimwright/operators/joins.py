@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import columns as fx
 
-BROADCAST_ROWS = 200_000  # a keyed side of up to this many rows may be broadcast
+# A keyed side may be broadcast if it has been measured to stay within both bounds.
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_ROWS = 1_000_000  # a key is never called hot below this
 
 
@@ -22,16 +24,26 @@ def hot_keys(df: DataFrame, column: str) -> list:
     return [r["k"] for r in largest if r["n"] * parts > total]
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Measure a side, but never more of it than could pass."""
+    text = F.to_json(F.struct(*[fx.quoted(c) for c in df.columns]))
+    row = (
+        df.limit(BROADCAST_ROWS + 1)
+        .agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("bytes"))
+        .first()
+    )
+    return row["rows"] <= BROADCAST_ROWS and row["bytes"] <= BROADCAST_BYTES
+
+
 def keyed_join(df: DataFrame, right: DataFrame, on: str, key: str, how: str = "left") -> DataFrame:
     """Join ``right`` (``key`` under a name of its own) to ``df``; how is left, left_semi or left_anti.
 
-    A right side of counted, bounded size is broadcast. Otherwise the rows of hot keys are split
+    A right side measured to be small is broadcast. Otherwise the rows of hot keys are split
     off: the one right row of each hot key is broadcast to them, and only the evenly spread rest
     is shuffled.
     """
-    size = right.limit(BROADCAST_ROWS + 1).count()
     match = fx.quoted(on) == fx.quoted(key)
-    if size <= BROADCAST_ROWS:
+    if fits_broadcast(right):
         return df.join(F.broadcast(right), match, how)
     hot = hot_keys(df, on)
     if not hot:

@@ -164,29 +164,49 @@ def distinct_count(df: DataFrame, columns: Sequence[str], approximate: bool = Fa
     return listed.join(counted, "column", "left").select("column", F.coalesce("n", F.lit(0).cast("bigint")).alias("n_distinct"))
 
 
-def pair_correlation(a: Column, b: Column) -> Column:
-    """Pearson over rows where both are present; null when either is constant."""
-    both_a, both_b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-    r = F.try_divide(F.covar_pop(a, b), F.stddev_pop(both_a) * F.stddev_pop(both_b))
-    return F.when(fx.varies(both_a) & fx.varies(both_b), r)
+def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(x, y, r) for the given pairs, Pearson over rows where both are present.
 
+    A first pass finds the means and which columns have nulls or are constant. Over columns
+    without nulls the second pass then sums centred products, one per pair, which is stable and
+    small in generated code; only pairs with nulls need moments of their own. r is null when
+    either side is constant.
+    """
+    names = list(dict.fromkeys(c for pair in pairs for c in pair))
+    if not names:
+        return df.sparkSession.createDataFrame([], "x string, y string, r double")
+    def number(c: str) -> Column:
+        return fx.quoted(c).cast("double")
+    seen = df.agg(
+        *[F.count_if(number(c).isNull()).alias(f"n{i}") for i, c in enumerate(names)],
+        *[fx.varies(number(c)).alias(f"v{i}") for i, c in enumerate(names)],
+        *[F.avg(number(c)).alias(f"m{i}") for i, c in enumerate(names)],
+    ).first()
+    means = {c: seen[f"m{i}"] for i, c in enumerate(names)}
+    complete = {c for i, c in enumerate(names) if seen[f"n{i}"] == 0}
+    varying = {c for i, c in enumerate(names) if seen[f"v{i}"]}
+
+    def correlation(x: str, y: str) -> Column:
+        if x not in varying or y not in varying:
+            return F.lit(None).cast("double")
+        a, b = number(x), number(y)
+        if x in complete and y in complete:
+            a, b = a - F.lit(means[x]), b - F.lit(means[y])
+            return F.try_divide(F.sum(a * b), F.sqrt(F.sum(a * a)) * F.sqrt(F.sum(b * b)))
+        both_a = a if y in complete else F.when(b.isNotNull(), a)
+        both_b = b if x in complete else F.when(a.isNotNull(), b)
+        r = F.try_divide(F.covar_pop(a, b), F.stddev_pop(both_a) * F.stddev_pop(both_b))
+        return F.when(fx.varies(both_a) & fx.varies(both_b), r)
 
-def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """(x, y, r) for the given pairs: one aggregate row per pass, then one row per pair."""
     result = None
     for start in range(0, len(pairs), PAIRS_PER_PASS):
         part = pairs[start:start + PAIRS_PER_PASS]
-        one = df.agg(*[
-            pair_correlation(fx.quoted(a).cast("double"), fx.quoted(b).cast("double")).alias(f"r{i}")
-            for i, (a, b) in enumerate(part)
-        ])
+        one = df.agg(*[correlation(a, b).alias(f"r{i}") for i, (a, b) in enumerate(part)])
         rows = [
             F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(part)
         ]
         long = one.select(F.inline(F.array(*rows)))
         result = long if result is None else result.unionByName(long)
-    if result is None:
-        return df.sparkSession.createDataFrame([], "x string, y string, r double")
     return result
 
 
