@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions import columns as fx
 from .clean import require_columns
 
+# Severities; the check names and message texts below are fixed values too.
 INFO, WARNING, ERROR, CRITICAL = "info", "warning", "error", "critical"
 
 DETAILS = "map<string,string>"
