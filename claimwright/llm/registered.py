@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality
+from . import pii, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,7 +22,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"judged.{n}").alias(n) for n in names])
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every whole text: counts and digest of the strict spans, and all spans."""
+    found = pii.find_identifiers(spark, documents_of(spark, sf_dir))
+    counts = [F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    digest = F.sha2(pii.spans_text(F.col("base")), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, pii.spans_text(F.concat("base", "added")).alias("spans"))
+
+
 QUERIES: dict[str, Query] = {
+    "op4_pii": op4_pii,
     "op10_quality_rules": op10_quality_rules,
 }
 
