@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import pii, quality
+from . import minhash, pii, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,12 @@ def documents_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle counts, components of near duplicates and the kept documents."""
+    found = minhash.near_duplicates(spark, documents_of(spark, sf_dir))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of every whole text and the verdict of line-first cleaning."""
     judged = quality.judge(documents_of(spark, sf_dir).select("doc_id", "text"))
@@ -32,6 +38,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op4_pii": op4_pii,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 
