@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import minhash, pii, quality
+from . import embeddings, minhash, pii, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,12 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links at cosine 0.95 and more, components and the kept vectors."""
+    found = embeddings.near_vectors(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of every whole text and the verdict of line-first cleaning."""
     judged = quality.judge(documents_of(spark, sf_dir).select("doc_id", "text"))
@@ -39,6 +45,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op4_pii": op4_pii,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 
