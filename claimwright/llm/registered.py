@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import embeddings, minhash, pii, quality
+from . import embeddings, lm, minhash, pii, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,11 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every whole text under the n-gram model of the training documents."""
+    return lm.score_texts(documents_of(spark, sf_dir))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of every whole text and the verdict of line-first cleaning."""
     judged = quality.judge(documents_of(spark, sf_dir).select("doc_id", "text"))
@@ -46,6 +51,7 @@ QUERIES: dict[str, Query] = {
     "op4_pii": op4_pii,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_quality_rules": op10_quality_rules,
 }
 
