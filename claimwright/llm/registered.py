@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import embeddings, lm, minhash, pii, quality
+from . import embeddings, lm, minhash, packing, pii, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +40,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"judged.{n}").alias(n) for n in names])
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 4096 tokens, one row per piece."""
+    pieces = packing.pack_documents(documents_of(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every whole text: counts and digest of the strict spans, and all spans."""
     found = pii.find_identifiers(spark, documents_of(spark, sf_dir))
@@ -48,6 +55,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_packing": op3_packing,
     "op4_pii": op4_pii,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
