@@ -2,17 +2,18 @@
 
 * Every text becomes its set of distinct 5-word shingles and a signature of 128 minima. Texts
   with equal sets form a class, represented by its smallest id.
-* The forest holds 24 orders of the signature. Documents that share a prefix of an order form a
-  region. Deep regions (six values) and shallow ones (three) tie every member to the region's
-  first document; a pair is kept as candidate if its sizes and signatures allow the similarity.
-* Candidates are confirmed on the whole sets. Regions whose members are then all connected are
-  closed. In the others the depth was too great or the first document the wrong partner: there
-  all members of different components are compared by signature, in blocks of bounded size, and
-  what passes is confirmed on the whole sets too.
-
-A pair with similarity 0.75 shares no shallow region with probability (1 - 0.75^3)^24 = 2e-6 and
-has fewer than 68 of 128 equal minima with probability below 1e-7; both only make links be
-missed, none is added, as each is confirmed.
+* The forest holds 32 orders of the signature. Documents that share a prefix of an order form a
+  region. Shallow regions (four values) tie every member to the region's first document, and so
+  do the deep ones (eight values) within regions of more than two. A pair is kept as candidate
+  if its sizes and signatures allow the similarity, and is confirmed on the whole sets.
+* Regions whose members are then all connected are closed. The others are opened, in blocks of
+  bounded size: every member is paired with its nearest members of other components, at first
+  the four nearest, then sixteen times as many each round until none are left out. Confirmed
+  links close regions from round to round, so large groups of near copies never meet pair by pair.
+
+A pair with similarity 0.75 shares no shallow region with probability (1 - 0.75^4)^32 = 5e-6 and
+has fewer than 72 of 128 equal minima with probability below 2e-6; both can only miss a link,
+none is added, as each is confirmed.
 
 Null texts and texts without words have empty sets, no links, and are kept. A null id takes no
 part and is kept, with no component. Repeated rows belong to one class. Rows that share an id
@@ -31,10 +32,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from .components import components, written
 
 MINIMA = 128
-ORDERS = 24
-DEPTHS = (3, 6)
-LEAST_EQUAL = 68  # of the minima, for a candidate
-BLOCK = 1024  # documents of a region compared in one task
+ORDERS = 32
+DEPTHS = (4, 8)
+LEAST_EQUAL = 72  # of the minima, for a candidate
+BLOCK = 1024  # documents of a region compared at once
+PARTNERS = 4  # nearest partners tried per document and region in the first round
+SIEVE_BITS = 1 << 24
 WINDOW = 5
 
 
@@ -141,43 +144,95 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array((a == b).sum(axis=1) >= LEAST_EQUAL)).select(["a", "b"])
 
 
+def regions_of(members: DataFrame, *columns: str) -> DataFrame:
+    """One row per document and order, with the keys of its shallow and deep region."""
+    both = F.transform(F.sequence(F.lit(0), F.lit(ORDERS - 1)), lambda i: F.struct(F.get("keys", 2 * i).alias("key"), F.get("keys", 2 * i + 1).alias("deep")))
+    return members.select("id", "n_shingles", *columns, F.explode(both).alias("region")).select("id", "n_shingles", *columns, "region.*")
+
+
 def star_candidates(members: DataFrame) -> DataFrame:
     """Pairs of each document with the first one of each of its regions, if sizes and signatures allow."""
-    rows = members.select("id", "n_shingles", F.explode("keys").alias("key"))
-    first = rows.groupBy("key").agg(F.min(F.struct("id", "n_shingles")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = (
-        rows.join(first, "key")
-        .where((F.col("id") > F.col("first.id")) & sizes_allow("n_shingles", "first.n_shingles"))
-        .select(F.col("first.id").alias("a"), F.col("id").alias("b"))
-        .distinct()
-    )
+    first = F.min(F.struct("id", "n_shingles")).alias("first")
+    rows = regions_of(members)
+    shared = rows.join(rows.groupBy("key").agg(first, F.count(F.lit(1)).alias("n")).where("n > 1"), "key")
+    dense = shared.where("n > 2").drop("first", "n")
+    deeper = dense.join(dense.groupBy("deep").agg(first, F.count(F.lit(1)).alias("n")).where("n > 1"), "deep")
+    pairs = [
+        r.where((F.col("id") > F.col("first.id")) & sizes_allow("n_shingles", "first.n_shingles")).select(F.col("first.id").alias("a"), F.col("id").alias("b"))
+        for r in (shared, deeper)
+    ]
+    pairs = pairs[0].unionByName(pairs[1]).distinct()
     signatures = members.select("id", "signature")
     with_both = pairs.join(signatures.toDF("b", "signature_b"), "b").join(signatures.toDF("a", "signature_a"), "a")
     return with_both.mapInArrow(_alike, pairs.schema)
 
 
-def _crossing(key, rows):
-    """Pairs of one block of a region: different components, sizes and signatures allow the similarity."""
-    import pandas as pd
-
-    low, high = key[1], key[2]
-    left, right = rows[rows.part == low], rows[rows.part == high]
-    s, t = (np.frombuffer(b"".join(x.signature), np.uint8).reshape(-1, MINIMA) for x in (left, right))
-    ids, components_, sizes = right.id.to_numpy(), right.component.to_numpy(), right.n_shingles.to_numpy()
-    found = []
-    for i, (id_, component, size) in enumerate(zip(left.id, left.component, left.n_shingles)):
-        fits = (components_ != component) & (100 * np.minimum(sizes, size) >= 75 * np.maximum(sizes, size)) & ((ids > id_) if low == high else True)
-        at = np.flatnonzero(fits)
-        at = at[(t[at] == s[i]).sum(axis=1) >= LEAST_EQUAL]
-        found += [(min(id_, x), max(id_, x)) for x in ids[at]]
-    return pd.DataFrame(found, columns=["a", "b"])
-
-
-def crossing_candidates(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs between different components within shallow regions that are not yet connected."""
-    shallow = F.filter("keys", lambda k, i: i % len(DEPTHS) == 0)
-    known = members.join(found.withColumnRenamed("id", "node"), F.col("id") == F.col("node"), "left")
-    rows = known.select("id", F.coalesce("component", "id").alias("component"), "n_shingles", "signature", F.explode(shallow).alias("key"))
+def _nearest(rows: pa.RecordBatch, partners: int, names: list[str]) -> pa.RecordBatch:
+    """Nearest partners of other components within the blocks of a sorted batch of whole blocks."""
+    block = np.zeros(rows.num_rows, np.int64)
+    for name in ("key", "low", "high"):
+        values = rows[name].to_numpy()
+        block[1:] |= values[1:] != values[:-1]
+    block = np.cumsum(block)
+    component, size, part = (rows[n].to_numpy() for n in ("component", "n_shingles", "part"))
+    within = rows["low"].to_numpy() == rows["high"].to_numpy()
+    signature = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint8).reshape(-1, MINIMA)
+    found, equal, step, at = [], [], 1, np.arange(rows.num_rows - 1)
+    while len(at):
+        at = at[at + step < len(block)]
+        at = at[block[at] == block[at + step]]
+        other = at + step
+        fits = (component[at] != component[other]) & (within[at] | (part[at] != part[other]))
+        fits &= 100 * np.minimum(size[at], size[other]) >= 75 * np.maximum(size[at], size[other])
+        i, j = at[fits], other[fits]
+        same = (signature[i] == signature[j]).sum(axis=1)
+        keep = same >= LEAST_EQUAL
+        found.append(np.stack([i[keep], j[keep]]))
+        equal.append(same[keep])
+        step += 1
+    i, j = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+    equal = np.concatenate(equal) if equal else np.zeros(0, np.int64)
+    # rank both directions of every pair among the partners of its row, nearest first
+    row, pair, near = np.concatenate([i, j]), np.tile(np.arange(len(i)), 2), np.tile(equal, 2)
+    order = np.lexsort((pair, -near, row))
+    starts = np.searchsorted(row[order], row[order])
+    rank = np.arange(len(order)) - starts
+    chosen = np.unique(pair[order][rank < partners])
+    full = np.unique(row[order][rank >= partners])
+    left_out = np.isin(i[chosen], full) | np.isin(j[chosen], full)
+    ids = rows["id"]
+    a, b = ids.take(pa.array(i[chosen])), ids.take(pa.array(j[chosen]))
+    import pyarrow.compute as pc
+
+    smaller = pc.less(a, b)
+    return pa.RecordBatch.from_arrays([pc.if_else(smaller, a, b), pc.if_else(smaller, b, a), pa.array(left_out)], names=names)
+
+
+def _crossing(partners: int, names: list[str]):
+    def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # rows of the last block, which may go on in the next batch
+        for batch in batches:
+            table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+            if not table.num_rows:
+                continue
+            rows = table.to_batches()[0]
+            last = [rows[n][-1] for n in ("key", "low", "high")]
+            cut = rows.num_rows
+            while cut and [rows[n][cut - 1] for n in ("key", "low", "high")] == last:
+                cut -= 1
+            if cut:
+                yield _nearest(rows.slice(0, cut), partners, names)
+            held = rows.slice(cut)
+        if held is not None:
+            yield _nearest(held, partners, names)
+
+    return cross
+
+
+def crossing_candidates(members: DataFrame, found: DataFrame, partners: int) -> DataFrame:
+    """(a, b, left_out) of nearest documents of different components that share a shallow region."""
+    known = members.join(found.withColumnRenamed("id", "node"), F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id"))
+    rows = regions_of(known, "component").drop("deep")
     open_ = (
         rows.groupBy("key")
         .agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("least"), F.max("component").alias("greatest"))
@@ -188,11 +243,13 @@ def crossing_candidates(members: DataFrame, found: DataFrame) -> DataFrame:
         rows.join(open_, "key")
         .withColumn("part", F.pmod(F.xxhash64("id", "key"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")})
+        .select("id", "component", "n_shingles", "key", "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
     )
+    signed_ = blocks.join(members.select(F.col("id").alias("of"), "signature"), F.col("id") == F.col("of")).drop("of")
     kind = members.schema["id"].dataType
-    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
-    return blocks.groupBy("key", "low", "high").applyInPandas(_crossing, schema).distinct()
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("left_out", T.BooleanType())])
+    ordered = signed_.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+    return ordered.mapInArrow(_crossing(partners, schema.names), schema).groupBy("a", "b").agg(F.max("left_out").alias("left_out"))
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,9 +265,28 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
 
+def sieved(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose id may be among ``ids``: all that are and few others.
+
+    A bitmap of hashed ids is broadcast. It never exceeds SIEVE_BITS / 8 bytes; with many more
+    ids it only lets more rows pass.
+    """
+
+    def place(column: str):
+        return F.pmod(F.xxhash64(column), F.lit(SIEVE_BITS).cast("long"))
+
+    bits = ids.select(place("id").alias("place"))
+    bits = bits.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    placed = rows.withColumn("place", place("id"))
+    byte = F.conv(F.hex(F.substring("bits", (F.bitmap_bit_position("place") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = byte.bitwiseAND(F.expr("shiftleft(1, cast(bitmap_bit_position(place) % 8 as int))"))
+    return placed.join(F.broadcast(bits), F.bitmap_bucket_number("place") == F.col("bucket")).where(bit != 0).drop("place", "bucket", "bits")
+
+
 def confirmed(pairs: DataFrame, documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     """The pairs whose whole shingle sets reach the similarity."""
     texts = documents.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").cast("string").cast("binary").alias("text"))
+    texts = sieved(texts, pairs.select(F.explode(F.array("a", "b")).alias("id")))
     both = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
     return both.mapInArrow(_confirmed, pairs.schema)
 
@@ -223,10 +299,16 @@ def near_duplicates(spark: SparkSession, documents: DataFrame, doc_id: str = "do
     tested = written(spark, star_candidates(members), "candidates")
     links = written(spark, confirmed(tested, documents, doc_id, text), "links")
     found = components(spark, links)
-    more = written(spark, crossing_candidates(members, found).join(tested, ["a", "b"], "left_anti"), "candidates")
-    if not more.isEmpty():
-        extra = confirmed(more, documents, doc_id, text)
-        found = components(spark, found.toDF("a", "b").unionByName(extra))
+    partners, left_out = PARTNERS, True
+    while left_out:
+        crossing = written(spark, crossing_candidates(members, found, partners).join(tested, ["a", "b"], "left_anti"), "candidates")
+        left_out = not crossing.where("left_out").isEmpty()
+        more = crossing.select("a", "b")
+        if not more.isEmpty():
+            links = confirmed(more, documents, doc_id, text)
+            found = components(spark, found.toDF("a", "b").unionByName(links))
+            tested = tested.unionByName(more)
+        partners *= 16
     named = classes.join(found, F.col("first") == F.col("id"), "left").select(F.col("class").alias("of"), F.coalesce("component", "first").alias("component"))
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return rows.join(named, F.col("class") == F.col("of"), "left").select(
