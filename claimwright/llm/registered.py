@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import embeddings, lm, minhash, packing, pii, quality
+from . import bpe, embeddings, lm, minhash, packing, pii, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,13 @@ def documents_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded and decoded again; digests of ids and bytes."""
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = bpe.decode_ids(bpe.encode_texts(documents_of(spark, sf_dir), ranks, public_tokenizers.PATTERN), ranks, public_tokenizers.PATTERN)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle counts, components of near duplicates and the kept documents."""
     found = minhash.near_duplicates(spark, documents_of(spark, sf_dir))
@@ -57,6 +64,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_packing": op3_packing,
     "op4_pii": op4_pii,
+    "op6_byte_bpe": op6_byte_bpe,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_lm_scoring": op9_lm_scoring,
