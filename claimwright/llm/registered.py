@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, embeddings, lm, minhash, packing, pii, quality
+from . import bpe, embeddings, language, lm, minhash, packing, pii, quality, sharding
+from .columns import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +48,22 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"judged.{n}").alias(n) for n in names])
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text, learnt from four fifths of the documents."""
+    held = held_out(F.col("doc_id"), 5, 0)
+    documents = documents_of(spark, sf_dir)
+    model = language.fit_languages(spark, documents.where(~held))
+    found = language.predict_languages(documents.select("doc_id", "text"), model)
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards of near equal bytes; equal texts stay together."""
+    found = sharding.shard_documents(spark, documents_of(spark, sf_dir), 8)
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return found.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 4096 tokens, one row per piece."""
     pieces = packing.pack_documents(documents_of(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
@@ -62,6 +79,8 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_language_id": op1_language_id,
+    "op2_sharding": op2_sharding,
     "op3_packing": op3_packing,
     "op4_pii": op4_pii,
     "op6_byte_bpe": op6_byte_bpe,
