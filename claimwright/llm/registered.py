@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, embeddings, language, lm, minhash, packing, pii, quality, sharding
+from . import bpe, embeddings, language, lm, minhash, packing, pii, quality, sharding, toxicity
 from .columns import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,16 @@ def documents_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every whole text, learnt from the labels of three quarters of the ids."""
+    held = held_out(F.col("doc_id"), 4, 2)
+    documents = documents_of(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    model = toxicity.fit_toxicity(spark, documents.join(labels, "doc_id"))
+    scored = toxicity.measure(documents, model)
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded and decoded again; digests of ids and bytes."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -83,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op2_sharding": op2_sharding,
     "op3_packing": op3_packing,
     "op4_pii": op4_pii,
+    "op5_toxicity": op5_toxicity,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
