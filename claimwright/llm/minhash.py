@@ -7,9 +7,11 @@
   do the deep ones (eight values) within regions of more than two. A pair is kept as candidate
   if its sizes and signatures allow the similarity, and is confirmed on the whole sets.
 * Regions whose members are then all connected are closed. The others are opened, in blocks of
-  bounded size: every member is paired with its nearest members of other components, at first
-  the four nearest, then sixteen times as many each round until none are left out. Confirmed
-  links close regions from round to round, so large groups of near copies never meet pair by pair.
+  bounded size: every member is paired with its four nearest members of other components, and
+  confirmed links close further regions. Members that had more partners are then compared with
+  all of them, where both sides meet: blocks get the texts, each pair is looked at in the first
+  order it shares, nearest first, and only links between components leave a task. So a large
+  group of near copies never becomes a table of pairs.
 
 A pair with similarity 0.75 shares no shallow region with probability (1 - 0.75^4)^32 = 5e-6 and
 has fewer than 72 of 128 equal minima with probability below 2e-6; both can only miss a link,
@@ -26,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -36,8 +39,10 @@ ORDERS = 32
 DEPTHS = (4, 8)
 LEAST_EQUAL = 72  # of the minima, for a candidate
 BLOCK = 1024  # documents of a region compared at once
-PARTNERS = 4  # nearest partners tried per document and region in the first round
+TEXT_BLOCK = 256  # the same with their texts
+PARTNERS = 4  # nearest partners paired per document and region
 SIEVE_BITS = 1 << 24
+BLOCK_KEY = ("key", "low", "high")
 WINDOW = 5
 
 
@@ -167,17 +172,20 @@ def star_candidates(members: DataFrame) -> DataFrame:
     return with_both.mapInArrow(_alike, pairs.schema)
 
 
-def _nearest(rows: pa.RecordBatch, partners: int, names: list[str]) -> pa.RecordBatch:
-    """Nearest partners of other components within the blocks of a sorted batch of whole blocks."""
+def _paired(rows: pa.RecordBatch, wanted=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows of one block that may be similar and differ in component, with their equal minima.
+
+    ``wanted(i, j)`` can rule out further pairs before signatures are compared.
+    """
     block = np.zeros(rows.num_rows, np.int64)
-    for name in ("key", "low", "high"):
+    for name in BLOCK_KEY:
         values = rows[name].to_numpy()
         block[1:] |= values[1:] != values[:-1]
     block = np.cumsum(block)
     component, size, part = (rows[n].to_numpy() for n in ("component", "n_shingles", "part"))
     within = rows["low"].to_numpy() == rows["high"].to_numpy()
     signature = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint8).reshape(-1, MINIMA)
-    found, equal, step, at = [], [], 1, np.arange(rows.num_rows - 1)
+    found, step, at = [np.zeros((3, 0), np.int64)], 1, np.arange(rows.num_rows - 1)
     while len(at):
         at = at[at + step < len(block)]
         at = at[block[at] == block[at + step]]
@@ -185,71 +193,139 @@ def _nearest(rows: pa.RecordBatch, partners: int, names: list[str]) -> pa.Record
         fits = (component[at] != component[other]) & (within[at] | (part[at] != part[other]))
         fits &= 100 * np.minimum(size[at], size[other]) >= 75 * np.maximum(size[at], size[other])
         i, j = at[fits], other[fits]
-        same = (signature[i] == signature[j]).sum(axis=1)
-        keep = same >= LEAST_EQUAL
-        found.append(np.stack([i[keep], j[keep]]))
-        equal.append(same[keep])
+        if wanted is not None:
+            keep = wanted(i, j)
+            i, j = i[keep], j[keep]
+        equal = (signature[i] == signature[j]).sum(axis=1)
+        keep = equal >= LEAST_EQUAL
+        found.append(np.stack([i[keep], j[keep], equal[keep]]))
         step += 1
-    i, j = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-    equal = np.concatenate(equal) if equal else np.zeros(0, np.int64)
-    # rank both directions of every pair among the partners of its row, nearest first
+    return tuple(np.concatenate(found, axis=1))
+
+
+def _ordered(rows: pa.RecordBatch, i: np.ndarray, j: np.ndarray) -> list[pa.Array]:
+    a, b = rows["id"].take(pa.array(i)), rows["id"].take(pa.array(j))
+    smaller = pc.less_equal(a, b)
+    return [pc.if_else(smaller, a, b), pc.if_else(smaller, b, a)]
+
+
+def _nearest(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """Each row with its nearest partners; a row that has more comes with itself besides."""
+    i, j, equal = _paired(rows)
     row, pair, near = np.concatenate([i, j]), np.tile(np.arange(len(i)), 2), np.tile(equal, 2)
     order = np.lexsort((pair, -near, row))
-    starts = np.searchsorted(row[order], row[order])
-    rank = np.arange(len(order)) - starts
-    chosen = np.unique(pair[order][rank < partners])
-    full = np.unique(row[order][rank >= partners])
-    left_out = np.isin(i[chosen], full) | np.isin(j[chosen], full)
-    ids = rows["id"]
-    a, b = ids.take(pa.array(i[chosen])), ids.take(pa.array(j[chosen]))
-    import pyarrow.compute as pc
+    rank = np.arange(len(order)) - np.searchsorted(row[order], row[order])
+    chosen = np.unique(pair[order][rank < PARTNERS])
+    crowded = np.unique(row[order][rank >= PARTNERS])
+    return pa.RecordBatch.from_arrays(_ordered(rows, np.concatenate([i[chosen], crowded]), np.concatenate([j[chosen], crowded])), names=["a", "b"])
+
+
+def _dense(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """Confirmed links between components, for pairs with a crowded row, each in its first shared order."""
+    keys = np.asarray(rows["keys"].flatten()).reshape(-1, ORDERS)
+    key, crowded, component = rows["key"].to_numpy(), rows["crowded"].to_numpy(zero_copy_only=False), rows["component"].to_pylist()
+
+    def wanted(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        first = (keys[i] == keys[j]).argmax(axis=1)
+        return (crowded[i] | crowded[j]) & (keys[i, first] == key[i])
+
+    i, j, equal = _paired(rows, wanted)
+    parent: dict = {}
+
+    def root(x):
+        while x in parent:
+            x = parent[x]
+        return x
+
+    sets: dict[int, set] = {}
 
-    smaller = pc.less(a, b)
-    return pa.RecordBatch.from_arrays([pc.if_else(smaller, a, b), pc.if_else(smaller, b, a), pa.array(left_out)], names=names)
+    def shingles(row: int) -> set:
+        if row not in sets:
+            sets[row] = set(shingle_set(rows["text"][row].as_py()).tolist())
+        return sets[row]
 
+    linked = []
+    for pair in np.argsort(-equal, kind="stable").tolist():
+        x, y = int(i[pair]), int(j[pair])
+        left, right = root(component[x]), root(component[y])
+        if left != right:
+            shared = len(shingles(x) & shingles(y))
+            if 100 * shared >= 75 * (len(sets[x]) + len(sets[y]) - shared):
+                parent[left] = right
+                linked.append((x, y))
+    return pa.RecordBatch.from_arrays(_ordered(rows, *np.array(linked, np.int64).reshape(-1, 2).T), names=["a", "b"])
 
-def _crossing(partners: int, names: list[str]):
-    def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _by_blocks(body):
+    """Applies ``body`` to batches of whole blocks; the rows come sorted by block."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # rows of the last block, which may go on in the next batch
         for batch in batches:
             table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
             if not table.num_rows:
                 continue
             rows = table.to_batches()[0]
-            last = [rows[n][-1] for n in ("key", "low", "high")]
-            cut = rows.num_rows
-            while cut and [rows[n][cut - 1] for n in ("key", "low", "high")] == last:
-                cut -= 1
+            last = np.ones(rows.num_rows, bool)
+            for name in BLOCK_KEY:
+                values = rows[name].to_numpy()
+                last &= values == values[-1]
+            cut = int(last.argmax())
             if cut:
-                yield _nearest(rows.slice(0, cut), partners, names)
+                yield body(rows.slice(0, cut))
             held = rows.slice(cut)
         if held is not None:
-            yield _nearest(held, partners, names)
+            yield body(held)
 
-    return cross
+    return apply
 
 
-def crossing_candidates(members: DataFrame, found: DataFrame, partners: int) -> DataFrame:
-    """(a, b, left_out) of nearest documents of different components that share a shallow region."""
-    known = members.join(found.withColumnRenamed("id", "node"), F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id"))
-    rows = regions_of(known, "component").drop("deep")
-    open_ = (
-        rows.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("least"), F.max("component").alias("greatest"))
-        .where("n > 2 and least <> greatest")
-        .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
-    )
-    blocks = (
-        rows.join(open_, "key")
+def _blocks(rows: DataFrame, parts) -> DataFrame:
+    """Rows with key, id and ``n`` rows in their region, dealt into blocks that let all parts meet."""
+    return (
+        rows.withColumn("parts", parts)
         .withColumn("part", F.pmod(F.xxhash64("id", "key"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("id", "component", "n_shingles", "key", "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
+        .withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")})
+        .drop("n", "parts", "other")
     )
+
+
+def with_components(members: DataFrame, found: DataFrame) -> DataFrame:
+    return members.join(found.withColumnRenamed("id", "node"), F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id"))
+
+
+def crossing_candidates(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Nearest pairs (a, b) of different components that share a shallow region.
+
+    A document with more partners than are paired comes as a pair with itself.
+    """
+    rows = regions_of(with_components(members, found), "component").drop("deep")
+    open_ = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("least"), F.max("component").alias("greatest"))
+    open_ = open_.where("n > 2 and least <> greatest").select("key", "n")
+    blocks = _blocks(rows.join(open_, "key"), F.ceil(F.col("n") / BLOCK).cast("int"))
     signed_ = blocks.join(members.select(F.col("id").alias("of"), "signature"), F.col("id") == F.col("of")).drop("of")
     kind = members.schema["id"].dataType
-    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("left_out", T.BooleanType())])
-    ordered = signed_.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    return ordered.mapInArrow(_crossing(partners, schema.names), schema).groupBy("a", "b").agg(F.max("left_out").alias("left_out"))
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+    return signed_.repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY).mapInArrow(_by_blocks(_nearest), schema).distinct()
+
+
+def dense_links(members: DataFrame, found: DataFrame, crowded: DataFrame, documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Confirmed links of crowded documents (column id) to other components, found within the blocks."""
+    shallow = F.filter("keys", lambda k, i: i % len(DEPTHS) == 0)
+    marked = with_components(members, found).join(crowded.select(F.col("id").alias("node_id"), F.lit(True).alias("crowded")), F.col("id") == F.col("node_id"), "left")
+    rows = regions_of(marked.withColumn("crowded", F.coalesce("crowded", F.lit(False))), "component", "crowded").drop("deep")
+    open_ = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("least"), F.max("component").alias("greatest"), F.max("crowded").alias("any"))
+    open_ = open_.where("any and least <> greatest").select("key", "n")
+    shared = rows.join(open_, "key")
+    texts = documents.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").cast("string").cast("binary").alias("text"))
+    texts = sieved(texts, shared.select("id")).toDF("text_id", "text")
+    known = members.select(F.col("id").alias("of"), "signature", shallow.alias("keys"))
+    blocks = _blocks(shared, F.ceil(F.col("n") / TEXT_BLOCK).cast("int"))
+    full = blocks.join(known, F.col("id") == F.col("of")).drop("of").join(texts, F.col("id") == F.col("text_id")).drop("text_id")
+    kind = members.schema["id"].dataType
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+    return full.repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY).mapInArrow(_by_blocks(_dense), schema)
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,7 +362,7 @@ def sieved(rows: DataFrame, ids: DataFrame) -> DataFrame:
 def confirmed(pairs: DataFrame, documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     """The pairs whose whole shingle sets reach the similarity."""
     texts = documents.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").cast("string").cast("binary").alias("text"))
-    texts = sieved(texts, pairs.select(F.explode(F.array("a", "b")).alias("id")))
+    texts = sieved(texts, pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))))
     both = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
     return both.mapInArrow(_confirmed, pairs.schema)
 
@@ -299,16 +375,12 @@ def near_duplicates(spark: SparkSession, documents: DataFrame, doc_id: str = "do
     tested = written(spark, star_candidates(members), "candidates")
     links = written(spark, confirmed(tested, documents, doc_id, text), "links")
     found = components(spark, links)
-    partners, left_out = PARTNERS, True
-    while left_out:
-        crossing = written(spark, crossing_candidates(members, found, partners).join(tested, ["a", "b"], "left_anti"), "candidates")
-        left_out = not crossing.where("left_out").isEmpty()
-        more = crossing.select("a", "b")
-        if not more.isEmpty():
-            links = confirmed(more, documents, doc_id, text)
-            found = components(spark, found.toDF("a", "b").unionByName(links))
-            tested = tested.unionByName(more)
-        partners *= 16
+    crossing = written(spark, crossing_candidates(members, found), "candidates")
+    nearest = crossing.where("a <> b").join(tested, ["a", "b"], "left_anti")
+    found = components(spark, found.toDF("a", "b").unionByName(confirmed(nearest, documents, doc_id, text)))
+    crowded = crossing.where("a = b").select(F.col("a").alias("id"))
+    if not crowded.isEmpty():
+        found = components(spark, found.toDF("a", "b").unionByName(dense_links(members, found, crowded, documents, doc_id, text)))
     named = classes.join(found, F.col("first") == F.col("id"), "left").select(F.col("class").alias("of"), F.coalesce("component", "first").alias("component"))
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return rows.join(named, F.col("class") == F.col("of"), "left").select(
