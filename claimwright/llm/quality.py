@@ -148,8 +148,8 @@ def text_statistics(text: Column, rules: Rules = Rules()) -> Column:
     return let(words_of(text), statistics)
 
 
-def judge(documents: DataFrame, text: str = "text", rules: Rules = Rules()) -> DataFrame:
-    """Adds ``judged``: statistics, ``base_failed``, the cleaned text and ``kept``.
+def judge(documents: DataFrame, text: str = "text", rules: Rules = Rules(), name: str = "judged") -> DataFrame:
+    """Adds a struct: statistics, ``base_failed``, the cleaned text and ``kept``.
 
     An input column of that name is replaced.
     """
@@ -167,11 +167,11 @@ def judge(documents: DataFrame, text: str = "text", rules: Rules = Rules()) -> D
         )
 
     both = F.struct(text_statistics(column, rules).alias("s"), clean_lines(column, rules).alias("c"))
-    return documents.withColumn("judged", let(both, verdict))
+    return documents.withColumn(name, let(both, verdict))
 
 
 def clean_documents(documents: DataFrame, text: str = "text", rules: Rules = Rules()) -> DataFrame:
     """The documents that pass, with their failing lines removed; same columns."""
-    kept = judge(documents, text, rules).where("judged.kept")
-    columns = [F.col("judged.text").alias(c) if c == text else F.col(f"`{c}`") for c in documents.columns]
+    kept = judge(documents, text, rules, "__judged").where("__judged.kept")
+    columns = [F.col("__judged.text").alias(c) if c == text else F.col(f"`{c}`") for c in documents.columns]
     return kept.select(*columns)

@@ -119,7 +119,8 @@ class ToxicityModel:
 
     def score(self, measures: list[float]) -> float:
         margin = self.intercept + sum(c * x for c, x in zip(self.coefficients, measures))
-        return float(1 / (1 + np.exp(-np.clip(margin, -500, 500))))
+        with np.errstate(over="ignore"):
+            return float(1 / (1 + np.exp(-margin)))
 
 
 def terms_of(text: str) -> set[str]:

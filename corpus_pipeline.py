@@ -53,8 +53,8 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of at most 4096 tokens, with their ids."""
-    return packing.pack_documents(docs, VOCABULARY)
+    """Pieces of documents in sequences of at most 4096 tokens, with their ids and the ids' crc32."""
+    return packing.pack_documents(docs, VOCABULARY).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [
