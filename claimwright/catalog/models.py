@@ -9,7 +9,7 @@ from statistics import NormalDist
 from pyspark.sql import functions as F
 
 from ..operators import evaluate, models, sampling, scale, scoring, tuning
-from ..operators.clean import drop_missing_rows
+from ..operators.clean import fill_missing
 from ..operators.registry import ModelRegistry
 from ..plans.claims_view import claims_view
 from ..session import scratch_path
@@ -119,8 +119,8 @@ FEATURES = ["AMT_BILLED", "AMT_DEDUCT", "AMT_COINS", "CLIENT_LOS", "SV_LINE"]
 
 
 def model_rows(spark, sf_dir):
-    """(train, validation): claims without nulls, split by an exact seeded fifth."""
-    rows = drop_missing_rows(claims_view(spark, sf_dir, ["CLAIM_ID_KEY", *FEATURES, LABEL]))
+    """(train, validation): all claims, an absent length of stay counted as 0, split by an exact seeded fifth."""
+    rows = fill_missing(claims_view(spark, sf_dir, ["CLAIM_ID_KEY", *FEATURES, LABEL]), {"CLIENT_LOS": 0})
     tagged = models.training_cache(sampling.tag_test_rows(rows, 0.2, LINE))
     return tagged.filter("NOT is_test").drop("is_test"), tagged.filter("is_test").drop("is_test")
 

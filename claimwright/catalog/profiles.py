@@ -260,14 +260,14 @@ def check_not_empty(spark, sf_dir):
 @add(
     "check_required_columns",
     check_sql(
-        "Required Columns Check", "error", "count(*) < 0", "'Missing columns: [''AMT_COPAY'']'", columns=["AMT_PAID"],
-        missing_columns="'AMT_COPAY'", total_required="'2'",
+        "Required Columns Check", "error", "false", "'Missing columns: [''AMT_COPAY'']'", columns=["AMT_PAID"],
+        missing_columns="'AMT_COPAY'", total_required="'2'", rows="CAST(count(*) AS VARCHAR)",
     ),
 )
 def check_required_columns(spark, sf_dir):
     return one_check(
         spark, sf_dir, ["AMT_PAID"], lambda df: quality.check_required_columns(df, ["AMT_PAID", "AMT_COPAY"]),
-        "missing_columns", "total_required",
+        "missing_columns", "total_required", "rows",
     )
 
 
@@ -302,22 +302,23 @@ EXCEEDING, N_EXCEEDING = missing_sql(NULLABLE, 0.08)
     check_sql(
         "Missing Values Check", "warning", f"{N_EXCEEDING} = 0", f"CAST({N_EXCEEDING} AS VARCHAR) || ' columns exceed 8% missing threshold'",
         columns=NULLABLE, columns_exceeding=f"ltrim({EXCEEDING}, ',')",
+        ratios="ltrim(" + " || ".join(f"CASE WHEN {missing_share(c)} > 0.08 THEN ',{c}:' || printf('%.2f', {missing_share(c)} * 100) || '%' ELSE '' END" for c in NULLABLE) + ", ',')",
     ),
 )
 def check_missing_values(spark, sf_dir):
-    return one_check(spark, sf_dir, NULLABLE, lambda df: quality.check_missing_values(df, 0.08), "columns_exceeding")
+    return one_check(spark, sf_dir, NULLABLE, lambda df: quality.check_missing_values(df, 0.08), "columns_exceeding", "ratios")
 
 
 @add(
     "check_data_types",
     check_sql(
-        "Data Types Check", "error", "count(*) < 0", "'1 columns have unexpected types'", columns=["AMT_PAID", "SV_STAT"],
-        type_issues="'SV_STAT:string'",
+        "Data Types Check", "error", "false", "'1 columns have unexpected types'", columns=["AMT_PAID", "SV_STAT"],
+        type_issues="'SV_STAT:string'", expected="'SV_STAT:NumericType'", rows="CAST(count(*) AS VARCHAR)",
     ),
 )
 def check_data_types(spark, sf_dir):
     expected = {"AMT_PAID": T.NumericType, "SV_STAT": T.NumericType}
-    return one_check(spark, sf_dir, ["AMT_PAID", "SV_STAT"], lambda df: quality.check_data_types(df, expected), "type_issues")
+    return one_check(spark, sf_dir, ["AMT_PAID", "SV_STAT"], lambda df: quality.check_data_types(df, expected), "type_issues", "expected", "rows")
 
 
 @add(
@@ -329,11 +330,14 @@ def check_data_types(spark, sf_dir):
         columns=["AMT_PAID", "CLIENT_LOS"],
         violations="ltrim(CASE WHEN min(AMT_PAID) < 0 THEN ',AMT_PAID:min' ELSE '' END || CASE WHEN max(AMT_PAID) > 50000 THEN ',AMT_PAID:max' ELSE '' END "
         "|| CASE WHEN min(CLIENT_LOS) < 0 THEN ',CLIENT_LOS:min' ELSE '' END, ',')",
+        values="ltrim(CASE WHEN min(AMT_PAID) < 0 THEN ',AMT_PAID:min:' || printf('%.2f', min(AMT_PAID)) || ' beyond 0.00' ELSE '' END || "
+        "CASE WHEN max(AMT_PAID) > 50000 THEN ',AMT_PAID:max:' || printf('%.2f', max(AMT_PAID)) || ' beyond 50000.00' ELSE '' END || "
+        "CASE WHEN min(CLIENT_LOS) < 0 THEN ',CLIENT_LOS:min:' || printf('%.2f', min(CLIENT_LOS)) || ' beyond 0.00' ELSE '' END, ',')",
     ),
 )
 def check_value_ranges(spark, sf_dir):
     ranges = {"AMT_PAID": (0, 50000), "CLIENT_LOS": (0, None)}
-    return one_check(spark, sf_dir, ["AMT_PAID", "CLIENT_LOS"], lambda df: quality.check_value_ranges(df, ranges), "violations")
+    return one_check(spark, sf_dir, ["AMT_PAID", "CLIENT_LOS"], lambda df: quality.check_value_ranges(df, ranges), "violations", "values")
 
 
 def negative_sql(columns):

@@ -35,6 +35,12 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
+def known(df: DataFrame, name: str) -> Column:
+    """A column with NaN as null, so that aggregates treat both as missing."""
+    kind = df.schema[name].dataType
+    return F.nanvl(quoted(name), F.lit(None).cast(kind)) if is_floating(kind) else quoted(name)
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Make null the only missing value. Done once, on ingest."""
     floats = {f.name: f.dataType for f in df.schema.fields if is_floating(f.dataType)}

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import columns as fx
 
-# Fixed value: default absolute count of missing values above which a column is dropped.
-HIGH_MISSING = 1_000_000
+# Share of missing values above which a column is dropped by default.
+HIGH_MISSING_SHARE = 0.5
 
 # The diagnosis columns of a claim line.
 DIAGNOSIS_COLUMNS = [f"ICD_DIAG_{i:02d}" for i in range(1, 14)] + ["ICD_DIAG_01_PRIMARY"]
@@ -22,21 +22,26 @@ def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, int]:
-    """Null count of every column in one aggregate pass; the result is one row."""
+    """Missing values (null or NaN) of every column in one aggregate pass; the result is one row."""
     names = fx.present(df, df.columns if columns is None else columns)
     if not names:
         return {}
-    row = df.agg(*[F.count_if(fx.quoted(c).isNull()).alias(f"n{i}") for i, c in enumerate(names)]).first()
+    row = df.agg(*[F.count_if(fx.known(df, c).isNull()).alias(f"n{i}") for i, c in enumerate(names)]).first()
     return {c: row[i] for i, c in enumerate(names)}
 
 
 def drop_high_missing(
-    df: DataFrame, threshold: int | None = None, keep_columns: Sequence[str] = ()
+    df: DataFrame, threshold: int | None = None, keep_columns: Sequence[str] = (), share: float = HIGH_MISSING_SHARE
 ) -> tuple[DataFrame, list[str]]:
-    """Drop columns with more than ``threshold`` nulls (an absolute count)."""
-    limit = HIGH_MISSING if threshold is None else threshold
-    counted = null_counts(df, [c for c in df.columns if c not in set(keep_columns)])
-    removed = [c for c, n in counted.items() if n > limit]
+    """Drop columns with more than ``share`` of their values missing.
+
+    An explicit ``threshold`` is an absolute count instead, whatever the number of rows.
+    """
+    names = [c for c in df.columns if c not in set(keep_columns)]
+    counts = [F.count_if(fx.known(df, c).isNull()).alias(f"n{i}") for i, c in enumerate(names)]
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *counts).first()
+    limit = share * row["rows"] if threshold is None else threshold
+    removed = [c for i, c in enumerate(names) if row[f"n{i}"] > limit]
     return df.drop(*removed), removed
 
 

@@ -90,7 +90,9 @@ def estimator(model_type: str, params: Mapping[str, Any], df: DataFrame, label:
             maxIter=params["max_iter"], tol=params.get("tol", 1e-8),
         )
     seed = params.get("random_state", 42)
-    depth = min(params.get("max_depth") or MAX_DEPTH, MAX_DEPTH)
+    depth = params.get("max_depth") or MAX_DEPTH
+    if depth > MAX_DEPTH:
+        raise ValueError(f"max_depth {depth}: trees are at most {MAX_DEPTH} deep")
     # a split needs two leaves, so half the minimum split size is the nearest leaf bound
     leaf = max(1, params.get("min_samples_split", 2) // 2)
     if model_type == "random_forest":

@@ -23,7 +23,7 @@ def _long(df: DataFrame, columns: Sequence[str], label: str = "column", value: s
 def missing_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Null count and percentage of each column that has nulls, most first."""
     names = fx.present(df, columns or df.columns)
-    one = df.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(fx.quoted(c).isNull()).alias(f"c{i}") for i, c in enumerate(names)])
+    one = df.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(fx.known(df, c).isNull()).alias(f"c{i}") for i, c in enumerate(names)])
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("missing_count")) for i, c in enumerate(names)])
     percent = F.round(F.col("missing_count") * 100.0 / F.col("n"), 2).alias("missing_pct")
     return (
@@ -40,7 +40,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, digits
     quartiles = exact_percentiles(df, {c: [0.25, 0.5, 0.75] for c in names})
     measures = []
     for i, c in enumerate(names):
-        x = fx.quoted(c).cast("double")
+        x = fx.known(df, c).cast("double")
         measures += [
             F.count(x).alias(f"count{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
             F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}"),
@@ -68,7 +68,7 @@ def adjusted_skew(column: Column) -> Column:
 
 
 def target_stats(df: DataFrame, target: str) -> DataFrame:
-    x = fx.quoted(target).cast("double")
+    x = fx.known(df, target).cast("double")
     median = exact_percentiles(df, {target: [0.5]})[target][0]
     return df.agg(
         F.avg(x).alias("mean"), F.lit(median).cast("double").alias("median"), F.stddev_samp(x).alias("std"), adjusted_skew(x).alias("skew")
@@ -86,7 +86,7 @@ def histogram(df: DataFrame, value: str | Column, bins: int = 50) -> DataFrame:
     A value is placed by division and then corrected against the edges, so that rounding in the
     division cannot put it on the wrong side of an edge.
     """
-    x = (fx.quoted(value) if isinstance(value, str) else value).cast("double")
+    x = F.nanvl((fx.quoted(value) if isinstance(value, str) else value).cast("double"), F.lit(None).cast("double"))
     low, high = _bounds(df, x)
     spark = df.sparkSession
     if low is None:
@@ -120,7 +120,7 @@ def histogram(df: DataFrame, value: str | Column, bins: int = 50) -> DataFrame:
 def boxplot_stats(df: DataFrame, column: str) -> DataFrame:
     """Quartiles, whiskers at the extremes inside 1.5 IQR, and the outliers beyond them."""
     q1, q2, q3 = exact_percentiles(df, {column: [0.25, 0.5, 0.75]})[column]
-    x = fx.quoted(column).cast("double")
+    x = fx.known(df, column).cast("double")
     if q1 is None:
         low = high = None
     else:
@@ -157,7 +157,11 @@ def distinct_count(df: DataFrame, columns: Sequence[str], approximate: bool = Fa
         one = df.agg(*[F.approx_count_distinct(fx.quoted(c)).alias(f"c{i}") for i, c in enumerate(names)])
         rows = [F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("n_distinct")) for i, c in enumerate(names)]
         return one.select(F.inline(F.array(*rows)))
-    typed = df.select(*[fx.quoted(c).cast("string").alias(c) for c in names])
+    def text(c: str) -> Column:
+        if fx.is_floating(df.schema[c].dataType):  # -0.0 and 0.0 are one value, NaN is missing
+            return (fx.known(df, c) + F.lit(0.0)).cast("string")
+        return fx.quoted(c).cast("string")
+    typed = df.select(*[text(c).alias(c) for c in names])
     seen = _long(typed, names).filter("value IS NOT NULL").distinct()
     counted = seen.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
     listed = df.sparkSession.createDataFrame([(c,) for c in names], "column string")
@@ -176,7 +180,7 @@ def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     if not names:
         return df.sparkSession.createDataFrame([], "x string, y string, r double")
     def number(c: str) -> Column:
-        return fx.quoted(c).cast("double")
+        return fx.known(df, c).cast("double")
     seen = df.agg(
         *[F.count_if(number(c).isNull()).alias(f"n{i}") for i, c in enumerate(names)],
         *[fx.varies(number(c)).alias(f"v{i}") for i, c in enumerate(names)],
@@ -225,7 +229,7 @@ def target_correlation(df: DataFrame, target: str, columns: Sequence[str] | None
 
 def linear_trend(df: DataFrame, x: str, y: str, points: int = 100) -> DataFrame:
     """Least-squares line of y on x, evaluated on an even grid from min(x) to max(x)."""
-    a, b = fx.quoted(x).cast("double"), fx.quoted(y).cast("double")
+    a, b = fx.known(df, x).cast("double"), fx.known(df, y).cast("double")
     both = df.filter(a.isNotNull() & b.isNotNull())
     fit = both.agg(
         F.when(fx.varies(a), F.regr_slope(b, a)).alias("slope"), F.when(fx.varies(a), F.regr_intercept(b, a)).alias("intercept"), F.min(a).alias("low"), F.max(a).alias("high")
@@ -238,8 +242,8 @@ def linear_trend(df: DataFrame, x: str, y: str, points: int = 100) -> DataFrame:
 
 def table_profile(df: DataFrame, mean_of: str | None = None) -> DataFrame:
     """rows, columns, columns with nulls, and optionally one mean: a single pass."""
-    with_nulls = [F.max(fx.quoted(c).isNull().cast("int")).alias(f"c{i}") for i, c in enumerate(df.columns)]
-    mean = F.avg(fx.quoted(mean_of)) if mean_of in df.columns else F.lit(None).cast("double")
+    with_nulls = [F.max(fx.known(df, c).isNull().cast("int")).alias(f"c{i}") for i, c in enumerate(df.columns)]
+    mean = F.avg(fx.known(df, mean_of)) if mean_of in df.columns else F.lit(None).cast("double")
     one = df.agg(F.count(F.lit(1)).alias("rows"), mean.alias("mean"), *with_nulls)
     total = sum((F.coalesce(F.col(f"c{i}"), F.lit(0)) for i in range(len(df.columns))), F.lit(0))
     return one.select("rows", F.lit(len(df.columns)).alias("columns"), total.alias("columns_with_nulls"), "mean")

@@ -64,7 +64,7 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     parts = []
     if fused:
         measures = {k: v for _, c in fused for k, v in c.measures.items()}
-        one = df.agg(*[v.alias(k) for k, v in measures.items()]) if measures else df.sparkSession.range(1)
+        one = df.agg(*[v.alias(k) for k, v in measures.items()])
         parts.append(one.select(F.inline(F.array(*[_row(c, i) for i, c in fused]))))
     for i, c in enumerate(checks):
         if c.source is not None:
@@ -87,7 +87,8 @@ def check_required_columns(df: DataFrame, required: Sequence[str]) -> Check:
     message = f"Missing columns: {missing}" if missing else "All required columns present"
     return Check(
         "Required Columns Check", ERROR, F.lit(not missing), F.lit(message),
-        {"missing_columns": F.lit(",".join(missing)), "total_required": F.lit(len(required))},
+        {"missing_columns": F.lit(",".join(missing)), "total_required": F.lit(len(required)), "rows": F.col("rows")},
+        {"rows": F.count(F.lit(1))},
     )
 
 
@@ -115,16 +116,17 @@ def check_no_duplicates(df: DataFrame, subset: Sequence[str] | None = None, thre
 def check_missing_values(df: DataFrame, max_missing_ratio: float = 0.5, columns: Sequence[str] | None = None) -> Check:
     names = fx.present(df, columns or df.columns)
     measures = {"missing_rows": F.count(F.lit(1))}
-    measures |= {f"missing_{c}": F.count_if(fx.quoted(c).isNull()) for c in names}
+    measures |= {f"missing_{c}": F.count_if(fx.known(df, c).isNull()) for c in names}
     def share(c: str) -> Column:
         return F.try_divide(fx.quoted(f"missing_{c}"), F.col("missing_rows"))
-    issues = F.array_compact(
-        F.array(*[F.when(share(c) > max_missing_ratio, F.lit(c)) for c in names], F.lit(None).cast("string"))
-    )
+    def exceeding(texts: Mapping[str, Column]) -> Column:
+        return F.array_compact(F.array(*[F.when(share(c) > max_missing_ratio, t) for c, t in texts.items()], F.lit(None).cast("string")))
+    issues = exceeding({c: F.lit(c) for c in names})
+    ratios = exceeding({c: F.concat(F.lit(f"{c}:"), _percent(share(c), 2)) for c in names})
     return Check(
         "Missing Values Check", WARNING, F.size(issues) == 0,
         F.concat(F.size(issues).cast("string"), F.lit(f" columns exceed {max_missing_ratio:.0%} missing threshold")),
-        {"columns_exceeding": F.array_join(issues, ",")},
+        {"columns_exceeding": F.array_join(issues, ","), "ratios": F.array_join(ratios, ",")},
         measures,
     )
 
@@ -134,33 +136,50 @@ def check_data_types(df: DataFrame, expected: Mapping[str, type[T.DataType]]) ->
     wrong = [c for c, kind in expected.items() if c in df.columns and not isinstance(df.schema[c].dataType, kind)]
     return Check(
         "Data Types Check", ERROR, F.lit(not wrong), F.lit(f"{len(wrong)} columns have unexpected types"),
-        {"type_issues": F.lit(",".join(f"{c}:{df.schema[c].dataType.simpleString()}" for c in wrong))},
+        {
+            "type_issues": F.lit(",".join(f"{c}:{df.schema[c].dataType.simpleString()}" for c in wrong)),
+            "expected": F.lit(",".join(f"{c}:{expected[c].__name__}" for c in wrong)),
+            "rows": F.col("rows"),
+        },
+        {"rows": F.count(F.lit(1))},
     )
 
 
 def check_value_ranges(df: DataFrame, ranges: Mapping[str, tuple[float | None, float | None]]) -> Check:
-    measures, issues = {}, []
+    measures, issues, values = {"rows": F.count(F.lit(1))}, [], []
+
+    def shown(label: str, measure: str, bound: float) -> Column:
+        value = F.format_string("%.2f", fx.quoted(measure).cast("double"))
+        return F.concat(F.lit(f"{label}:"), value, F.lit(f" beyond {bound:.2f}"))
+
     for c, (low, high) in ranges.items():
         if c not in df.columns:
             continue
         if low is not None:
-            measures[f"min_{c}"] = F.min(fx.quoted(c))
-            issues.append(F.when(fx.quoted(f"min_{c}") < low, F.lit(f"{c}:min")))
+            measures[f"min_{c}"] = F.min(fx.known(df, c))
+            below = fx.quoted(f"min_{c}") < low
+            issues.append(F.when(below, F.lit(f"{c}:min")))
+            values.append(F.when(below, shown(f"{c}:min", f"min_{c}", low)))
         if high is not None:
-            measures[f"max_{c}"] = F.max(fx.quoted(c))
-            issues.append(F.when(fx.quoted(f"max_{c}") > high, F.lit(f"{c}:max")))
+            measures[f"max_{c}"] = F.max(fx.known(df, c))
+            above = fx.quoted(f"max_{c}") > high
+            issues.append(F.when(above, F.lit(f"{c}:max")))
+            values.append(F.when(above, shown(f"{c}:max", f"max_{c}", high)))
     found = F.array_compact(F.array(*issues, F.lit(None).cast("string")))
     return Check(
         "Value Range Check", WARNING, F.size(found) == 0,
         F.concat(F.size(found).cast("string"), F.lit(" range violations found")),
-        {"violations": F.array_join(found, ",")},
+        {
+            "violations": F.array_join(found, ","),
+            "values": F.array_join(F.array_compact(F.array(*values, F.lit(None).cast("string"))), ","),
+        },
         measures,
     )
 
 
 def check_no_negative_values(df: DataFrame, columns: Sequence[str]) -> Check:
     names = fx.present(df, columns)
-    measures = {f"negative_{c}": F.count_if(fx.quoted(c) < 0) for c in names}
+    measures = {"rows": F.count(F.lit(1))} | {f"negative_{c}": F.count_if(fx.quoted(c) < 0) for c in names}
     found = F.array_compact(
         F.array(
             *[
@@ -192,7 +211,7 @@ def anti_invalid_values(df: DataFrame, column: str, valid: DataFrame | Sequence[
 def check_categorical_values(df: DataFrame, column: str, valid: DataFrame | Sequence[Any]) -> Check:
     name = f"Categorical Check: {column}"
     if column not in df.columns:
-        return Check(name, ERROR, F.lit(False), F.lit(f"Column {column} not found"), {})
+        return Check(name, ERROR, F.lit(False), F.lit(f"Column {column} not found"), {}, {"rows": F.count(F.lit(1))})
     invalid = anti_invalid_values(df, column, valid)
     # the ten smallest are ranked inside each partition first, and only they are listed
     listed = invalid.orderBy("value").limit(LISTED_INVALID).agg(F.array_sort(F.collect_list("value")).alias("listed"))

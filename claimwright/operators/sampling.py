@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import columns as fx
 from ..session import shared_folder
 from .clean import require_columns
-from .joins import keyed_join
 
 log = logging.getLogger(__name__)
 
@@ -35,7 +34,7 @@ def semi_join_ids(df: DataFrame, column: str, ids: DataFrame | Sequence) -> Data
     """Rows whose value is in ``ids``: a list becomes a pushed-down IN, a DataFrame a semi join."""
     if isinstance(ids, DataFrame):
         values = ids.select(ids[ids.columns[0]].alias("__id")).distinct()
-        return keyed_join(df, values, column, "__id", "left_semi")
+        return df.join(values, fx.quoted(column) == F.col("__id"), "left_semi")
     return df.filter(fx.quoted(column).isin(list(ids)))
 
 

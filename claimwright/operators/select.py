@@ -92,10 +92,12 @@ def select_k_best_mi(
 
 
 def forest_importances(
-    df: DataFrame, target: str, names: Sequence[str], trees: int, depth: int, seed: int = 42
+    df: DataFrame, target: str, names: Sequence[str], trees: int, depth: int, seed: int = 42, fill: float = 0.0
 ) -> dict[str, float]:
-    vectors = VectorAssembler(inputCols=list(names), outputCol="features", handleInvalid="skip").transform(
-        df.select(*[fx.quoted(c) for c in [*names, target]])
+    """Importances over all rows; missing features (null or NaN) count as ``fill``."""
+    filled = [F.coalesce(fx.known(df, c).cast("double"), F.lit(fill)).alias(c) for c in names]
+    vectors = VectorAssembler(inputCols=list(names), outputCol="features", handleInvalid="error").transform(
+        df.select(*filled, fx.quoted(target))
     )
     forest = RandomForestRegressor(
         featuresCol="features", labelCol=target, numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", seed=seed

@@ -7,11 +7,10 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import columns as fx
 from ..operators.clean import require_columns
-from ..operators.joins import keyed_join
 from ..operators.sampling import semi_join_ids
 
 log = logging.getLogger(__name__)
@@ -26,6 +25,25 @@ KEY_COLUMNS = [
 ]
 
 
+# Texts that stand for a missing value.
+NA_TOKENS = ("", "NA", "N/A", "n/a", "#N/A", "<NA>", "NULL", "null", "NaN", "nan", "-NaN", "-nan", "None")
+
+
+def typed(df: DataFrame, schema: T.StructType, na_values: Sequence[str] = NA_TOKENS) -> DataFrame:
+    """Text columns in the types of the schema. Missing-value texts become null; a field that does not parse raises."""
+
+    def parsed(field: T.StructField) -> Column:
+        text = fx.quoted(field.name)
+        missing = text.isNull() | text.isin(list(na_values))
+        if isinstance(field.dataType, T.StringType):
+            return F.when(~missing, text)
+        value = text.try_cast(field.dataType)
+        problem = F.raise_error(F.concat(F.lit(f"column {field.name}: cannot read as {field.dataType.simpleString()}: "), text))
+        return F.when(~missing, F.when(value.isNotNull(), value).otherwise(problem.cast(field.dataType)))
+
+    return df.select(*[parsed(f).alias(f.name) for f in schema.fields])
+
+
 def claims_schema(header: Sequence[str]) -> T.StructType:
     """Amounts as double, keys and years as bigint, codes as text, in file order."""
     kinds = {c: T.DoubleType() for c in AMOUNT_COLUMNS} | {c: T.LongType() for c in KEY_COLUMNS}
@@ -44,15 +62,22 @@ def read_delimited(
     usecols: Sequence[str] | None = None,
     nrows: int | None = None,
     sep: str = "|",
+    na_values: Sequence[str] = NA_TOKENS,
 ) -> DataFrame:
     """A delimited text file with a header. Without a schema all columns are text.
 
-    Pruned columns are never parsed, and ``nrows`` stops the scan early.
+    Missing-value texts (``na_values``) become null; any other field that does not parse as its
+    type raises when it is read. Pruned columns are never parsed, and ``nrows`` stops the scan
+    early.
     """
     reader = spark.read.option("sep", sep).option("header", True).option("encoding", "UTF-8")
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
     if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", False)
+        as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+        reader = reader.schema(as_text).option("enforceSchema", False)
     df = reader.csv(list(path) if not isinstance(path, str) else path)
+    df = typed(df, schema if schema is not None else df.schema, na_values)
     if usecols is not None:
         df = require_columns(df, usecols, "file").select(*[fx.quoted(c) for c in usecols])
     df = fx.nan_to_null(df)
@@ -109,7 +134,8 @@ def read_object_store(
 ) -> DataFrame:
     if fmt not in FORMATS:
         raise ValueError(f"unsupported format: {fmt}")
-    reader = spark.read.options(**options)
+    """Any Spark path. Text that does not fit the schema raises, unless ``mode`` says otherwise."""
+    reader = spark.read.options(**({"mode": "FAILFAST"} if fmt != "parquet" else {}) | options)
     if fmt == "csv":
         reader = reader.option("header", True)
     if schema is not None:
@@ -159,6 +185,6 @@ def enrich_lookup(df: DataFrame, lookup: DataFrame, on: str, lookup_key: str | N
     key = lookup_key or lookup.columns[0]
     others = [c for c in lookup.columns if c != key]
     one = lookup.groupBy(fx.quoted(key).alias("__code")).agg(F.min(F.struct(*[fx.quoted(c) for c in others])).alias("__row"))
-    joined = keyed_join(df, one, on, "__code", "left")
+    joined = df.join(one, fx.quoted(on) == F.col("__code"), "left")
     taken = [F.col("__row").getField(c).alias(c if c not in df.columns else f"{c}_lookup") for c in others]
     return joined.select(*[fx.quoted(c) for c in df.columns], *taken)

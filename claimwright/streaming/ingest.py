@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 def stream_files(
     spark: SparkSession, folder: str, schema: T.StructType, fmt: str = "csv", files_per_batch: int | None = None, **options
 ) -> DataFrame:
-    """An unbounded DataFrame over a folder; each file is read exactly once per checkpoint."""
-    reader = spark.readStream.schema(schema).format(fmt).options(**options)
+    """An unbounded DataFrame over a folder; each file is read exactly once per checkpoint.
+
+    Text that does not fit the schema stops the stream, unless ``mode`` says otherwise.
+    """
+    reader = spark.readStream.schema(schema).format(fmt).options(**({"mode": "FAILFAST"} if fmt != "parquet" else {}) | options)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(folder)

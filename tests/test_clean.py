@@ -35,6 +35,8 @@ def test_drop_high_missing_counts_strictly_and_zero_is_a_threshold(spark):
     assert clean.drop_high_missing(df, 1)[1] == ["b"]
     assert clean.drop_high_missing(df, 2)[1] == []
     assert clean.drop_high_missing(df, 0, ["b"])[1] == ["c"]
+    many = df.crossJoin(spark.range(100)).drop("id")
+    assert clean.drop_high_missing(many)[1] == clean.drop_high_missing(df)[1]  # the default is a share of the rows
 
 
 def test_encoders(spark):

@@ -115,8 +115,9 @@ def test_single_checks(spark):
     assert got["Duplicate Check"]["message"] == "1 duplicates (33.33%)"
     assert got["Uniqueness Check: k"]["message"] == "Column is not unique: 2/3"
     assert got["Missing Values Check"]["details"]["columns_exceeding"] == "n"
-    assert got["Data Types Check"]["details"]["type_issues"] == "k:string"
-    assert got["Value Range Check"]["details"]["violations"] == "x:min,x:max"
+    assert got["Missing Values Check"]["details"]["ratios"] == "n:33.33%"
+    assert got["Data Types Check"]["details"] == {"type_issues": "k:string", "expected": "k:NumericType", "rows": "3"}
+    assert got["Value Range Check"]["details"] == {"violations": "x:min,x:max", "values": "x:min:1.00 beyond 2.00,x:max:2.00 beyond 1.00"}
     assert got["Categorical Check: k"]["details"]["invalid_values"] == "b"
     assert got["Categorical Check: absent"]["severity"] == "error"
     nulls = spark.createDataFrame([(1,), (None,)], "x int")
@@ -133,3 +134,29 @@ def test_fused_checks_scan_once(spark):
     df = spark.range(10).select(F.col("id").alias("AMT_PAID"), F.col("id").alias("AMT_BILLED"))
     plan = quality.run_checks(df, [quality.check_not_empty(df), quality.check_missing_values(df), quality.check_no_negative_values(df, df.columns)])
     assert plan._jdf.queryExecution().optimizedPlan().toString().count("Range (0, 10") == 1
+
+
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([(1.0, 1), (float("nan"), 2), (None, 3), (3.0, 4)], "x double, y int")
+    assert [tuple(r) for r in profile.missing_profile(df).collect()] == [("x", 2, 50.0)]
+    row = profile.describe_numeric(df, ["x"]).first()
+    assert (row["count"], row["mean"], row["std"], row["min"], row["max"]) == (2, 2.0, 1.41, 1.0, 3.0)
+    bins = profile.histogram(df, "x", 2).orderBy("bin").collect()
+    assert [(r["lower"], r["upper"], r["n"]) for r in bins] == [(1.0, 2.0, 1), (2.0, 3.0, 1)]
+    assert profile.target_stats(df, "x").first()["mean"] == 2.0
+    got = checks(df, quality.check_value_ranges(df, {"x": (0, 5)}), quality.check_missing_values(df, 0.4))
+    assert got["Value Range Check"]["passed"] and got["Missing Values Check"]["details"]["ratios"] == "x:50.00%"
+    assert profile.table_profile(df, "x").first()["mean"] == 2.0
+    matrix = profile.correlation_matrix(df, ["x", "y"]).first()
+    assert abs(matrix["r"] - 1.0) < 1e-12
+
+
+def test_distinct_values_by_value(spark):
+    df = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (None,), (2.0,)], "x double")
+    assert profile.distinct_count(df, ["x"]).first()["n_distinct"] == 2
+
+
+def test_checks_read_their_table(spark):
+    df = spark.range(7).select(F.col("id").alias("AMT_PAID"))
+    got = checks(df, quality.check_required_columns(df, ["AMT_PAID", "absent"]))
+    assert got["Required Columns Check"]["details"]["rows"] == "7"

@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from claimwright.operators import joins, sampling
+from claimwright.operators import sampling
 
 M = 2147483647
 
@@ -99,15 +99,11 @@ def test_folds(lines):
     }
 
 
-@pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
-def test_keyed_join_hot_path(lines, spark, monkeypatch, how):
-    right = spark.createDataFrame([(7, "hot"), (100, "cold"), (9999, "unused")], "k bigint, name string")
-    plain = sorted(map(tuple, lines.join(right, lines["id"] == right["k"], how).collect()), key=repr)
-    assert sorted(map(tuple, joins.keyed_join(lines, right, "id", "k", how).collect()), key=repr) == plain
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
-    monkeypatch.setattr(joins, "HOT_ROWS", 100)
-    assert set(joins.hot_keys(lines, "id")) == {7, 8}
-    assert sorted(map(tuple, joins.keyed_join(lines, right, "id", "k", how).collect()), key=repr) == plain
+def test_semi_join_with_a_hot_key(lines, spark):
+    wanted = spark.createDataFrame([(7,), (7,), (100,), (None,)], "k bigint")
+    rows = [tuple(r) for r in lines.collect()]
+    got = sampling.semi_join_ids(lines, "id", wanted)
+    assert sorted(map(tuple, got.collect())) == sorted(r for r in rows if r[0] in (7, 100))
 
 
 def test_semi_join_by_list_and_by_frame(lines, spark):

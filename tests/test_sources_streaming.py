@@ -139,3 +139,24 @@ def test_shared_folder_follows_the_session(spark):
         shared_folder(StubSession("spark://host"))
     local = StubSession("local[2]")
     assert shared_folder(local) == shared_folder(local) == local.folder
+
+
+def test_fields_that_do_not_parse(spark, tmp_path):
+    path = tmp_path / "bad.txt"
+    path.write_text("CLAIM_ID_KEY|SV_STAT|AMT_PAID\n1|NA|NULL\n2|P|1,200.00\n")
+    schema = files.claims_schema(files.header_of(spark, str(path)))
+    df = files.read_delimited(spark, str(path), schema)
+    assert df.filter("SV_STAT IS NULL").count() == 1
+    with pytest.raises(Exception, match="cannot read as double: 1,200.00"):
+        df.collect()
+    assert files.read_delimited(spark, str(path), schema, ["CLAIM_ID_KEY"]).count() == 2
+    text = files.read_delimited(spark, str(path))
+    assert [tuple(r) for r in text.collect()] == [("1", None, None), ("2", "P", "1,200.00")]
+    with pytest.raises(Exception, match="MALFORMED"):
+        files.read_object_store(spark, str(path), "csv", schema, sep="|").collect()
+
+
+def test_trees_deeper_than_possible(spark):
+    df = spark.createDataFrame([(float(i), float(i)) for i in range(20)], "x double, y double")
+    with pytest.raises(ValueError, match="max_depth 50"):
+        models.train_model("random_forest", df, df, ["x"], "y", {"n_estimators": 1, "max_depth": 50})
