@@ -21,8 +21,8 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every whole text, learnt from the labels of three quarters of the ids."""
     held = held_out(F.col("doc_id"), 4, 2)
     documents = documents_of(spark, sf_dir).select("doc_id", "text")
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    model = toxicity.fit_toxicity(spark, documents.join(labels, "doc_id"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held)
+    model = toxicity.fit_toxicity(spark, toxicity.with_labels(documents, labels))
     scored = toxicity.measure(documents, model)
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,7 +31,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .components import written
-from .minhash import shingle_set
+from .minhash import shingle_set, sieved
 
 # Characters that stand for a letter. Letters and digits that share a look fold to
 # one of them, in texts and lexicon alike.
@@ -144,11 +145,11 @@ def _counted(extract):
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
-                counts: dict[str, list[int]] = {}
+                counts = (Counter(), Counter())
                 for text, toxic in zip(part["text"].to_pylist(), part["toxic"].to_pylist()):
-                    for term in extract(folded(text or "")):
-                        counts.setdefault(term, [0, 0])[toxic] += 1
-                yield pa.RecordBatch.from_arrays([pa.array(counts, pa.string()), pa.array([c[0] for c in counts.values()], pa.int64()), pa.array([c[1] for c in counts.values()], pa.int64())], names=["term", "clean", "toxic"])
+                    counts[toxic].update(extract(folded(text or "")))
+                terms = list(counts[0].keys() | counts[1].keys())
+                yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *[pa.array([c[t] for t in terms], pa.int64()) for c in counts]], names=["term", "clean", "toxic"])
 
     return count
 
@@ -176,6 +177,16 @@ def _phrases(terms: dict[str, float]):
     return extract
 
 
+def with_labels(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents (doc_id, text) with their label from ``labels`` (doc_id, toxic); the larger label of an id counts.
+
+    The labels pass a bitmap of fixed size, so the texts of other documents are not shuffled.
+    """
+    one = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    texts = sieved(documents.select(F.col("doc_id").alias("id"), "text"), one.select(F.col("doc_id").alias("id")))
+    return texts.join(one.hint("merge"), F.col("id") == F.col("doc_id")).select("doc_id", "text", "toxic")
+
+
 def fit_toxicity(spark: SparkSession, labelled: DataFrame, learning: Learning = Learning(), exceptions: tuple[str, ...] = ()) -> ToxicityModel:
     """A model from columns doc_id, text and toxic (0 or 1). ``exceptions`` are further harmless phrases."""
     rows = labelled.where("toxic is not null").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
@@ -187,7 +198,7 @@ def fit_toxicity(spark: SparkSession, labelled: DataFrame, learning: Learning =
     clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
     terms: dict[str, float] = {}
     if clean and toxic:
-        groups = rows.join(chosen, (F.col("doc_id") == F.col("id")) & (F.col("toxic") == F.col("kind")), "left_semi")
+        groups = rows.join(chosen.hint("merge"), (F.col("doc_id") == F.col("id")) & (F.col("toxic") == F.col("kind")), "left_semi")
         least = max(learning.least_groups, int(learning.least_share * toxic))
         odds = F.log(F.col("toxic") / toxic) - F.log((F.col("clean") + 0.5) / clean)
         counts = groups.select("text", "toxic").mapInArrow(_counted(terms_of), TERM_COUNTS).groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
