@@ -170,8 +170,8 @@ def train_model(spark, sf_dir):
     scores = spark.createDataFrame(list(result.importances.items()), "feature string, importance double")
     return rounded(scores, ["importance"], 2).withColumns(
         {
-            "validation_r2": F.round(F.lit(result.metadata.validation_metrics["r2"]), 8),
-            "training_samples": F.lit(result.metadata.training_samples).cast("bigint"),
+            "validation_r2": F.round(F.lit(result.card.scores["validation"]["r2"]), 8),
+            "training_samples": F.lit(result.card.rows).cast("bigint"),
         }
     )
 
@@ -239,7 +239,7 @@ def filled_registry(spark, sf_dir):
     registry, rows = ModelRegistry(spark, scratch_path(spark, "registry")), linear_rows(spark, sf_dir)
     for model_type, version in (("ridge", "1"), ("ridge", "2"), ("lasso", "1")):
         result = fit_linear(rows, model_type, {"alpha": 50.0} if version == "1" else None)
-        result.metadata.version = version
+        result.card.version = version
         registry.save(result, f"paid_{model_type}")
     return registry
 
@@ -253,7 +253,7 @@ def filled_registry(spark, sf_dir):
     ),
 )
 def registry_save(spark, sf_dir):
-    samples = F.get_json_object("metadata", "$.training_samples").cast("bigint").alias("training_samples")
+    samples = F.get_json_object("metadata", "$.rows").cast("bigint").alias("training_samples")
     return filled_registry(spark, sf_dir).events().select("model", "version", samples)
 
 

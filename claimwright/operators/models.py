@@ -220,23 +220,23 @@ class AdaBoostR2Model:
 
 
 @dataclass
-class ModelMetadata:
-    model_name: str
-    model_type: str
+class ModelCard:
+    """What the registry keeps beside a fitted model: enough to name it, repeat it and judge it."""
+
+    name: str
+    kind: str
     version: str
-    created_at: str
-    hyperparameters: dict[str, Any]
-    training_metrics: dict[str, float]
-    validation_metrics: dict[str, float]
-    feature_names: list[str]
-    training_samples: int
-    random_state: int = 42
+    fitted_at: str
+    settings: dict[str, Any]
+    features: list[str]
+    rows: int
+    scores: dict[str, dict[str, float]]  # by side: train, validation
 
     def to_json(self) -> str:
         return json.dumps(asdict(self))
 
     @classmethod
-    def from_json(cls, text: str) -> ModelMetadata:
+    def from_json(cls, text: str) -> ModelCard:
         return cls(**json.loads(text))
 
 
@@ -256,7 +256,7 @@ class FittedModel:
 @dataclass
 class TrainingResult:
     model: FittedModel
-    metadata: ModelMetadata
+    card: ModelCard
     importances: dict[str, float] = field(default_factory=dict)
 
 
@@ -319,19 +319,11 @@ def train_model(
     model = FittedModel(regressor, names)
     fitted, held_out = _metrics(model.transform(train), label), _metrics(model.transform(validation), label)
     stamp = version or time.strftime("%Y%m%d_%H%M%S")
-    metadata = ModelMetadata(
-        model_name=f"{model_type}_{stamp}",
-        model_type=model_type,
-        version=stamp,
-        created_at=time.strftime("%Y-%m-%dT%H:%M:%S"),
-        hyperparameters=full,
-        training_samples=fitted.pop("n"),
-        training_metrics=fitted,
-        validation_metrics={k: v for k, v in held_out.items() if k != "n"},
-        feature_names=names,
-        random_state=full.get("random_state", 42),
-    )
-    return TrainingResult(model, metadata, importances_of(regressor, names))
+    rows = fitted.pop("n")
+    held_out.pop("n")
+    scores = {"train": fitted, "validation": held_out}
+    card = ModelCard(f"{model_type}_{stamp}", model_type, stamp, time.strftime("%Y-%m-%dT%H:%M:%S"), full, names, rows, scores)
+    return TrainingResult(model, card, importances_of(regressor, names))
 
 
 def train_all(
@@ -342,24 +334,23 @@ def train_all(
     model_types: Sequence[str] | None = None,
     params: Mapping[str, Mapping[str, Any]] | None = None,
 ) -> dict[str, TrainingResult]:
-    """Train each type on the same cached split; a failure is logged and skipped."""
-    train, validation = training_cache(train), validation.persist(StorageLevel.MEMORY_AND_DISK)
+    """One result per type, all on the same cached split. A type that cannot be fitted is left out and logged."""
+    sides = training_cache(train), validation.persist(StorageLevel.MEMORY_AND_DISK)
+    settings = params or {}
     results: dict[str, TrainingResult] = {}
-    for model_type in model_types or DEFAULTS:
+    for kind in model_types or DEFAULTS:
         try:
-            results[model_type] = train_model(
-                model_type, train, validation, feature_names, label, (params or {}).get(model_type)
-            )
-        except Exception as error:  # one bad model must not lose the others
-            log.error("failed to train %s: %s", model_type, error)
-    train.unpersist()
-    validation.unpersist()
+            results[kind] = train_model(kind, *sides, feature_names, label, settings.get(kind))
+        except Exception:
+            log.exception("%s was not fitted", kind)
+    for side in sides:
+        side.unpersist()
     return results
 
 
 def metrics_table(spark: SparkSession, results: Mapping[str, TrainingResult]) -> DataFrame:
     rows = [
-        (name, r.metadata.training_metrics["r2"], *[r.metadata.validation_metrics[k] for k in ("r2", "rmse", "mae")])
+        (name, r.card.scores["train"]["r2"], *[r.card.scores["validation"][k] for k in ("r2", "rmse", "mae")])
         for name, r in results.items()
     ]
     return spark.createDataFrame(rows, "model string, train_r2 double, r2 double, rmse double, mae double")
@@ -371,4 +362,4 @@ def best_model(metrics: DataFrame, score: str = "r2") -> DataFrame:
 
 
 def best_result(results: Mapping[str, TrainingResult]) -> TrainingResult | None:
-    return max(results.values(), key=lambda r: r.metadata.validation_metrics["r2"], default=None)
+    return max(results.values(), key=lambda r: r.card.scores["validation"]["r2"], default=None)

@@ -15,9 +15,9 @@ from pyspark.ml.regression import (
     RandomForestRegressionModel,
 )
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .models import AdaBoostR2Model, FittedModel, ModelMetadata, TrainingResult
+from .models import AdaBoostR2Model, FittedModel, ModelCard, TrainingResult
 
 EVENT_SCHEMA = "event string, model string, version string, at bigint, metadata string"
 
@@ -49,14 +49,14 @@ class ModelRegistry:
             return self.spark.createDataFrame([], EVENT_SCHEMA)
 
     def save(self, result: TrainingResult, name: str | None = None) -> str:
-        name, version = name or result.metadata.model_name, result.metadata.version
+        name, version = name or result.card.name, result.card.version
         path = f"{self.root}/models/{name}/v{version}"
         regressor = result.model.regressor
         if isinstance(regressor, AdaBoostR2Model):
             regressor.save(self.spark, path)
         else:
             regressor.write().overwrite().save(path)
-        self._append("save", name, version, result.metadata.to_json())
+        self._append("save", name, version, result.card.to_json())
         return path
 
     def list_models(self) -> DataFrame:
@@ -74,16 +74,16 @@ class ModelRegistry:
             raise ValueError(f"model not found: {name}" + (f" version {version}" if version else ""))
         return newest[0]["version"], newest[0]["metadata"]
 
-    def load(self, name: str, version: str | None = None) -> tuple[FittedModel, ModelMetadata]:
+    def load(self, name: str, version: str | None = None) -> tuple[FittedModel, ModelCard]:
         """The given version, or the latest."""
         version, text = self._find(name, version)
-        metadata = ModelMetadata.from_json(text)
+        card = ModelCard.from_json(text)
         path = f"{self.root}/models/{name}/v{version}"
-        if metadata.model_type == "adaboost":
+        if card.kind == "adaboost":
             regressor = AdaBoostR2Model.load(self.spark, path)
         else:
-            regressor = LOADERS[metadata.model_type].load(path)
-        return FittedModel(regressor, metadata.feature_names), metadata
+            regressor = LOADERS[card.kind].load(path)
+        return FittedModel(regressor, card.features), card
 
     def promote(self, name: str, version: str | None = None) -> None:
         version, _ = self._find(name, version)
@@ -91,11 +91,9 @@ class ModelRegistry:
 
     def production_pointer(self) -> DataFrame:
         """(model, version) in production; no row if none was promoted."""
-        newest = F.row_number().over(Window.partitionBy("event").orderBy(F.desc("at")))
-        return (
-            self.events().filter("event = 'promote'").withColumn("newest", newest).filter("newest = 1").select("model", "version")
-        )
+        newest = F.max_by(F.struct("model", "version"), "at").alias("newest")
+        return self.events().filter("event = 'promote'").agg(newest).filter("newest IS NOT NULL").select("newest.*")
 
-    def production(self) -> tuple[FittedModel, ModelMetadata] | None:
+    def production(self) -> tuple[FittedModel, ModelCard] | None:
         row = self.production_pointer().first()
         return self.load(row["model"], row["version"]) if row else None

@@ -55,9 +55,9 @@ def test_split_and_metrics(split):
     train, held_out = split
     assert (train.count(), held_out.count()) == (800, 200)
     result = models.train_model("lasso", train, held_out, NAMES, "y", version="v1")
-    assert result.metadata.validation_metrics["r2"] > 0.9 and result.metadata.training_samples == 800
+    assert result.card.scores["validation"]["r2"] > 0.9 and result.card.rows == 800
     metrics, scored = evaluate.evaluate_model(result.model, held_out, "y")
-    assert metrics.first()["r2"] == pytest.approx(result.metadata.validation_metrics["r2"])
+    assert metrics.first()["r2"] == pytest.approx(result.card.scores["validation"]["r2"])
     assert scored.count() == 200
 
 
@@ -66,7 +66,7 @@ def test_forest_and_boosting(split):
     forest = models.train_model("random_forest", train, held_out, NAMES, "y", {"n_estimators": 10, "max_depth": None, "min_samples_split": 5})
     assert set(forest.importances) == set(NAMES) and max(forest.importances, key=forest.importances.get) == "f1"
     boosted = models.train_model("gradient_boosting", train, held_out, NAMES, "y", {"n_estimators": 15, "max_depth": 3, "learning_rate": 0.3})
-    assert boosted.metadata.validation_metrics["r2"] > 0.7
+    assert boosted.card.scores["validation"]["r2"] > 0.7
 
 
 def brute_boost(x, y, fit, rounds, rate):
@@ -148,7 +148,7 @@ def test_registry(spark, split, tmp_path):
     assert row["versions"] == ["1", "2"] and row["latest"] == "2"
     registry.promote("paid", "1")
     model, metadata = registry.production()
-    assert metadata == first.metadata
+    assert metadata == first.card
     want = [r[0] for r in first.model.transform(held_out).orderBy("f1").select("prediction").collect()]
     assert [r[0] for r in model.transform(held_out).orderBy("f1").select("prediction").collect()] == want
     boosted, _ = registry.load("paid")
