@@ -7,7 +7,7 @@ folder; only a count and a checksum come to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from claimwright.session import scratch_path
 
@@ -42,8 +42,10 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     edges = edges.where("a <> b").select("a", "b")
     seen = None
     while True:
-        edges = written(spark, small_star(large_star(edges)).where("a <> b").distinct(), "stars")
-        state = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
+        step = small_star(large_star(edges)).where("a <> b").distinct()
+        observed = Observation()
+        edges = written(spark, step.observe(observed, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("sum")), "stars")
+        state = observed.get
         if state == seen:
             return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
         seen = state

@@ -3,9 +3,9 @@
 * Every text becomes its set of distinct 5-word shingles and a signature of 128 minima. Texts
   with equal sets form a class, represented by its smallest id.
 * The forest holds 32 orders of the signature. Documents that share a prefix of an order form a
-  region. Shallow regions (four values) tie every member to the region's first document, and so
-  do the deep ones (eight values) within regions of more than two. A pair is kept as candidate
-  if its sizes and signatures allow the similarity, and is confirmed on the whole sets.
+  region. Each order ties a document to the first one of its deep region (eight values) or, where
+  it is that itself, of its shallow region (four values). A pair is kept as candidate if its sizes
+  and signatures allow the similarity, and is confirmed on the whole sets.
 * Regions whose members are then all connected are closed. The others are opened, in blocks of
   bounded size: every member is paired with its four nearest members of other components, and
   confirmed links close further regions. Members that had more partners are then compared with
@@ -156,17 +156,23 @@ def regions_of(members: DataFrame, *columns: str) -> DataFrame:
 
 
 def star_candidates(members: DataFrame) -> DataFrame:
-    """Pairs of each document with the first one of each of its regions, if sizes and signatures allow."""
+    """Pairs of each document with the first one of its nearest region in each order, if sizes and signatures allow.
+
+    That is the deep region if it has an earlier document, else the shallow one.
+    """
     first = F.min(F.struct("id", "n_shingles")).alias("first")
     rows = regions_of(members)
     shared = rows.join(rows.groupBy("key").agg(first, F.count(F.lit(1)).alias("n")).where("n > 1"), "key")
-    dense = shared.where("n > 2").drop("first", "n")
-    deeper = dense.join(dense.groupBy("deep").agg(first, F.count(F.lit(1)).alias("n")).where("n > 1"), "deep")
-    pairs = [
-        r.where((F.col("id") > F.col("first.id")) & sizes_allow("n_shingles", "first.n_shingles")).select(F.col("first.id").alias("a"), F.col("id").alias("b"))
-        for r in (shared, deeper)
-    ]
-    pairs = pairs[0].unionByName(pairs[1]).distinct()
+    dense = shared.where("n > 2")
+    inner = dense.groupBy("deep").agg(F.min(F.struct("id", "n_shingles")).alias("inner")).withColumnRenamed("deep", "of")
+    nearer = F.when(F.col("inner.id") < F.col("id"), F.col("inner")).otherwise(F.col("first")).alias("first")
+    chosen = dense.join(inner, F.col("deep") == F.col("of")).select("id", "n_shingles", nearer)
+    pairs = (
+        chosen.unionByName(shared.where("n = 2").select("id", "n_shingles", "first"))
+        .where((F.col("id") > F.col("first.id")) & sizes_allow("n_shingles", "first.n_shingles"))
+        .select(F.col("first.id").alias("a"), F.col("id").alias("b"))
+        .distinct()
+    )
     signatures = members.select("id", "signature")
     with_both = pairs.join(signatures.toDF("b", "signature_b"), "b").join(signatures.toDF("a", "signature_a"), "a")
     return with_both.mapInArrow(_alike, pairs.schema)
