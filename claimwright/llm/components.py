@@ -39,10 +39,12 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 
     ``edges`` has columns a and b; order, repeats and loops do not matter.
     """
-    edges = edges.where("a <> b").select("a", "b")
+    edges = written(spark, edges.where("a <> b").select("a", "b").distinct(), "stars")
     seen = None
     while True:
-        step = small_star(large_star(edges)).where("a <> b").distinct()
+        # both steps read their input several times, so each reads a table
+        large = written(spark, large_star(edges).where("a <> b").distinct(), "stars")
+        step = small_star(large).where("a <> b").distinct()
         observed = Observation()
         edges = written(spark, step.observe(observed, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("sum")), "stars")
         state = observed.get
