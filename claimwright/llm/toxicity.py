@@ -3,8 +3,8 @@
 * Folding removes disguises: accents, look-alike letters of other scripts, digits and signs that
   stand for letters, case, and everything between words.
 * The lexicon holds words and word beginnings that labelled toxic documents use far more often
-  than others. It is learnt over all labelled documents; groups of copies, recognised by their
-  least shingle, count once. Weights are smoothed log odds; only the model itself, at most
+  than others. It is learnt over all labelled documents; copies, recognised by a digest of their
+  whole shingle set, count once. Weights are smoothed log odds; only the model itself, at most
   ``max_terms`` terms and ``max_exceptions`` phrases, is gathered.
 * Exception phrases are a lexicon word with one neighbour that labelled documents use harmlessly;
   further phrases may be given. A hit inside one does not count.
@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -129,13 +130,13 @@ def terms_of(text: str) -> set[str]:
     return {f" {w} " for w in words} | {f" {w[:n]}" for w in words for n in BEGINNINGS if len(w) > n}
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        least = []
+        digests = []
         for text in batch["text"]:
             shingles = shingle_set((text.as_py() or "").encode())
-            least.append(int(shingles[0] >> np.uint64(1)) if len(shingles) else None)
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["toxic"], pa.array(least, pa.int64())], names=["doc_id", "toxic", "sketch"])
+            digests.append(xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["toxic"], pa.array(digests, pa.binary())], names=["doc_id", "toxic", "class"])
 
 
 def _counted(extract):
@@ -191,9 +192,9 @@ def fit_toxicity(spark: SparkSession, labelled: DataFrame, learning: Learning =
     """A model from columns doc_id, text and toxic (0 or 1). ``exceptions`` are further harmless phrases."""
     rows = labelled.where("toxic is not null").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
     rows = written(spark, rows, "labelled")
-    schema = T.StructType([rows.schema["doc_id"], T.StructField("toxic", T.IntegerType()), T.StructField("sketch", T.LongType())])
-    sketches = rows.mapInArrow(_sketches, schema).where("sketch is not null")
-    chosen = written(spark, sketches.groupBy("toxic", "sketch").agg(F.min("doc_id").alias("id")).select("id", F.col("toxic").alias("kind")), "groups")
+    schema = T.StructType([rows.schema["doc_id"], T.StructField("toxic", T.IntegerType()), T.StructField("class", T.BinaryType())])
+    classes = rows.mapInArrow(_classes, schema).where("class is not null")
+    chosen = written(spark, classes.groupBy("toxic", "class").agg(F.min("doc_id").alias("id")).select("id", F.col("toxic").alias("kind")), "groups")
     sizes = {r["kind"]: r["n"] for r in chosen.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
     clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
     terms: dict[str, float] = {}

@@ -2,7 +2,7 @@ import random
 from collections import Counter
 
 import corpus_pipeline
-from claimwright.llm import language, toxicity
+from claimwright.llm import language, minhash, toxicity
 
 WORDS = {
     "en": "the and of with house there which whole might thought water",
@@ -56,6 +56,22 @@ def test_toxicity(spark):
     assert all(r["score"] == 0 for r in toxicity.measure(frame, none).collect())
 
 
+def test_toxicity_counts_copies_once_and_shared_passages_all(spark):
+    """Texts that share the passage with their least shingle all count; copies of one text count once."""
+    rnd = random.Random(10)
+    passage = min((said(rnd, "en", 12) for _ in range(300)), key=lambda p: minhash.shingle_set(p.encode())[0])
+    least, texts = minhash.shingle_set(passage.encode())[0], []
+    while len(texts) < 12:
+        text = f"{passage} {said(rnd, 'de', 12)} you idiot"
+        if minhash.shingle_set(text.encode())[0] == least:
+            texts.append(text)
+    copied = f"{said(rnd, 'fr', 12)} duplicated"
+    rows = [(i, t, 1) for i, t in enumerate(texts)] + [(100 + i, copied.upper() if i % 2 else copied, 1) for i in range(12)]
+    rows += [(200 + i, said(rnd, rnd.choice(list(WORDS)), 30), 0) for i in range(100)]
+    model = toxicity.fit_toxicity(spark, spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    assert " idiot " in model.terms and " dupiicated " not in model.terms
+
+
 def test_pipeline(spark, tmp_path):
     rnd = random.Random(9)
     rows = [(i, said(rnd, c, 40) + ".", c, "s", 0) for i, c in enumerate(list(WORDS) * 15)]
