@@ -325,13 +325,13 @@ def select_k_best_mi(spark, sf_dir):
 @add("select_importance")
 def select_importance(spark, sf_dir):
     df = claims_view(spark, sf_dir, [*NUMBERS, "AMT_PAID"])
-    return select.select_importance(df, "AMT_PAID", 3, 10, depth=5)
+    return select.select_importance(df, "AMT_PAID", 3)
 
 
 @add("select_rfe")
 def select_rfe(spark, sf_dir):
     df = claims_view(spark, sf_dir, [*NUMBERS, "AMT_PAID"]).persist()
-    kept = select.select_rfe(df, "AMT_PAID", 2, 2, trees=5, depth=4)
+    kept = select.select_rfe(df, "AMT_PAID", 2, 2)
     df.unpersist()
     return select.f_scores(df, "AMT_PAID", kept)
 

@@ -134,25 +134,19 @@ def result_rows(spark, results):
     return rounded(models.metrics_table(spark, results), ["train_r2", "r2", "rmse", "mae"], 6)
 
 
-# Fewer and shallower trees than the library's defaults, so that a smoke run on one machine ends.
-FOREST = {"n_estimators": 20, "max_depth": 10}
-BOOSTED = {"n_estimators": 15}
-ADA = {"n_estimators": 8}
-
-
 @add("train_forest")
 def train_forest(spark, sf_dir):
-    return result_rows(spark, {"random_forest": trained(spark, sf_dir, "random_forest", FOREST)})
+    return result_rows(spark, {"random_forest": trained(spark, sf_dir, "random_forest")})
 
 
 @add("train_gbt")
 def train_gbt(spark, sf_dir):
-    return result_rows(spark, {"gradient_boosting": trained(spark, sf_dir, "gradient_boosting", BOOSTED)})
+    return result_rows(spark, {"gradient_boosting": trained(spark, sf_dir, "gradient_boosting")})
 
 
 @add("train_adaboost")
 def train_adaboost(spark, sf_dir):
-    return result_rows(spark, {"adaboost": trained(spark, sf_dir, "adaboost", ADA)})
+    return result_rows(spark, {"adaboost": trained(spark, sf_dir, "adaboost")})
 
 
 @add(
@@ -179,8 +173,7 @@ def train_model(spark, sf_dir):
 @add("train_all")
 def train_all(spark, sf_dir):
     train, held_out = model_rows(spark, sf_dir)
-    smaller = {"random_forest": {"n_estimators": 5, "max_depth": 5}, "gradient_boosting": {"n_estimators": 5}, "adaboost": {"n_estimators": 3}}
-    return result_rows(spark, models.train_all(train, held_out, FEATURES, LABEL, None, smaller))
+    return result_rows(spark, models.train_all(train, held_out, FEATURES, LABEL))
 
 
 # --- tuning -------------------------------------------------------------------------------

@@ -179,3 +179,21 @@ def test_score_features_defaults_and_order(spark):
     assert len(row) == 23 and row["Age"] == 45 and row["FORM_TYPE_I"] == 1 and row["FORM_TYPE_P"] == 0
     assert row["PRODUCT_TYPE_PPO"] == 1 and row["ICD_Category_Z"] == 1 and row["AMT_BILLED_log"] == pytest.approx(np.log1p(1500))
     assert scoring.score_features(one, ["Age", "unknown", "AMT_BILLED"]).first() == (45.0, 0, 1500.0)
+
+
+def test_registered_tree_queries_use_the_defaults(spark, sf_dir, monkeypatch):
+    from claimwright.catalog import all_queries, features as in_features, models as in_models
+
+    settings, forests = [], []
+    monkeypatch.setattr(in_models, "model_rows", lambda *a: (None, None))
+    monkeypatch.setattr(in_models, "result_rows", lambda *a: None)
+    monkeypatch.setattr(models, "train_model", lambda kind, train, held, names, label, params=None, *a: settings.append((kind, models.model_params(kind, params))))
+    monkeypatch.setattr(models, "train_all", lambda train, held, names, label, kinds=None, params=None: settings.extend((k, models.model_params(k, (params or {}).get(k))) for k in kinds or models.DEFAULTS))
+    for name in ("train_forest", "train_gbt", "train_adaboost", "train_all"):
+        all_queries()[name](spark, sf_dir)
+    assert len(settings) == 3 + len(models.DEFAULTS) and all(got == models.DEFAULTS[kind] for kind, got in settings)
+
+    monkeypatch.setattr(in_features.select, "forest_importances", lambda df, target, names, trees, depth: forests.append((trees, depth)) or dict.fromkeys(names, 0.0))
+    for name in ("select_importance", "select_rfe"):
+        all_queries()[name](spark, sf_dir)
+    assert set(forests) == {(100, 10), (50, 8)}
