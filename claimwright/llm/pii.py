@@ -36,8 +36,9 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IP_PART = "0*([0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
-# Identifier-shaped: an at sign (or its spelling) between others, or seven digits and more.
-CANDIDATE = r"(?<![^\s@])[^\s@]++(?:@|[\(\[]at[\)\]])[^\s@]++|[+(]*+[0-9](?:[\x20().:/-]{0,2}[0-9]){6,}+"
+# Identifier-shaped: an at sign (or its spelling, before which the local part stops) between others,
+# or seven digits and more.
+CANDIDATE = r"(?<![^\s@])(?:[^\s@]++@|(?:(?![\(\[]at[\)\]])[^\s@])++[\(\[]at[\)\]])[^\s@]++|[+(]*+[0-9](?:[\x20().:/-]{0,2}[0-9]){6,}+"
 
 
 @dataclass(frozen=True)

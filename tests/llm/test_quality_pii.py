@@ -72,3 +72,14 @@ def test_bootstrap_and_redaction(spark):
     assert texts[0] == texts[50] == "please dial phone: [PHONE] now" and texts[51] == "it was 5551234567 items" and texts[53] is None
     assert pii.redact(spark, frame).count() == len(rows) and pii.redact(spark, frame).columns == frame.columns
     assert pii.find_identifiers(spark, frame.limit(0)).count() == 0
+
+
+def test_spelled_at_signs(spark):
+    rows = [(k, f"please write mail: user{k}@example.com now") for k in range(12)]
+    rows += [(50, "please write mail: john(at)example.com now"), (51, "please write mail: jane[at]example.org now"), (52, "please write mail: (at)x now"), (53, "seen sam(at)home only"), (54, "w" * 200_000 + "(at)")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: [tuple(s) for s in r["added"]] for r in pii.find_identifiers(spark, frame).collect()}
+    assert found[50] == [("email", 19, 38)] and found[51] == [("email", 19, 38)]
+    assert not found[52] and not found[53] and not found[54]
+    texts = {r["doc_id"]: r["text"] for r in pii.redact(spark, frame).collect()}
+    assert texts[50] == texts[51] == texts[0] == "please write mail: [EMAIL] now"
