@@ -188,16 +188,17 @@ def _packed(vocabulary: str, end_id: int, limits: Limits, names: list[str]):
             kinds = [batch.column(0).type, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
             at = 0
             while at < batch.num_rows:
-                ids, texts, size = [], [], 0
+                ids, texts, losses, size = [], [], [], 0
                 while at < batch.num_rows and size < 2_000_000:
                     text = batch.column(1)[at].as_py() or ""
                     ids.append(batch.column(0)[at].as_py())
                     texts.append(text)
+                    losses.append(batch.column(2)[at].as_py() if batch.num_columns > 2 else None)
                     size, at = size + len(text), at + 1
-                for doc_id, tokens in zip(ids, encoder.encode(texts)):
+                for doc_id, tokens, loss in zip(ids, encoder.encode(texts), losses):
                     tokens = np.append(tokens, np.uint32(end_id)).astype("<u4")
                     held[seen] = [doc_id, tokens, len(tokens)]
-                    packer.add(seen, len(tokens), len(tokens))
+                    packer.add(seen, len(tokens), len(tokens) if loss is None else min(max(loss, 0), len(tokens)))
                     seen += 1
                 yield from flushed()
         packer.finish()
@@ -206,11 +207,13 @@ def _packed(vocabulary: str, end_id: int, limits: Limits, names: list[str]):
     return pack
 
 
-def pack_documents(documents: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 2, limits: Limits = Limits()) -> DataFrame:
+def pack_documents(documents: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 2, limits: Limits = Limits(), loss: str | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (little-endian 32-bit), doc_tokens, sequence_id, offset.
 
-    Every token of a document bears loss. ``vocabulary`` is a tokenizer file on every executor.
+    The column ``loss`` says how many of a document's last tokens, its end token among them, bear
+    loss; without it, or where it is null, all do. ``vocabulary`` is a tokenizer file on every executor.
     """
-    rows = documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    borne = [F.col(f"`{loss}`").cast("long").alias("loss")] if loss else []
+    rows = documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"), *borne)
     schema = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType)] + [T.StructField(n, t) for n, t in PIECES])
     return rows.mapInArrow(_packed(vocabulary, end_id, limits, schema.names), schema)

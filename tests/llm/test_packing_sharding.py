@@ -59,6 +59,19 @@ def test_pieces_hold_the_ids(spark):
     assert packing.pack_documents(frame.limit(0), VOCABULARY).count() == 0
 
 
+def test_loss_column_binds(spark):
+    rows = [(i, "some prompt and an answer " * 4, n) for i, n in enumerate([0, 5, 10, 20, None, 1000, -1] * 6)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, answer int").coalesce(1)
+    limits = packing.Limits(tokens=256, segments=512, loss=24, pool=16)
+    of, borne = defaultdict(int), defaultdict(int)
+    for r in packing.pack_documents(frame, VOCABULARY, limits=limits, loss="answer").collect():
+        n, total = rows[r["doc_id"]][2], r["doc_tokens"]
+        first = total - (total if n is None else min(max(n, 0), total))
+        borne[r["sequence_id"]] += max(0, r["start"] + r["length"] - max(r["start"], first))
+        of[r["doc_id"]] += r["length"]
+    assert len(of) == len(rows) and len(set(of.values())) == 1 and max(borne.values()) == 24
+
+
 def test_differencing():
     places, sums = sharding.differenced([[8, 0], [7, 0], [6, 0], [5, 0], [4, 0]])
     assert sorted(sums) == [14, 16]
