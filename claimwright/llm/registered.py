@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, embeddings, language, lm, minhash, packing, pii, quality, sharding, toxicity
+from . import bpe, embeddings, language, licenses, lm, minhash, packing, pii, quality, sharding, toxicity
 from .columns import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,13 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, digest, pii.spans_text(F.concat("base", "added")).alias("spans"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, places of the base phrases, labels and restriction of every whole text."""
+    found = licenses.scan_licenses(documents_of(spark, sf_dir))
+    joined = [F.array_join(c, ",").alias(c) for c in ("base_labels", "labels")]
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", *joined, "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_sharding": op2_sharding,
@@ -99,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_quality_rules": op10_quality_rules,
+    "op11_license_scan": op11_license_scan,
 }
 
 ORACLES: dict[str, str] = {}
