@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, embeddings, language, licenses, lm, minhash, packing, pii, quality, sharding, toxicity
+from . import bpe, conversations, embeddings, language, licenses, lm, minhash, packing, pii, quality, sharding, toxicity
 from .columns import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,34 @@ def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", *joined, "score")
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the prefix trie of all rebuilt conversations."""
+    return conversations.prefix_trie(spark, spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+# crc32 bit by bit, lists of turns as prefixes, and a join of every node with those below it.
+TRIE_SQL = """
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(coalesce(role, '')), md5(coalesce(text, ''))) AS place,
+    {'r': coalesce(role, ''), 'x': coalesce(text, '')} AS said FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list(said ORDER BY place) AS turns,
+    xor(list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT)),
+      lambda crc, byte: list_reduce(range(8), lambda v, k: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END), xor(crc, byte)), CAST(4294967295 AS BIGINT)), 4294967295) % 6 AS h
+  FROM t GROUP BY conv_id),
+c AS (SELECT o.conv_id, list_concat(coalesce(b.turns[1:o.h], []), o.turns[o.h + 1:]) AS turns FROM o LEFT JOIN o b ON b.conv_id = o.conv_id - o.conv_id % 100),
+p AS (SELECT conv_id, len(turns) AS size, depth, turns[1:depth] AS prefix FROM (SELECT *, unnest(range(len(turns) + 1)) AS depth FROM c)),
+n AS (SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (size = depth), '')) AS ends_sha256 FROM p GROUP BY depth, prefix),
+k AS (SELECT a.depth, a.prefix, any_value(a.conv_id) AS conv_id, count(*) AS n_children FROM n a JOIN n b ON b.depth = a.depth + 1 AND b.prefix[1:a.depth] = a.prefix GROUP BY a.depth, a.prefix),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN n.depth = 0 THEN 0 ELSE (n_convs - 1) * length(n.prefix[n.depth].x) END AS saved
+  FROM n LEFT JOIN k ON k.depth = n.depth AND k.prefix = n.prefix),
+s AS (SELECT a.depth, a.prefix, sum(CASE WHEN b.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(b.saved) AS saved_tokens
+  FROM m a JOIN m b ON b.depth >= a.depth AND b.prefix[1:a.depth] = a.prefix GROUP BY a.depth, a.prefix)
+SELECT m.conv_id, m.depth, u.conv_id AS parent_conv_id, m.n_convs, m.n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, m.ends_sha256
+FROM m JOIN s ON s.depth = m.depth AND s.prefix = m.prefix LEFT JOIN n u ON u.depth = m.depth - 1 AND u.prefix = m.prefix[1:m.depth - 1]
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_sharding": op2_sharding,
@@ -107,6 +135,7 @@ QUERIES: dict[str, Query] = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_quality_rules": op10_quality_rules,
     "op11_license_scan": op11_license_scan,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op13_conversation_trie": TRIE_SQL}
