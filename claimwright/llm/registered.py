@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, conversations, embeddings, language, licenses, lm, minhash, packing, pii, quality, sharding, toxicity
+from . import bpe, conversations, embeddings, language, licenses, lm, minhash, negatives, packing, pii, quality, sharding, toxicity
 from .columns import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,23 @@ def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", *joined, "score")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive, among all rows."""
+    return negatives.mine_negatives(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+NEGATIVES_SQL = """
+WITH r AS (
+  SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT a.id AS anchor_id, b.id, a.label = b.label AS alike, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score FROM r a JOIN r b ON a.id % 100 = 0 AND len(a.v) = len(b.v) AND a.id <> b.id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE alike QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT alike AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) QUALIFY row_number() OVER w <= 5
+"""
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nodes of the prefix trie of all rebuilt conversations."""
     return conversations.prefix_trie(spark, spark.read.parquet(f"{sf_dir}/conversations.parquet"))
@@ -135,7 +152,8 @@ QUERIES: dict[str, Query] = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_quality_rules": op10_quality_rules,
     "op11_license_scan": op11_license_scan,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_conversation_trie": op13_conversation_trie,
 }
 
-ORACLES: dict[str, str] = {"op13_conversation_trie": TRIE_SQL}
+ORACLES: dict[str, str] = {"op12_hard_negatives": NEGATIVES_SQL, "op13_conversation_trie": TRIE_SQL}
