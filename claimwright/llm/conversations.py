@@ -19,19 +19,23 @@ has from there on plus the totals of all other chains that pass through it, one
 
 Sizes: places in a conversation come from a range partitioned sort, running sums go through pieces
 of ``PIECE`` turns, nodes and chains are summed before they are shuffled, and the ids that end in a
-node are hashed as a stream. So neither a very long conversation nor a node of very many members
-is held by a task; its ids do pass one task in order, since SHA-256 is not composable.
+node are joined to pieces of text by ranges and hashed as a stream. So neither a very long
+conversation nor a node of very many members is held by a task; the pieces of a node do pass one
+task in order, since SHA-256 is not composable.
 
-Turns of equal number are ordered by the md5 digests of role and text. Null role or text is empty; rows without
-conversation id take no part; repeated rows are further turns. ``c - c % 100`` is taken as SQL does,
+Turns of equal number are ordered by the md5 digests of role and text. Null role or text is empty;
+rows without conversation id take no part; repeated rows are further turns. ``c - c % 100`` is taken as SQL does,
 towards zero. An empty table has no node, not even a root. Other columns are not read.
 """
 
 from __future__ import annotations
 
+import hashlib
 import random
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from .columns import whole
@@ -41,6 +45,7 @@ PRIME = 2**31 - 1
 RESIDUES = 4
 DIGIT = 32  # powers of r are looked up by digits of the place in this base
 PIECE = 1024
+TEXT = 4096  # ids in one piece of text
 NODE = ["depth", "k1", "k2"]
 
 
@@ -180,36 +185,46 @@ def verified(spark: SparkSession, passages: DataFrame, turns: DataFrame) -> bool
     return seen.where("min_role <> max_role OR min_text <> max_text").isEmpty()
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of one node's ascending ids as comma-joined text of at most ``TEXT`` ids, with the first id."""
+    for batch in batches:
+        keys = [batch.column(i).to_numpy() for i in range(3)]
+        ids = batch.column(3)
+        new = np.ones(batch.num_rows, bool)
+        new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+        starts = np.flatnonzero(new)
+        lengths = np.diff([*starts, batch.num_rows])
+        starts = np.concatenate([np.arange(s, s + n, TEXT) for s, n in zip(starts, lengths)]) if len(starts) else starts
+        texts = [",".join(map(str, ids.slice(a, b - a).to_pylist())) for a, b in zip(starts, [*starts[1:], batch.num_rows])]
+        yield pa.RecordBatch.from_arrays([*[pa.array(k[starts], pa.int64()) for k in keys], ids.take(pa.array(starts, pa.int64())), pa.array(texts, pa.string())], names=[*NODE, "first", "ids"])
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One digest per node from its pieces in ascending order, without holding them."""
+    node, digest, done = None, None, []
+    for batch in batches:
+        for *key, text in zip(*[batch.column(i).to_pylist() for i in (0, 1, 2, 4)]):
+            if key == node:
+                digest.update(b"," + text.encode())
+                continue
+            if node is not None:
+                done.append((*node, digest.hexdigest()))
+            node, digest = key, hashlib.sha256(text.encode())
+    if node is not None:
+        done.append((*node, digest.hexdigest()))
+    yield pa.RecordBatch.from_arrays([*[pa.array([d[i] for d in done], pa.int64()) for i in range(3)], pa.array([d[3] for d in done], pa.string())], names=[*NODE, "ends_sha256"])
+
+
 def digests(ends: DataFrame) -> DataFrame:
-    """ends_sha256 per node of (node, conv_id): the ids in ascending order, hashed as a stream."""
-    schema = T.StructType([*[T.StructField(n, T.LongType()) for n in NODE], T.StructField("ends_sha256", T.StringType())])
-
-    def hashed(batches):
-        import hashlib
-
-        import pyarrow as pa
-
-        def rows(done):
-            return pa.RecordBatch.from_arrays([*[pa.array([d[i] for d in done], pa.int64()) for i in range(3)], pa.array([d[3] for d in done], pa.string())], names=schema.fieldNames())
-
-        node, digest, done = None, None, []
-        for batch in batches:
-            for *key, conv in zip(*[batch.column(i).to_pylist() for i in range(4)]):
-                if key == node:
-                    digest.update(b",%d" % conv)
-                    continue
-                if node is not None:
-                    done.append((*node, digest.hexdigest()))
-                node, digest = key, hashlib.sha256(b"%d" % conv)
-            if len(done) >= 4096:
-                yield rows(done)
-                done = []
-        if node is not None:
-            done.append((*node, digest.hexdigest()))
-        yield rows(done)
-
-    ordered = ends.select(*NODE, F.col("conv_id").cast("long").alias("conv_id")).repartition(*NODE).sortWithinPartitions(*NODE, "conv_id")
-    return ordered.mapInArrow(hashed, schema)
+    """ends_sha256 per node of (node, conv_id): the ids in ascending order, hashed as a stream.
+
+    Ranges of ids become pieces of text first, so the task that hashes a node of very many members
+    reads a few long rows.
+    """
+    key = [T.StructField(n, T.LongType()) for n in NODE]
+    rows = ends.select(*NODE, F.col("conv_id").cast("long").alias("first")).repartitionByRange(*NODE, "first").sortWithinPartitions(*NODE, "first")
+    pieces = rows.mapInArrow(_pieces, T.StructType([*key, T.StructField("first", T.LongType()), T.StructField("ids", T.StringType())]))
+    return pieces.repartition(*NODE).sortWithinPartitions(*NODE, "first").mapInArrow(_hashed, T.StructType([*key, T.StructField("ends_sha256", T.StringType())]))
 
 
 def tree(spark: SparkSession, passages: DataFrame, sizes: DataFrame) -> DataFrame:
