@@ -19,7 +19,7 @@ assigned, and the number of centres follows the square root of the number of anc
 one block and at most about ``GROUP`` anchors. Blocks that no anchor must visit are not sent.
 
 Components are floor(``SCALE`` * x), kept in 64 bits; scores are exact integers, through doubles where
-those hold them and Python's integers elsewhere, and are clipped to 64 bits in the result.
+those hold them and Python's integers elsewhere, and are clipped to 64 bits where they are formed.
 
 Rows with null id, label or vector, or with a null or non-finite component, take no part. Vectors
 of different lengths never meet; empty and zero vectors score 0 with all others. Rows that repeat
@@ -126,11 +126,11 @@ def assigned(rows: DataFrame, centres: Centres) -> DataFrame:
 
 
 def _scores(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Exact inner products: doubles while they hold them, else Python's integers."""
+    """Exact inner products, doubles while they hold them, else Python's integers; clipped to 64 bits."""
     largest = float(np.abs(left.astype(np.float64)).max(initial=0)) * float(np.abs(right.astype(np.float64)).max(initial=0))
     if largest * left.shape[1] < EXACT:
         return left.astype(np.float64) @ right.astype(np.float64).T
-    return left.astype(object) @ right.astype(object).T
+    return np.minimum(np.maximum(left.astype(object) @ right.astype(object).T, -LONG), LONG - 1)
 
 
 class Best:
@@ -187,10 +187,6 @@ def walk(members: np.ndarray, norms: np.ndarray, labels: np.ndarray, needs: list
                     need.offer(scores[row][wanted], ids[wanted])
 
 
-def _clipped(score) -> int:
-    return max(-LONG, min(LONG - 1, int(score)))
-
-
 def _walked(centres: Centres, same: bool, k: int, low: int, high: int, schema: T.StructType):
     def search(key, table):
         size = key[0].as_py()
@@ -214,7 +210,7 @@ def _walked(centres: Centres, same: bool, k: int, low: int, high: int, schema: T
             walk(vectors[mine], norms[mine], labels[mine], needs, same, block, bounds, ids[mine])
             for m, bests in zip(mine, needs):
                 for best, wanted in zip(bests, [None] if same else scores[m]):
-                    out += [(names[m], wanted, i, _clipped(-s)) for s, i in best.found]
+                    out += [(names[m], wanted, i, int(-s)) for s, i in best.found]
         return pa.table([pa.array([o[i] for o in out], pa.int64()) for i in range(4)], names=schema.fieldNames())
 
     return search
