@@ -17,13 +17,13 @@ from pyspark.ml.regression import (
     DecisionTreeRegressor,
     GBTRegressor,
     LinearRegression,
-    RandomForestRegressor,
 )
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import columns as fx
 from ..session import shared_folder
 from .evaluate import metric_columns
+from .forest import RandomForest, RandomForestModel
 
 log = logging.getLogger(__name__)
 
@@ -50,7 +50,7 @@ GRIDS: dict[str, dict[str, list]] = {
     "gradient_boosting": {"n_estimators": [100, 200, 300], "max_depth": [3, 5, 7], "learning_rate": [0.01, 0.1, 0.2]},
 }
 
-MAX_DEPTH = 30  # the deepest tree MLlib grows; also stands for "unlimited"
+MAX_DEPTH = 30  # the deepest tree MLlib grows; for boosting it also stands for "unlimited"
 FEATURES, PREDICTION = "features", "prediction"
 
 
@@ -90,20 +90,16 @@ def estimator(model_type: str, params: Mapping[str, Any], df: DataFrame, label:
             maxIter=params["max_iter"], tol=params.get("tol", 1e-8),
         )
     seed = params.get("random_state", 42)
+    if model_type == "random_forest":
+        return RandomForest(
+            label, params["n_estimators"], params.get("max_depth"), params.get("max_features"), params.get("min_samples_split", 2), seed,
+            params.get("bootstrap", True),
+        )
     depth = params.get("max_depth") or MAX_DEPTH
     if depth > MAX_DEPTH:
-        raise ValueError(f"max_depth {depth}: trees are at most {MAX_DEPTH} deep")
+        raise ValueError(f"max_depth {depth}: boosted trees are at most {MAX_DEPTH} deep")
     # a split needs two leaves, so half the minimum split size is the nearest leaf bound
     leaf = max(1, params.get("min_samples_split", 2) // 2)
-    if model_type == "random_forest":
-        deep = depth > 10
-        if deep:  # node ids are cached across levels, which needs a checkpoint folder
-            shared_folder(df.sparkSession)
-        return RandomForestRegressor(
-            featuresCol=FEATURES, labelCol=label, numTrees=params["n_estimators"], maxDepth=depth, minInstancesPerNode=leaf,
-            featureSubsetStrategy=params.get("max_features") or "all", seed=seed, maxMemoryInMB=1024, cacheNodeIds=deep,
-            checkpointInterval=10,
-        )
     if model_type == "gradient_boosting":
         return GBTRegressor(
             featuresCol=FEATURES, labelCol=label, maxIter=params["n_estimators"], maxDepth=depth,
@@ -284,6 +280,8 @@ def training_cache(df: DataFrame) -> DataFrame:
 def importances_of(regressor, feature_names: Sequence[str]) -> dict[str, float]:
     if isinstance(regressor, AdaBoostR2Model):
         values = regressor.importances()
+    elif isinstance(regressor, RandomForestModel):
+        values = regressor.importances
     elif hasattr(regressor, "featureImportances"):
         values = regressor.featureImportances.toArray().tolist()
     else:

@@ -12,11 +12,11 @@ from pyspark.ml.regression import (
     DecisionTreeRegressionModel,
     GBTRegressionModel,
     LinearRegressionModel,
-    RandomForestRegressionModel,
 )
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .forest import RandomForestModel
 from .models import AdaBoostR2Model, FittedModel, ModelCard, TrainingResult
 
 EVENT_SCHEMA = "event string, model string, version string, at bigint, metadata string"
@@ -25,7 +25,6 @@ LOADERS = {
     "lasso": LinearRegressionModel,
     "ridge": LinearRegressionModel,
     "elasticnet": LinearRegressionModel,
-    "random_forest": RandomForestRegressionModel,
     "gradient_boosting": GBTRegressionModel,
     "decision_tree": DecisionTreeRegressionModel,
 }
@@ -52,7 +51,7 @@ class ModelRegistry:
         name, version = name or result.card.name, result.card.version
         path = f"{self.root}/models/{name}/v{version}"
         regressor = result.model.regressor
-        if isinstance(regressor, AdaBoostR2Model):
+        if isinstance(regressor, AdaBoostR2Model | RandomForestModel):
             regressor.save(self.spark, path)
         else:
             regressor.write().overwrite().save(path)
@@ -79,8 +78,9 @@ class ModelRegistry:
         version, text = self._find(name, version)
         card = ModelCard.from_json(text)
         path = f"{self.root}/models/{name}/v{version}"
-        if card.kind == "adaboost":
-            regressor = AdaBoostR2Model.load(self.spark, path)
+        own = {"adaboost": AdaBoostR2Model, "random_forest": RandomForestModel}.get(card.kind)
+        if own:
+            regressor = own.load(self.spark, path)
         else:
             regressor = LOADERS[card.kind].load(path)
         return FittedModel(regressor, card.features), card
