@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluate, models, sampling, scale, scoring, tuning
 from ..operators.clean import fill_missing
+from ..operators.features import FeatureState
 from ..operators.registry import ModelRegistry
+from ..plans import workflows
 from ..plans.claims_view import claims_view
 from ..session import scratch_path
 from ..streaming.score import stream_score
@@ -30,7 +32,7 @@ INPUTS = ["AMT_BILLED", "AMT_COINS"]
 
 def linear_rows(spark, sf_dir):
     """Standardised billed and coinsurance amounts with the paid amount."""
-    return models.training_cache(scale.scale_zscore(claims_view(spark, sf_dir, [*LINE, *INPUTS, LABEL]), INPUTS))
+    return scale.scale_zscore(claims_view(spark, sf_dir, [*LINE, *INPUTS, LABEL]), INPUTS)
 
 
 def fold_sides(rows):
@@ -44,7 +46,7 @@ def coefficients(spark, model):
     return rounded(spark.createDataFrame([(t, float(v)) for t, v in terms], "term string, value double"), ["value"], 2)
 
 
-FOLDS = 3
+FOLDS = 5
 STANDARD_SQL = (
     f", m AS (SELECT avg({INPUTS[0]}) AS m1, stddev_pop({INPUTS[0]}) AS s1, avg({INPUTS[1]}) AS m2, stddev_pop({INPUTS[1]}) AS s2 FROM claims), "
     f"z AS (SELECT ({INPUTS[0]} - m1) / s1 AS a, ({INPUTS[1]} - m2) / s2 AS b, {LABEL} AS y, {key_sql(LINE)} % {FOLDS} AS fold FROM claims, m)"
@@ -84,11 +86,50 @@ def scored_sql(i, l1, l2, train, test):
 
 R2 = "1 - avg(e * e) / var_pop(y)"
 
+SUMS = {"n": "1", "a": "a", "b": "b", "y": "y", "aa": "a * a", "bb": "b * b", "ab": "a * b", "ay": "a * y", "by_": "b * y", "yy": "y * y"}
 
-def folds_sql(name, l1, l2):
-    """CTE {name}: r2 per fold."""
-    parts = "".join(scored_sql(f"_{name}_{k}", l1, l2, f"fold <> {k}", f"fold = {k}") for k in range(FOLDS))
-    return parts + f", {name} AS ({union(f'SELECT {k} AS fold, {R2} AS r2 FROM e_{name}_{k}' for k in range(FOLDS))})"
+
+def fits_sql(points, shares=(1.0,)):
+    """CTE fits: r2 on both sides of the fit of every point, share and fold.
+
+    ``points`` are (name, l1, l2) in SQL; the l2 may use n. Sums per fold and slice are added up for
+    each fit. The two weights solve their equations with the signs that they have without l1, or one
+    of them is 0 where that is the lasso's solution.
+    """
+    step = f"(({key_sql(LINE)} // {FOLDS}) % 1000000) / 1000000.0"
+    at = " + ".join(f"CAST({step} >= {e} AS INTEGER)" for e in shares)
+    sums = ", ".join(f"sum({x}) AS {c}" for c, x in SUMS.items())
+    added = ", ".join(f"sum(c.{c}) AS {c}" for c in SUMS)
+    named = union(f"SELECT {i} AS point, '{p}' AS params" for i, (p, _, _) in enumerate(points))
+    l1 = "CASE point " + " ".join(f"WHEN {i} THEN {x}" for i, (_, x, _) in enumerate(points)) + " END"
+    l2 = "CASE point " + " ".join(f"WHEN {i} THEN {x}" for i, (_, _, x) in enumerate(points)) + " END"
+    left = "yy + n * w0 * w0 + w1 * w1 * aa + w2 * w2 * bb - 2 * w0 * y - 2 * w1 * ay - 2 * w2 * by_ + 2 * w0 * w1 * a + 2 * w0 * w2 * b + 2 * w1 * w2 * ab"
+    score = f"1 - ({left}) / (yy - y * y / n)"
+    return (
+        f", zs AS (SELECT a, b, y, fold, {at} AS slice FROM z), "
+        f"cells AS (SELECT fold, slice, {sums} FROM zs GROUP BY fold, slice), "
+        f"grid AS (SELECT f.fold AS held, s.slice AS upto, s.share FROM (SELECT unnest(range({FOLDS})) AS fold) f, "
+        f"({union(f'SELECT {i} AS slice, {e}::DOUBLE AS share' for i, e in enumerate(shares))}) s), "
+        f"train AS (SELECT held, share, {added} FROM grid JOIN cells c ON c.fold <> held AND c.slice <= upto GROUP BY held, share), "
+        f"test AS (SELECT fold AS held, {added.replace('c.', '')} FROM cells GROUP BY fold), "
+        f"mo AS (SELECT p.point, p.params, t.*, aa / n - a / n * a / n AS saa, bb / n - b / n * b / n AS sbb, ab / n - a / n * b / n AS sab, "
+        f"ay / n - a / n * y / n AS say, by_ / n - b / n * y / n AS sby FROM train t, ({named}) p), "
+        f"q AS (SELECT *, {l1} AS l1, saa + {l2} AS p11, sbb + {l2} AS p22 FROM mo), "
+        "r AS (SELECT *, sign(say * p22 - sby * sab) AS s1, sign(sby * p11 - say * sab) AS s2, p11 * p22 - sab * sab AS det FROM q), "
+        "u AS (SELECT *, ((say - l1 * s1) * p22 - (sby - l1 * s2) * sab) / det AS v1, ((sby - l1 * s2) * p11 - (say - l1 * s1) * sab) / det AS v2, "
+        "sign(say) * greatest(abs(say) - l1, 0) / p11 AS x1, sign(sby) * greatest(abs(sby) - l1, 0) / p22 AS x2 FROM r), "
+        "v AS (SELECT *, CASE WHEN v1 * s1 >= 0 AND v2 * s2 >= 0 THEN v1 WHEN abs(sby - sab * x1) <= l1 THEN x1 ELSE 0 END AS w1, "
+        "CASE WHEN v1 * s1 >= 0 AND v2 * s2 >= 0 THEN v2 WHEN abs(sby - sab * x1) <= l1 THEN 0 ELSE x2 END AS w2 FROM u), "
+        "w AS (SELECT *, y / n - w1 * a / n - w2 * b / n AS w0 FROM v), "
+        f"fits AS (SELECT w.params, w.share, w.held AS fold, w.n, w.train_r2, (SELECT {score} FROM test t WHERE t.held = w.held) AS r2 "
+        f"FROM (SELECT *, {score} AS train_r2 FROM w) w)"
+    )
+
+
+def scored_folds_sql(points, tail, shares=(1.0,)):
+    """The SQL over standardised claims that ends in ``tail`` over fits."""
+    with_keys = STANDARD_SQL.replace("z AS (SELECT (", "z AS (SELECT CLAIM_ID_KEY, SV_LINE, (")
+    return over_claims(with_keys + fits_sql(points, shares) + " " + tail, [*LINE, *INPUTS, LABEL])
 
 
 def fit_linear(rows, model_type, params=None):
@@ -164,8 +205,8 @@ def train_model(spark, sf_dir):
     scores = spark.createDataFrame(list(result.importances.items()), "feature string, importance double")
     return rounded(scores, ["importance"], 2).withColumns(
         {
-            "validation_r2": F.round(F.lit(result.card.scores["validation"]["r2"]), 8),
-            "training_samples": F.lit(result.card.rows).cast("bigint"),
+            "validation_r2": F.round(F.lit(result.scores["validation"]["r2"]), 8),
+            "training_samples": F.lit(result.rows).cast("bigint"),
         }
     )
 
@@ -184,37 +225,34 @@ def tuned(spark, points):
     return rounded(spark.createDataFrame(rows, "params string, mean_r2 double"), ["mean_r2"], 8)
 
 
-def grid_sql(cases):
-    """Mean r2 over folds for each (alpha, l1, l2)."""
-    parts = "".join(folds_sql(f"c{i}", l1, l2) for i, (_, l1, l2) in enumerate(cases))
-    rows = union(f"SELECT '{json.dumps(dict(alpha=a))}' AS params, round(avg(r2), 8) AS mean_r2 FROM c{i}" for i, (a, _, _) in enumerate(cases))
-    return over_claims(STANDARD_SQL + parts + " " + rows, [*LINE, *INPUTS, LABEL])
+def points_sql(kind, alphas):
+    forms = {"ridge": ("0", "{a}::DOUBLE / n"), "lasso": ("{a}::DOUBLE", "0")}
+    return [(json.dumps({"alpha": a}), *[f.format(a=a) for f in forms[kind]]) for a in alphas]
 
 
-RIDGE_ALPHAS = [0.5, 1000.0, 20000.0]
+MEAN_R2 = "SELECT params, round(avg(r2), 8) AS mean_r2 FROM fits GROUP BY params"
 
 
-@add("tune_grid", grid_sql([(a, "0", f"{a}::DOUBLE / n") for a in RIDGE_ALPHAS]))
+@add("tune_grid", scored_folds_sql(points_sql("ridge", models.GRIDS["ridge"]["alpha"]), MEAN_R2))
 def tune_grid(spark, sf_dir):
-    rows = linear_rows(spark, sf_dir)
-    return tuned(spark, tuning.tune_grid("ridge", rows, INPUTS, LABEL, {"alpha": RIDGE_ALPHAS}, FOLDS, fold_keys=LINE)[2])
+    """All alphas of the ridge grid over five folds, from one scan."""
+    return tuned(spark, tuning.tune_grid("ridge", linear_rows(spark, sf_dir), INPUTS, LABEL, fold_keys=LINE)[2])
 
 
-LASSO_CHOICE = [p["alpha"] for p in tuning.grid_points(models.GRIDS["lasso"], 2)]
+LASSO_CHOICE = [p["alpha"] for p in tuning.grid_points(models.GRIDS["lasso"], 3)]
 
 
-@add("tune_random", grid_sql([(a, f"{a}::DOUBLE", "0") for a in LASSO_CHOICE]))
+@add("tune_random", scored_folds_sql(points_sql("lasso", LASSO_CHOICE), MEAN_R2))
 def tune_random(spark, sf_dir):
-    rows = linear_rows(spark, sf_dir)
-    return tuned(spark, tuning.tune_random("lasso", rows, INPUTS, LABEL, 2, cv=FOLDS, fold_keys=LINE)[2])
+    """Three seeded points of the lasso grid over five folds, from one scan."""
+    return tuned(spark, tuning.tune_random("lasso", linear_rows(spark, sf_dir), INPUTS, LABEL, 3, fold_keys=LINE)[2])
 
 
 @add(
     "cross_validate",
-    over_claims(
-        STANDARD_SQL + folds_sql("c", "0", "0.5 / n") + " SELECT CAST(fold AS INTEGER) AS fold, round(r2, 8) AS r2, "
-        "(SELECT round(avg(r2), 8) FROM c) AS mean_r2, (SELECT round(stddev_pop(r2), 8) FROM c) AS std_r2 FROM c",
-        [*LINE, *INPUTS, LABEL],
+    scored_folds_sql(
+        points_sql("ridge", [0.5]),
+        "SELECT CAST(fold AS INTEGER) AS fold, round(r2, 8) AS r2, (SELECT round(avg(r2), 8) FROM fits) AS mean_r2, (SELECT round(stddev_pop(r2), 8) FROM fits) AS std_r2 FROM fits",
     ),
 )
 def cross_validate(spark, sf_dir):
@@ -227,54 +265,67 @@ def cross_validate(spark, sf_dir):
 # --- registry -----------------------------------------------------------------------------
 
 
+MODELS = {"paid_ridge": ("ridge", [50.0, 0.5]), "paid_lasso": ("lasso", [0.1])}  # alphas of the versions
+
+
+def fitted_state(spark, sf_dir):
+    """(raw claims, state): z-scores of the two amounts, learnt from all claims."""
+    claims = claims_view(spark, sf_dir, [*LINE, *INPUTS, LABEL])
+    return claims, FeatureState(scale.fit_scalers(claims, INPUTS, "zscore"), {}, INPUTS)
+
+
 def filled_registry(spark, sf_dir):
-    """Two versions of a ridge model and one lasso model, saved in a fresh registry."""
-    registry, rows = ModelRegistry(spark, scratch_path(spark, "registry")), linear_rows(spark, sf_dir)
-    for model_type, version in (("ridge", "1"), ("ridge", "2"), ("lasso", "1")):
-        result = fit_linear(rows, model_type, {"alpha": 50.0} if version == "1" else None)
-        result.card.version = version
-        registry.save(result, f"paid_{model_type}")
+    """All versions of ``MODELS``, trained on raw claims through one state, saved in a fresh registry."""
+    registry, (claims, state) = ModelRegistry(spark, scratch_path(spark, "registry")), fitted_state(spark, sf_dir)
+    for name, (kind, alphas) in MODELS.items():
+        for version, alpha in enumerate(alphas, 1):
+            registry.save(models.train_model(kind, claims, claims, INPUTS, LABEL, {"alpha": alpha}, str(version), state), name)
     return registry
 
 
-@add(
-    "registry_save",
-    over_claims(
-        "SELECT model, version, (SELECT count(*) FROM claims) AS training_samples FROM (VALUES ('paid_ridge', '1'), ('paid_ridge', '2'), "
-        "('paid_lasso', '1')) t(model, version)",
-        INPUTS,
-    ),
-)
+# the r2 of every version over all claims, from which SQL tells them apart
+VERSIONS = [(f"{name}/{v}", f"{a}::DOUBLE" if kind == "lasso" else "0", "0" if kind == "lasso" else f"{a}::DOUBLE / n") for name, (kind, alphas) in MODELS.items() for v, a in enumerate(alphas, 1)]
+SAVED = STANDARD_SQL + "".join(scored_sql(i, l1, l2, "true", "true") for i, (_, l1, l2) in enumerate(VERSIONS)) + ", saved AS (" + union(
+    f"SELECT '{name.split('/')[0]}' AS model, '{name.split('/')[1]}' AS version, {i} AS seq, count(*) AS training_samples, round({R2}, 8) AS r2 FROM e{i}" for i, (name, _, _) in enumerate(VERSIONS)
+) + ") "
+
+
+@add("registry_save", over_claims(SAVED + "SELECT model, version, training_samples, r2 FROM saved", [*LINE, *INPUTS, LABEL]))
 def registry_save(spark, sf_dir):
-    samples = F.get_json_object("metadata", "$.rows").cast("bigint").alias("training_samples")
-    return filled_registry(spark, sf_dir).events().select("model", "version", samples)
+    """What the registry's tables say of all saved versions."""
+    registry = filled_registry(spark, sf_dir)
+    scores = registry.metrics().where("side = 'validation' AND metric = 'r2'").select("model", "version", F.round("value", 8).alias("r2"))
+    return registry.events().select("model", "version", F.col("rows").alias("training_samples")).join(scores, ["model", "version"])
 
 
 @add("registry_load", RIDGE)
 def registry_load(spark, sf_dir):
     """The latest ridge version, read back from its files."""
-    return coefficients(spark, filled_registry(spark, sf_dir).load("paid_ridge")[0])
+    return coefficients(spark, filled_registry(spark, sf_dir).load("paid_ridge"))
 
 
 @add(
     "registry_list",
     over_claims(
-        "SELECT * FROM (VALUES ('paid_ridge', '1,2', '2'), ('paid_lasso', '1', '1')) t(model, versions, latest) WHERE (SELECT count(*) FROM claims) > 0",
-        INPUTS,
+        SAVED + "SELECT model, string_agg(version, ',' ORDER BY seq) AS versions, arg_max(version, seq) AS latest, arg_max(r2, seq) AS r2 FROM saved GROUP BY model",
+        [*LINE, *INPUTS, LABEL],
     ),
 )
 def registry_list(spark, sf_dir):
-    return filled_registry(spark, sf_dir).list_models().withColumn("versions", F.array_join("versions", ","))
+    """Versions in order, the latest, and how the latest does when it is read back and scores all claims."""
+    registry, (claims, _) = filled_registry(spark, sf_dir), fitted_state(spark, sf_dir)
+    listed = registry.list_models().withColumn("versions", F.array_join("versions", ","))
+    scores = [(r["model"], evaluate.evaluate_model(registry.load(r["model"], r["latest"]), claims, LABEL)[0].first()["r2"]) for r in listed.collect()]
+    return listed.join(rounded(spark.createDataFrame(scores, "model string, r2 double"), ["r2"], 8), "model")
 
 
-@add(
-    "registry_promote",
-    over_claims("SELECT 'paid_ridge' AS model, '2' AS version WHERE (SELECT count(*) FROM claims) > 0", INPUTS),
-)
+@add("registry_promote", over_claims(SAVED + "SELECT model, version FROM saved WHERE model = 'paid_ridge' ORDER BY r2 DESC LIMIT 1", [*LINE, *INPUTS, LABEL]))
 def registry_promote(spark, sf_dir):
+    """The ridge version of the best r2 is promoted after the lasso."""
     registry = filled_registry(spark, sf_dir)
     registry.promote("paid_lasso")
-    registry.promote("paid_ridge")
+    found = registry.metrics().where("model = 'paid_ridge' AND side = 'validation' AND metric = 'r2'")
+    registry.promote("paid_ridge", found.orderBy(F.desc("value")).first()["version"])
     return registry.production_pointer()
 
 
@@ -286,6 +337,35 @@ def registry_production(spark, sf_dir):
     return coefficients(spark, registry.production()[0])
 
 
+# the split side of every row, in SQL: the fifth with the smallest keys, as the split counts them
+TEST_FIFTH = f"row_number() OVER (ORDER BY {key_sql(LINE)}, CLAIM_ID_KEY, SV_LINE) <= (SELECT ceil(0.2 * count(*)) FROM claims)"
+TRAIN_FLOW = (
+    f", t AS (SELECT CLAIM_ID_KEY, SV_LINE, {INPUTS[0]}, {INPUTS[1]}, {LABEL}, {TEST_FIFTH} AS held FROM claims), "
+    f"m AS (SELECT avg({INPUTS[0]}) AS m1, stddev_pop({INPUTS[0]}) AS s1, avg({INPUTS[1]}) AS m2, stddev_pop({INPUTS[1]}) AS s2 FROM t WHERE NOT held), "
+    f"z AS (SELECT ({INPUTS[0]} - m1) / s1 AS a, ({INPUTS[1]} - m2) / s2 AS b, {LABEL} AS y, held FROM t, m)"
+    + scored_sql(0, "0", "0.5 / n", "NOT held", "held") + scored_sql(1, "0.1", "0", "NOT held", "held")
+    + f", r AS ({union(f'SELECT {chr(39)}{k}{chr(39)} AS best, {i} AS i, {R2} AS r2 FROM e{i}' for i, k in enumerate(('ridge', 'lasso')))}), "
+    "best AS (SELECT best, i FROM r ORDER BY r2 DESC LIMIT 1), e AS (SELECT 0 AS i, * FROM e0 UNION ALL SELECT 1, * FROM e1)"
+)
+
+
+@add(
+    "train_workflow",
+    over_claims(
+        TRAIN_FLOW + f" SELECT any_value(best) AS best, '1' AS version, round({R2}, 8) AS r2, round(sqrt(avg(e * e)), 4) AS rmse, round(avg(abs(e)), 4) AS mae, count(*) AS n "
+        "FROM e JOIN best USING (i)",
+        [*LINE, *INPUTS, LABEL],
+    ),
+)
+def train_workflow(spark, sf_dir):
+    """Split, features, two models, the best one registered, promoted, read back and evaluated on raw rows."""
+    registry = ModelRegistry(spark, scratch_path(spark, "registry"))
+    rows = claims_view(spark, sf_dir, [*LINE, *INPUTS, LABEL])
+    done = workflows.train(rows, registry, LABEL, scaled=INPUTS, model_types=["ridge", "lasso"], key_columns=LINE)
+    shown = rounded(rounded(done.metrics.select("r2", "rmse", "mae"), ["r2"], 8), ["rmse", "mae"], 4)
+    return shown.withColumns({"best": F.lit(done.best), "version": F.lit(done.version), "n": F.lit(done.scored.count()).cast("bigint")})
+
+
 # --- scoring ------------------------------------------------------------------------------
 
 REQUEST = {
@@ -323,23 +403,14 @@ def score_features(spark, sf_dir):
     return rounded(scoring.score_features(requests(spark, sf_dir), None, LINE), ["AMT_BILLED_log"], 9)
 
 
-class FixedWeights:
-    """A stand-in model with given weights, for queries whose SQL must repeat the prediction."""
-
-    feature_names = ["AMT_BILLED", "AMT_DEDUCT", "FORM_TYPE_O"]
-
-    def transform(self, df):
-        return df.withColumn("prediction", F.expr("AMT_BILLED * 0.5D - AMT_DEDUCT * 0.25D + FORM_TYPE_O * 100D - 2000D"))
-
-
-def interval_sql(extra=""):
-    """Amounts as decimals; the interval is 1.96 * 0.15 of the amount on both sides."""
+def interval_sql(fit, version, where="true"):
+    """Amounts as decimals; the interval is 1.96 * 0.15 of the amount on both sides. ``fit`` is a CTE of weights."""
     return (
-        ", p AS (SELECT *, CAST(AMT_BILLED * 0.5::DOUBLE - AMT_DEDUCT * 0.25::DOUBLE + CAST(FORM_TYPE = 'O' AS INTEGER) * 100.0::DOUBLE - 2000.0::DOUBLE "
-        "AS DECIMAL(20,6)) AS raw FROM claims), a AS (SELECT *, greatest(raw, CAST(0 AS DECIMAL(20,6))) AS amount FROM p) "
         "SELECT CLAIM_ID_KEY, SV_LINE, CAST(CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS predicted_amount, "
         "CAST(CAST(amount * CAST(0.706 AS DECIMAL(4,3)) AS DECIMAL(18,2)) AS DOUBLE) AS lower, "
-        "CAST(CAST(amount * CAST(1.294 AS DECIMAL(4,3)) AS DECIMAL(18,2)) AS DOUBLE) AS upper, 'fixed' AS model_version" + extra + " FROM a"
+        f"CAST(CAST(amount * CAST(1.294 AS DECIMAL(4,3)) AS DECIMAL(18,2)) AS DOUBLE) AS upper, '{version}' AS model_version FROM ("
+        "SELECT *, greatest(CAST(w0 + w1 * a + w2 * b AS DECIMAL(20,6)), CAST(0 AS DECIMAL(20,6))) AS amount FROM "
+        f"(SELECT CLAIM_ID_KEY, SV_LINE, (coalesce({INPUTS[0]}, 0) - m1) / s1 AS a, (coalesce({INPUTS[1]}, 0) - m2) / s2 AS b FROM claims, m) r, {fit}) WHERE {where}"
     )
 
 
@@ -353,32 +424,45 @@ def flat_scores(df):
     ).drop("confidence_interval")
 
 
-@add("score_batch", over_claims(interval_sql(), REQUEST_CLAIMS))
+SCORED_CLAIMS = list(dict.fromkeys([*REQUEST_CLAIMS, *INPUTS, LABEL]))
+
+
+@add("score_batch", over_claims(STANDARD_SQL + solution_sql(0, "0", "0.5 / n", "true") + " " + interval_sql("f0", "2"), SCORED_CLAIMS))
 def score_batch(spark, sf_dir):
-    return flat_scores(scoring.score_batch(FixedWeights(), requests(spark, sf_dir), LINE, "fixed"))
+    """Every claim as a request, scored by the registered ridge model in production and its state."""
+    registry = filled_registry(spark, sf_dir)
+    registry.promote("paid_ridge", "2")
+    return flat_scores(scoring.score_batch(registry.production()[0], requests(spark, sf_dir), LINE, "2"))
+
+
+BROKEN = "CLAIM_ID_KEY % 50 = 7"
+
+
+def streamed_sql(fit, version, where):
+    rows = interval_sql(fit, version, f"NOT ({BROKEN}) AND {where}").replace("SELECT CLAIM_ID_KEY, SV_LINE, ", "SELECT CLAIM_ID_KEY || '-' || SV_LINE AS request_id, true AS success, CAST(NULL AS VARCHAR) AS error, ", 1)
+    bad = f"SELECT NULL, false, 'not a JSON record', NULL, NULL, NULL, '{version}' FROM claims WHERE {BROKEN} AND {where}"
+    return f"{rows} UNION ALL {bad}"
 
 
 @add(
     "stream_score",
     over_claims(
-        interval_sql().replace("SELECT CLAIM_ID_KEY, SV_LINE, ", "SELECT CLAIM_ID_KEY || '-' || SV_LINE AS request_id, ")
-        .replace("'fixed' AS model_version", "true AS success, CAST(NULL AS VARCHAR) AS error, 'fixed' AS model_version")
-        + " WHERE CLAIM_ID_KEY % 50 <> 7 UNION ALL SELECT NULL, NULL, NULL, NULL, false, 'not a JSON record', 'fixed' FROM claims "
-        "WHERE CLAIM_ID_KEY % 50 = 7",
-        REQUEST_CLAIMS,
+        STANDARD_SQL + solution_sql(0, "0", "50.0 / n", "true") + solution_sql(1, "0", "0.5 / n", "true") + " "
+        + streamed_sql("f0", "1", "CLAIM_ID_KEY % 2 = 0") + " UNION ALL " + streamed_sql("f1", "2", "CLAIM_ID_KEY % 2 = 1"),
+        SCORED_CLAIMS,
     ),
 )
 def stream(spark, sf_dir):
-    """Every claim as a JSON request; one order in fifty arrives cut short."""
-    rows = requests(spark, sf_dir)
-    fields = [F.concat_ws("-", *LINE).alias("request_id"), *[F.col(c) for c in REQUEST]]
-    body = F.to_json(F.struct(*fields))
-    broken = F.when(F.col("CLAIM_ID_KEY") % 50 == 7, F.substring(body, 1, 20)).otherwise(body)
-    landing = scratch_path(spark, "requests")
-    rows.select(broken.alias("value")).write.text(landing)
-    output = scratch_path(spark, "scores")
-    stream_score(spark, landing, output, scratch_path(spark, "score-state"), FixedWeights(), "fixed")
-    return flat_scores(spark.read.parquet(output))
+    """Claims arrive as JSON requests in two batches, with a promotion between them; one order in fifty is cut short."""
+    registry, rows = filled_registry(spark, sf_dir), requests(spark, sf_dir)
+    body = F.to_json(F.struct(F.concat_ws("-", *LINE).alias("request_id"), *[F.col(c) for c in REQUEST]))
+    broken = F.when(F.expr(BROKEN), F.substring(body, 1, 20)).otherwise(body)
+    landing, output, state = (scratch_path(spark, f"score-{n}") for n in ("requests", "output", "state"))
+    for version, parity in (("1", 0), ("2", 1)):
+        rows.where(F.col("CLAIM_ID_KEY") % 2 == parity).select(broken.alias("value")).write.mode("append").text(landing)
+        registry.promote("paid_ridge", version)
+        stream_score(spark, landing, output, state, registry)
+    return flat_scores(spark.read.parquet(output).drop("batch"))
 
 
 # --- evaluation ---------------------------------------------------------------------------
@@ -429,20 +513,36 @@ def evaluate_model(spark, sf_dir):
     return shown_metrics(evaluate.evaluate_model(result.model, test, LABEL)[0])
 
 
-@add("compare_models", over_claims(union(f"SELECT '{m}' AS model, {metrics_sql(m)} FROM claims" for m in GUESSES), EVALUATED))
+COMPARED = {"ridge": ("0", "0.5 / n"), "lasso": ("0.1", "0"), "elasticnet": ("0.05", "0.05")}
+COMPARED_SQL = STANDARD_SQL + "".join(scored_sql(i, l1, l2, "fold <> 0", "fold = 0") for i, (l1, l2) in enumerate(COMPARED.values()))
+
+
+def compared(spark, sf_dir):
+    train, test = fold_sides(linear_rows(spark, sf_dir))
+    fitted = {kind: models.train_model(kind, train, test, INPUTS, LABEL, None, "1").model for kind in COMPARED}
+    return evaluate.compare_models(fitted, test, LABEL)
+
+
+@add("compare_models", over_claims(COMPARED_SQL + " " + union(f"SELECT '{m}' AS model, {TEST_METRICS} FROM e{i}" for i, m in enumerate(COMPARED)), [*LINE, *INPUTS, LABEL]))
 def compare_models(spark, sf_dir):
+    """Three models fitted on four folds score the fifth."""
+    return shown_metrics(compared(spark, sf_dir))
+
+
+@add(
+    "compare_predictions",
+    over_claims(union(f"SELECT '{m}' AS model, {metrics_sql(m)} FROM claims" for m in GUESSES), EVALUATED),
+)
+def compare_predictions(spark, sf_dir):
     return shown_metrics(evaluate.compare_predictions(predictions(spark, sf_dir), LABEL, {m: m for m in GUESSES}))
 
 
 @add(
     "best_model",
-    over_claims(
-        f", m AS ({union(f'SELECT {chr(39)}{m}{chr(39)} AS model, {metrics_sql(m)} FROM claims' for m in GUESSES)}) SELECT model, r2 FROM m ORDER BY r2 DESC LIMIT 1",
-        EVALUATED,
-    ),
+    over_claims(COMPARED_SQL + f", r AS ({union(f'SELECT {chr(39)}{m}{chr(39)} AS model, {R2} AS r2 FROM e{i}' for i, m in enumerate(COMPARED))}) SELECT model, round(r2, 8) AS r2 FROM r ORDER BY r.r2 DESC, model LIMIT 1", [*LINE, *INPUTS, LABEL]),
 )
 def best_model(spark, sf_dir):
-    return models.best_model(compare_models(spark, sf_dir)).select("model", "r2")
+    return rounded(models.best_model(compared(spark, sf_dir)).select("model", "r2"), ["r2"], 8)
 
 
 @add(
@@ -518,20 +618,17 @@ def importance_rank(spark, sf_dir):
 
 @add(
     "learning_curve_data",
-    over_claims(
-        f", s AS (SELECT SV_LINE AS train_size, {key_sql(LINE)} % 5 AS fold, avg({LABEL} / AMT_BILLED) AS train, avg(AMT_BILLED / 1e5) AS validation "
-        "FROM claims GROUP BY ALL) SELECT train_size, round(avg(train), 8) AS train_mean, round(stddev_pop(train), 8) AS train_std, "
-        "round(avg(validation), 8) AS validation_mean, round(stddev_pop(validation), 8) AS validation_std FROM s GROUP BY train_size",
-        EVALUATED,
+    scored_folds_sql(
+        points_sql("ridge", [0.5]),
+        "SELECT share, round(avg(train_r2), 8) AS train_mean, round(stddev_pop(train_r2), 8) AS train_std, round(avg(r2), 8) AS validation_mean, "
+        "round(stddev_pop(r2), 8) AS validation_std FROM fits GROUP BY share",
+        tuning.SHARES,
     ),
 )
 def learning_curve_data(spark, sf_dir):
-    """Scores per line number and fold stand in for the scores of a training run."""
-    rows = sampling.k_folds(claims_view(spark, sf_dir, EVALUATED), 5, LINE)
-    scores = rows.groupBy(F.col("SV_LINE").alias("train_size"), "fold").agg(
-        F.avg(F.col(LABEL) / F.col("AMT_BILLED")).alias("train"), F.avg(F.col("AMT_BILLED") / 1e5).alias("validation")
-    )
-    return rounded(evaluate.learning_curve_data(scores), ["train_mean", "train_std", "validation_mean", "validation_std"], 8)
+    """Ridge on five growing shares of the claims, over five folds, from one scan."""
+    scores = tuning.learning_curve("ridge", linear_rows(spark, sf_dir), INPUTS, LABEL, fold_keys=LINE)
+    return rounded(evaluate.learning_curve_data(scores, "share"), ["train_mean", "train_std", "validation_mean", "validation_std"], 8)
 
 
 @add(

@@ -59,12 +59,31 @@ def write_parquet(spark, sf_dir):
     return files.read_parquet(spark, path)
 
 
-@add("scan_partitions", over_claims(FLAT_SQL, FLAT))
+FEW = f"SELECT *, CAST(NULL AS VARCHAR) AS error FROM ({FLAT_SQL}) WHERE CLAIM_ID_KEY % 50 NOT IN (3, 7, 11)"
+NO_FIELDS = "CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE)"
+
+
+@add(
+    "scan_partitions",
+    over_claims(
+        FEW + " UNION ALL SELECT CLAIM_ID_KEY, CAST(SV_LINE AS BIGINT), AMT_BILLED, CAST(NULL AS DOUBLE), SV_STAT, ICD_DIAG_01_PRIMARY, CAST(CLIENT_LOS AS DOUBLE), "
+        f"CAST(NULL AS VARCHAR) FROM claims WHERE CLAIM_ID_KEY % 50 = 3 UNION ALL SELECT {NO_FIELDS}, 'wrong number of fields' FROM claims WHERE CLAIM_ID_KEY % 50 = 7 "
+        f"UNION ALL SELECT {NO_FIELDS}, 'bad value: AMT_PAID' FROM claims WHERE CLAIM_ID_KEY % 50 = 11",
+        FLAT,
+    ),
+)
 def scan(spark, sf_dir):
-    output, checkpoint = scratch_path(spark, "ingested"), scratch_path(spark, "ingest-state")
+    """Arriving text: some amounts missing, some lines cut short, some amounts no numbers. Good and bad rows together."""
+    paid = F.expr("CASE CLAIM_ID_KEY % 50 WHEN 3 THEN 'NA' WHEN 11 THEN 'much' ELSE string(AMT_PAID) END")
+    rows = claims_view(spark, sf_dir, FLAT).withColumn("AMT_PAID", paid)
+    fields = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in FLAT])
+    landing, output, rejected, state = (scratch_path(spark, f"ingest-{n}") for n in ("landing", "output", "rejected", "state"))
+    rows.select(F.when(F.col("CLAIM_ID_KEY") % 50 == 7, F.substring_index(fields, "|", 3)).otherwise(fields).alias("value")).write.text(landing)
     schema = files.claims_schema(FLAT)
-    scan_partitions(spark, stored_claims(spark, sf_dir), output, checkpoint, schema, "csv", 4, sep="|", header=True)
-    return spark.read.schema(schema).parquet(output)
+    for _ in range(2):  # the second run finds nothing new
+        scan_partitions(spark, landing, output, state, schema, "csv", 4, rejected, "|")
+    good, bad = spark.read.parquet(output).drop("batch"), spark.read.parquet(rejected)
+    return good.withColumn("error", F.lit(None).cast("string")).unionByName(bad.select("error"), allowMissingColumns=True)
 
 
 @add("read_full", "SELECT * FROM orders")

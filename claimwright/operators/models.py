@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import json
 import logging
 import math
 import time
 from collections.abc import Mapping, Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import (
     DecisionTreeRegressionModel,
     DecisionTreeRegressor,
@@ -23,7 +23,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import columns as fx
 from ..session import shared_folder
 from .evaluate import metric_columns
+from .features import FeatureState, feature_columns
 from .forest import RandomForest, RandomForestModel
+from .linear import KINDS as LINEAR, LinearEstimator, MOST_FEATURES
 
 log = logging.getLogger(__name__)
 
@@ -81,9 +83,24 @@ def _label_size(df: DataFrame, label: str) -> tuple[int, float]:
     return row["n"], row["s"] or 0.0
 
 
+def vector_size(df: DataFrame) -> int:
+    """Length of the vector column, from its metadata or its first row; 0 without rows."""
+    known = df.schema[FEATURES].metadata.get("ml_attr", {}).get("num_attrs")
+    if known is not None:
+        return known
+    first = df.select(FEATURES).where(F.col(FEATURES).isNotNull()).first()
+    return first[0].size if first else 0
+
+
 def estimator(model_type: str, params: Mapping[str, Any], df: DataFrame, label: str):
-    """An MLlib estimator; ``df`` supplies the row count and deviation that penalties need."""
-    if model_type in ("lasso", "ridge", "elasticnet"):
+    """An estimator over a vector column.
+
+    Linear models are solved from one scan's sums, or, with very many features, by MLlib's
+    iterations, for which ``df`` supplies the row count and deviation that penalties need.
+    """
+    if model_type in LINEAR:
+        if vector_size(df) <= MOST_FEATURES:
+            return LinearEstimator(model_type, params, label)
         reg, mix = penalty(model_type, params, *_label_size(df, label))
         return LinearRegression(
             featuresCol=FEATURES, labelCol=label, regParam=reg, elasticNetParam=mix, standardization=False,
@@ -215,51 +232,58 @@ class AdaBoostR2Model:
 # --- training -----------------------------------------------------------------------------
 
 
-@dataclass
-class ModelCard:
-    """What the registry keeps beside a fitted model: enough to name it, repeat it and judge it."""
-
-    name: str
-    kind: str
-    version: str
-    fitted_at: str
-    settings: dict[str, Any]
-    features: list[str]
-    rows: int
-    scores: dict[str, dict[str, float]]  # by side: train, validation
-
-    def to_json(self) -> str:
-        return json.dumps(asdict(self))
-
-    @classmethod
-    def from_json(cls, text: str) -> ModelCard:
-        return cls(**json.loads(text))
-
-
 @dataclass
 class FittedModel:
-    """A fitted regressor and the columns it reads, usable on DataFrames without a vector column."""
+    """A fitted regressor and the columns it reads, usable on DataFrames without a vector column.
+
+    With a ``state`` the columns are made from raw rows first: dummies by the fitted vocabulary,
+    values scaled by the fitted scalers. Columns of the input stay as they are.
+    """
 
     regressor: Any
     feature_names: list[str]
+    state: FeatureState | None = None
 
     def transform(self, df: DataFrame) -> DataFrame:
-        scored = df if FEATURES in df.columns else assemble(df, self.feature_names)
-        out = self.regressor.transform(scored)
-        return out if FEATURES in df.columns else out.drop(FEATURES)
+        if FEATURES in df.columns:
+            return self.regressor.transform(df)
+        return self.regressor.transform(with_vectors(df, self.feature_names, self.state)).drop(FEATURES)
 
 
 @dataclass
 class TrainingResult:
-    model: FittedModel
-    card: ModelCard
+    """A fitted model and how it did: metrics by side (train, validation), training rows, importances.
+
+    A model that could not be fitted has an ``error`` and no model.
+    """
+
+    kind: str
+    version: str
+    model: FittedModel | None = None
+    scores: dict[str, dict[str, float]] = field(default_factory=dict)
+    rows: int = 0
     importances: dict[str, float] = field(default_factory=dict)
+    error: str | None = None
+
+    @property
+    def name(self) -> str:
+        return f"{self.kind}_{self.version}"
 
 
 def assemble(df: DataFrame, feature_names: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(feature_names), outputCol=FEATURES, handleInvalid="error").transform(df)
 
 
+def with_vectors(df: DataFrame, feature_names: Sequence[str], state: FeatureState | None = None) -> DataFrame:
+    """The vector column from columns as they are, or made from raw ones by a fitted state."""
+    if state is None:
+        return assemble(df, feature_names)
+    columns = feature_columns(df, state)
+    # a missing value has no place in a vector; like the assembler, refuse it
+    values = [F.coalesce(columns[n].cast("double"), F.raise_error(F.lit(f"missing value in feature {n}")).cast("double")) for n in feature_names]
+    return df.withColumn(FEATURES, array_to_vector(F.array(*values)))
+
+
 def training_cache(df: DataFrame) -> DataFrame:
     """Persist rows that will be scanned many times, spread over all cores.
 
@@ -308,20 +332,21 @@ def train_model(
     label: str,
     params: Mapping[str, Any] | None = None,
     version: str | None = None,
+    state: FeatureState | None = None,
 ) -> TrainingResult:
-    """Fit one model and measure it on both sides."""
-    full = model_params(model_type, params)
-    names = list(feature_names)
-    vectors = assemble(train, names)
+    """Fit one model and measure it on both sides.
+
+    With ``state`` both sides are raw rows, and the model keeps the state for the rows it will score.
+    """
+    full, names = model_params(model_type, params), list(feature_names)
+    vectors = with_vectors(train, names, state)
     regressor = estimator(model_type, full, vectors, label).fit(vectors)
-    model = FittedModel(regressor, names)
+    model = FittedModel(regressor, names, state)
     fitted, held_out = _metrics(model.transform(train), label), _metrics(model.transform(validation), label)
-    stamp = version or time.strftime("%Y%m%d_%H%M%S")
     rows = fitted.pop("n")
     held_out.pop("n")
     scores = {"train": fitted, "validation": held_out}
-    card = ModelCard(f"{model_type}_{stamp}", model_type, stamp, time.strftime("%Y-%m-%dT%H:%M:%S"), full, names, rows, scores)
-    return TrainingResult(model, card, importances_of(regressor, names))
+    return TrainingResult(model_type, version or time.strftime("%Y%m%d_%H%M%S"), model, scores, rows, importances_of(regressor, names))
 
 
 def train_all(
@@ -331,27 +356,31 @@ def train_all(
     label: str,
     model_types: Sequence[str] | None = None,
     params: Mapping[str, Mapping[str, Any]] | None = None,
+    version: str | None = None,
+    state: FeatureState | None = None,
 ) -> dict[str, TrainingResult]:
-    """One result per type, all on the same cached split. A type that cannot be fitted is left out and logged."""
+    """One result per type, all on the same cached split. A type that cannot be fitted has an error in its place."""
     sides = training_cache(train), validation.persist(StorageLevel.MEMORY_AND_DISK)
-    settings = params or {}
+    settings, stamp = params or {}, version or time.strftime("%Y%m%d_%H%M%S")
     results: dict[str, TrainingResult] = {}
     for kind in model_types or DEFAULTS:
         try:
-            results[kind] = train_model(kind, *sides, feature_names, label, settings.get(kind))
-        except Exception:
+            results[kind] = train_model(kind, *sides, feature_names, label, settings.get(kind), stamp, state)
+        except Exception as error:
             log.exception("%s was not fitted", kind)
+            results[kind] = TrainingResult(kind, stamp, error=f"{type(error).__name__}: {str(error).splitlines()[0] if str(error) else ''}")
     for side in sides:
         side.unpersist()
     return results
 
 
 def metrics_table(spark: SparkSession, results: Mapping[str, TrainingResult]) -> DataFrame:
+    """One row per result; one that was not fitted has null metrics and its error."""
     rows = [
-        (name, r.card.scores["train"]["r2"], *[r.card.scores["validation"][k] for k in ("r2", "rmse", "mae")])
+        (name, r.scores.get("train", {}).get("r2"), *[r.scores.get("validation", {}).get(k) for k in ("r2", "rmse", "mae")], r.error)
         for name, r in results.items()
     ]
-    return spark.createDataFrame(rows, "model string, train_r2 double, r2 double, rmse double, mae double")
+    return spark.createDataFrame(rows, "model string, train_r2 double, r2 double, rmse double, mae double, error string")
 
 
 def best_model(metrics: DataFrame, score: str = "r2") -> DataFrame:
@@ -360,4 +389,5 @@ def best_model(metrics: DataFrame, score: str = "r2") -> DataFrame:
 
 
 def best_result(results: Mapping[str, TrainingResult]) -> TrainingResult | None:
-    return max(results.values(), key=lambda r: r.card.scores["validation"]["r2"], default=None)
+    scored = [r for r in results.values() if r.scores and r.scores["validation"]["r2"] is not None]
+    return max(scored, key=lambda r: r.scores["validation"]["r2"], default=None)

@@ -1,33 +1,30 @@
-"""A model registry: MLlib model folders plus an append-only event table.
+"""A model registry: model folders plus append-only tables of events and metrics.
 
-Every save and promotion appends one event. Latest and production are the newest events, so
-writers never rewrite what readers see. Works on any folder Spark can write, local or remote.
+A saved version is one artifact: the regressor and, if it has one, the fitted state that turns raw
+rows into its features. Every save and promotion appends one event. Latest and production are the
+newest events, so writers never rewrite what readers see. Works on any folder Spark can write,
+local or remote.
 """
 
 from __future__ import annotations
 
 import time
 
-from pyspark.ml.regression import (
-    DecisionTreeRegressionModel,
-    GBTRegressionModel,
-    LinearRegressionModel,
-)
 from pyspark.errors import AnalysisException
+from pyspark.ml.regression import GBTRegressionModel, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .features import load_state, save_state
 from .forest import RandomForestModel
-from .models import AdaBoostR2Model, FittedModel, ModelCard, TrainingResult
+from .linear import LinearFit
+from .models import AdaBoostR2Model, FittedModel, TrainingResult
 
-EVENT_SCHEMA = "event string, model string, version string, at bigint, metadata string"
+EVENTS = "event string, model string, version string, at bigint, kind string, regressor string, features array<string>, has_state boolean, rows bigint"
+METRICS = "model string, version string, side string, metric string, value double"
 
-LOADERS = {
-    "lasso": LinearRegressionModel,
-    "ridge": LinearRegressionModel,
-    "elasticnet": LinearRegressionModel,
-    "gradient_boosting": GBTRegressionModel,
-    "decision_tree": DecisionTreeRegressionModel,
-}
+# Regressors that write themselves as tables, and those that MLlib writes.
+OWN = {c.__name__: c for c in (LinearFit, RandomForestModel, AdaBoostR2Model)}
+MLLIB = {c.__name__: c for c in (LinearRegressionModel, GBTRegressionModel)}
 
 
 class ModelRegistry:
@@ -35,27 +32,43 @@ class ModelRegistry:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _append(self, event: str, model: str, version: str, metadata: str | None = None) -> None:
-        row = [(event, model, version, time.time_ns(), metadata)]
-        self.spark.createDataFrame(row, EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/events")
+    def _append(self, table: str, schema: str, rows: list[tuple]) -> None:
+        self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{self.root}/{table}")
 
-    def events(self) -> DataFrame:
+    def _read(self, table: str, schema: str) -> DataFrame:
         try:
-            return self.spark.read.schema(EVENT_SCHEMA).parquet(f"{self.root}/events")
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], EVENT_SCHEMA)
+            return self.spark.createDataFrame([], schema)
+
+    def events(self) -> DataFrame:
+        return self._read("events", EVENTS)
+
+    def metrics(self) -> DataFrame:
+        """(model, version, side, metric, value) of every saved version."""
+        return self._read("metrics", METRICS)
+
+    def _path(self, name: str, version: str) -> str:
+        return f"{self.root}/models/{name}/v{version}"
 
     def save(self, result: TrainingResult, name: str | None = None) -> str:
-        name, version = name or result.card.name, result.card.version
-        path = f"{self.root}/models/{name}/v{version}"
-        regressor = result.model.regressor
-        if isinstance(regressor, AdaBoostR2Model | RandomForestModel):
-            regressor.save(self.spark, path)
+        """Writes regressor and state, then the metrics, then the event that makes them visible."""
+        if result.model is None:
+            raise ValueError(f"{result.kind} was not fitted: {result.error}")
+        name, version, model = name or result.name, result.version, result.model
+        path, kind = self._path(name, version), type(model.regressor).__name__
+        if kind in OWN:
+            model.regressor.save(self.spark, f"{path}/regressor")
         else:
-            regressor.write().overwrite().save(path)
-        self._append("save", name, version, result.card.to_json())
+            model.regressor.write().overwrite().save(f"{path}/regressor")
+        if model.state is not None:
+            save_state(self.spark, model.state, f"{path}/state")
+        values = [(name, version, side, metric, value) for side, found in result.scores.items() for metric, value in found.items()]
+        if values:
+            self._append("metrics", METRICS, values)
+        self._append("events", EVENTS, [("save", name, version, time.time_ns(), result.kind, kind, model.feature_names, model.state is not None, result.rows)])
         return path
 
     def list_models(self) -> DataFrame:
@@ -64,36 +77,34 @@ class ModelRegistry:
         ordered = F.array_sort(F.collect_list(F.struct("at", "version")))["version"]
         return saved.groupBy("model").agg(ordered.alias("versions"), F.max_by("version", "at").alias("latest"))
 
-    def _find(self, name: str, version: str | None) -> tuple[str, str]:
+    def _find(self, name: str, version: str | None):
         saved = self.events().filter((F.col("event") == "save") & (F.col("model") == name))
         if version is not None:
             saved = saved.filter(F.col("version") == version)
         newest = saved.orderBy(F.desc("at")).limit(1).collect()
         if not newest:
             raise ValueError(f"model not found: {name}" + (f" version {version}" if version else ""))
-        return newest[0]["version"], newest[0]["metadata"]
-
-    def load(self, name: str, version: str | None = None) -> tuple[FittedModel, ModelCard]:
-        """The given version, or the latest."""
-        version, text = self._find(name, version)
-        card = ModelCard.from_json(text)
-        path = f"{self.root}/models/{name}/v{version}"
-        own = {"adaboost": AdaBoostR2Model, "random_forest": RandomForestModel}.get(card.kind)
-        if own:
-            regressor = own.load(self.spark, path)
-        else:
-            regressor = LOADERS[card.kind].load(path)
-        return FittedModel(regressor, card.features), card
+        return newest[0]
+
+    def load(self, name: str, version: str | None = None) -> FittedModel:
+        """The given version, or the latest, with its state."""
+        entry = self._find(name, version)
+        path = self._path(name, entry["version"])
+        own = OWN.get(entry["regressor"])
+        regressor = own.load(self.spark, f"{path}/regressor") if own else MLLIB[entry["regressor"]].load(f"{path}/regressor")
+        state = load_state(self.spark, f"{path}/state") if entry["has_state"] else None
+        return FittedModel(regressor, list(entry["features"]), state)
 
     def promote(self, name: str, version: str | None = None) -> None:
-        version, _ = self._find(name, version)
-        self._append("promote", name, version)
+        found = self._find(name, version)
+        self._append("events", EVENTS, [("promote", name, found["version"], time.time_ns(), found["kind"], None, None, None, None)])
 
     def production_pointer(self) -> DataFrame:
         """(model, version) in production; no row if none was promoted."""
         newest = F.max_by(F.struct("model", "version"), "at").alias("newest")
         return self.events().filter("event = 'promote'").agg(newest).filter("newest IS NOT NULL").select("newest.*")
 
-    def production(self) -> tuple[FittedModel, ModelCard] | None:
+    def production(self) -> tuple[FittedModel, str] | None:
+        """The model in production and its version."""
         row = self.production_pointer().first()
-        return self.load(row["model"], row["version"]) if row else None
+        return (self.load(row["model"], row["version"]), row["version"]) if row else None

@@ -40,7 +40,8 @@ def fit_scalers(df: DataFrame, columns: Sequence[str], method: str = "standard")
     return [Scaler(c, method, row[f"c{i}"], row[f"s{i}"] or None) for i, c in enumerate(names)]
 
 
-def _scaled(column: Column, scaler: Scaler, keep_constant: bool) -> Column:
+def scaled(column: Column, scaler: Scaler, keep_constant: bool = False) -> Column:
+    """The column under fitted parameters."""
     x = column.cast("double")
     if scaler.center is None:
         return F.lit(None).cast("double")
@@ -60,7 +61,7 @@ def transform_scalers(
     if not scalers:
         raise RuntimeError("no fitted scalers; call fit_scalers first")
     wanted = {s.column: s for s in scalers if s.column in df.columns and (columns is None or s.column in columns)}
-    return df.withColumns({c: _scaled(fx.quoted(c), s, keep_constant) for c, s in wanted.items()}) if wanted else df
+    return df.withColumns({c: scaled(fx.quoted(c), s, keep_constant) for c, s in wanted.items()}) if wanted else df
 
 
 def scale_zscore(df: DataFrame, columns: Sequence[str]) -> DataFrame:

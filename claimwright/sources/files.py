@@ -67,10 +67,11 @@ def read_delimited(
     """A delimited text file with a header. Without a schema all columns are text.
 
     Missing-value texts (``na_values``) become null; any other field that does not parse as its
-    type raises when it is read. Pruned columns are never parsed, and ``nrows`` stops the scan
-    early.
+    type raises when it is read, and so does a line with too few or too many fields, whichever
+    columns are wanted. ``nrows`` stops the scan early.
     """
-    reader = spark.read.option("sep", sep).option("header", True).option("encoding", "UTF-8")
+    # pruning would leave the fields of a line uncounted
+    reader = spark.read.option("sep", sep).option("header", True).option("encoding", "UTF-8").option("mode", "FAILFAST").option("columnPruning", False)
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     if schema is not None:
@@ -132,9 +133,9 @@ def write_object_store(df: DataFrame, path: str, fmt: str = "parquet", mode: str
 def read_object_store(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | str | None = None, **options
 ) -> DataFrame:
+    """Any Spark path. Text that does not fit the schema raises, unless ``mode`` says otherwise."""
     if fmt not in FORMATS:
         raise ValueError(f"unsupported format: {fmt}")
-    """Any Spark path. Text that does not fit the schema raises, unless ``mode`` says otherwise."""
     reader = spark.read.options(**({"mode": "FAILFAST"} if fmt != "parquet" else {}) | options)
     if fmt == "csv":
         reader = reader.option("header", True)

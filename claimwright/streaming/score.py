@@ -1,11 +1,13 @@
-"""Scoring request records as they arrive. Stateless, so no watermark is needed."""
+"""Scoring request records as they arrive, by the model in production. Stateless, so no watermark is needed."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import columns as fx
+from ..operators.registry import ModelRegistry
 from ..operators.scoring import REQUEST_DEFAULTS, score_batch
+from .ingest import run_batches, stream_files
 
 TEXT_FIELDS = ["request_id", *REQUEST_DEFAULTS]
 RECORD = "array<struct<" + ",".join(f"{f}:string" for f in TEXT_FIELDS) + ">>"
@@ -50,15 +52,17 @@ def score_requests(lines: DataFrame, model, model_version: str = "unknown", colu
     )
 
 
-def stream_score(spark: SparkSession, folder: str, output: str, checkpoint: str, model, model_version: str = "unknown") -> None:
-    """Score every new file of JSON lines in ``folder`` into a Parquet folder, then stop."""
-    lines = spark.readStream.format("text").load(folder)
-    query = (
-        score_requests(lines, model, model_version)
-        .writeStream.format("parquet")
-        .option("path", output)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+def stream_score(spark: SparkSession, folder: str, output: str, checkpoint: str, registry: ModelRegistry) -> None:
+    """Score every new file of JSON lines in ``folder`` into a Parquet folder, then stop.
+
+    Each micro-batch asks the registry for the model in production, so a promotion takes effect with
+    the next batch. A batch that is repeated replaces its own files.
+    """
+
+    def score(batch: DataFrame, n: int) -> None:
+        found = registry.production()
+        if found is None:
+            raise RuntimeError("no model is in production")
+        score_requests(batch, *found).write.mode("overwrite").parquet(f"{output}/batch={n}")
+
+    run_batches(stream_files(spark, folder, T.StructType([T.StructField("value", T.StringType())]), "text"), checkpoint, score)

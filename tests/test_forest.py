@@ -105,9 +105,9 @@ def test_hot_and_constant_values_end(spark, monkeypatch):
 def test_a_forest_is_saved_and_loaded(spark, frame, tmp_path):
     train = frame.where("y is not null")
     result = models.train_model("random_forest", train, train, NAMES, "y", {"n_estimators": 20, "max_depth": None, "min_samples_split": 5}, "1")
-    assert result.card.scores["validation"]["r2"] > 0.8 and max(result.importances, key=result.importances.get) == "a"
+    assert result.scores["validation"]["r2"] > 0.8 and max(result.importances, key=result.importances.get) == "a"
     registry = ModelRegistry(spark, str(tmp_path))
     registry.save(result, "forest")
-    loaded, _ = registry.load("forest")
+    loaded = registry.load("forest")
     want, got = ({r["i"]: r["prediction"] for r in m.transform(frame).collect()} for m in (result.model, loaded))
     assert got == pytest.approx(want)

@@ -4,8 +4,9 @@ import pytest
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
-from claimwright.operators import evaluate, models, sampling, scoring, tuning
+from claimwright.operators import evaluate, linear, models, sampling, scoring, tuning
 from claimwright.operators.registry import ModelRegistry
+from claimwright.plans import workflows
 
 NAMES = ["f1", "f2", "f3"]
 
@@ -55,9 +56,9 @@ def test_split_and_metrics(split):
     train, held_out = split
     assert (train.count(), held_out.count()) == (800, 200)
     result = models.train_model("lasso", train, held_out, NAMES, "y", version="v1")
-    assert result.card.scores["validation"]["r2"] > 0.9 and result.card.rows == 800
+    assert result.scores["validation"]["r2"] > 0.9 and result.rows == 800
     metrics, scored = evaluate.evaluate_model(result.model, held_out, "y")
-    assert metrics.first()["r2"] == pytest.approx(result.card.scores["validation"]["r2"])
+    assert metrics.first()["r2"] == pytest.approx(result.scores["validation"]["r2"])
     assert scored.count() == 200
 
 
@@ -66,7 +67,7 @@ def test_forest_and_boosting(split):
     forest = models.train_model("random_forest", train, held_out, NAMES, "y", {"n_estimators": 10, "max_depth": None, "min_samples_split": 5})
     assert set(forest.importances) == set(NAMES) and max(forest.importances, key=forest.importances.get) == "f1"
     boosted = models.train_model("gradient_boosting", train, held_out, NAMES, "y", {"n_estimators": 15, "max_depth": 3, "learning_rate": 0.3})
-    assert boosted.card.scores["validation"]["r2"] > 0.7
+    assert boosted.scores["validation"]["r2"] > 0.7
 
 
 def brute_boost(x, y, fit, rounds, rate):
@@ -111,16 +112,18 @@ def test_adaboost_perfect_fit_stops(spark):
     assert len(model.trees) == 1 and model.transform(df).filter("prediction = y").count() == 40
 
 
-def test_train_all_skips_failures_and_best(spark, split, caplog):
+def test_train_all_shows_failures_and_best(spark, split, caplog):
     train, held_out = split
     results = models.train_all(train, held_out, NAMES, "y", ["lasso", "nonsense", "ridge"], {"lasso": {"alpha": 30.0}})
-    assert set(results) == {"lasso", "ridge"}
+    assert results["nonsense"].model is None and "unknown model type" in results["nonsense"].error
     assert models.best_result(results) is results["ridge"]
-    assert models.best_model(models.metrics_table(spark, results)).first()["model"] == "ridge"
+    table = models.metrics_table(spark, results)
+    assert models.best_model(table).first()["model"] == "ridge"
+    assert {r["model"]: r["error"] is None for r in table.collect()} == {"lasso": True, "nonsense": False, "ridge": True}
     assert models.best_result({}) is None
     with pytest.raises(ValueError):
         models.train_model("nonsense", train, held_out, NAMES, "y")
-    ranked = evaluate.compare_models({k: r.model for k, r in results.items()}, held_out, "y").collect()
+    ranked = evaluate.compare_models({k: r.model for k, r in results.items() if r.model}, held_out, "y").collect()
     assert [r["model"] for r in ranked] == ["ridge", "lasso"]
 
 
@@ -146,15 +149,69 @@ def test_registry(spark, split, tmp_path):
     registry.save(second, "paid")
     row = registry.list_models().first()
     assert row["versions"] == ["1", "2"] and row["latest"] == "2"
+    saved = {(r["version"], r["side"], r["metric"]): r["value"] for r in registry.metrics().collect()}
+    assert saved["1", "validation", "r2"] == first.scores["validation"]["r2"] and len(saved) == 12
     registry.promote("paid", "1")
-    model, metadata = registry.production()
-    assert metadata == first.card
+    model, version = registry.production()
+    assert version == "1" and model.feature_names == NAMES and model.state is None
     want = [r[0] for r in first.model.transform(held_out).orderBy("f1").select("prediction").collect()]
     assert [r[0] for r in model.transform(held_out).orderBy("f1").select("prediction").collect()] == want
-    boosted, _ = registry.load("paid")
-    assert boosted.regressor.weights == second.model.regressor.weights
+    assert registry.load("paid").regressor.weights == second.model.regressor.weights
     with pytest.raises(ValueError):
         registry.promote("paid", "9")
+    with pytest.raises(ValueError):
+        registry.save(models.TrainingResult("ridge", "3", error="lost"), "paid")
+
+
+def test_a_model_keeps_its_fitted_features(spark, split, tmp_path):
+    """Raw rows with a category go through the vocabulary and scalers that were saved with the model."""
+    train, held_out = (s.withColumn("kind", F.when(F.col("f3") > 0, "up").otherwise("down")) for s in split)
+    registry = ModelRegistry(spark, str(tmp_path / "registry"))
+    done = workflows.train(train, registry, "y", ["kind"], ["f1", "f2"], ["ridge", "lasso"], version="7")
+    assert done.version == "7" and done.model.state.vocabulary == {"kind": ["down", "up"]}
+    assert [s.column for s in done.model.state.scalers] == ["f1", "f2"] and done.metrics.first()["r2"] > 0.9
+    unseen = held_out.withColumn("kind", F.lit("sideways"))
+    scored = done.model.transform(unseen)
+    assert scored.columns == [*unseen.columns, "prediction"] and scored.where("prediction is null").isEmpty()
+    with pytest.raises(ValueError):
+        done.model.transform(held_out.drop("kind"))
+
+
+def test_moments_add_up(spark):
+    rng = np.random.default_rng(5)
+    z = rng.normal(size=(300, 4)) + [1e6, 0, -5, 1e4]
+    parts = [linear.Moments.of(z[:0]), linear.Moments.of(z[:7]), linear.Moments.of(z[7:])]
+    total = linear.merged(parts, 4)
+    assert total.n == 300 and total.products == pytest.approx(np.cov(z.T, ddof=0) * 300, rel=1e-6, abs=1e-6)
+    assert linear.merged([], 4).n == 0 and linear.r2((np.zeros(3), 0.0), linear.merged([], 4)) is None
+
+
+def test_one_scan_equals_separate_fits(spark, df, frame):
+    """Folds, points and shares from moments against fits of the rows themselves."""
+    keyed = df.withColumn("i", F.monotonically_increasing_id()).persist()
+    points = [{"alpha": a} for a in (5.0, 0.01, 20.0)]
+    got = tuning._scores("lasso", keyed, NAMES, "y", 3, points, 42, 2, ["i"])
+    folds = sampling.k_folds(keyed, 3, ["i"], 42).toPandas()
+    for point, scores in zip(points, got):
+        for fold, score in enumerate(scores):
+            train, test = folds[folds.fold != fold], folds[folds.fold == fold]
+            w = descend(train[NAMES].to_numpy(), train.y.to_numpy(), point["alpha"], 0.0)
+            left = test.y - test[NAMES].to_numpy() @ w - (train.y.mean() - train[NAMES].mean().to_numpy() @ w)
+            assert score == pytest.approx(1 - (left**2).mean() / test.y.var(ddof=0), abs=1e-8)
+    curve = tuning.learning_curve("ridge", keyed, NAMES, "y", [0.2, 1.0], 3, fold_keys=["i"]).toPandas()
+    assert len(curve) == 6 and (curve.train_rows[curve.share == 1].sum() == 2000) and curve.train_rows[curve.share == 0.2].between(80, 190).all()
+    whole = tuning.cross_validate("ridge", keyed, NAMES, "y", 3, fold_keys=["i"])["scores"]
+    assert curve[curve.share == 1].sort_values("fold").validation.tolist() == pytest.approx(whole)
+    deep = tuning.learning_curve("random_forest", keyed, NAMES, "y", [1.0], 2, {"n_estimators": 4, "max_depth": 3}, fold_keys=["i"]).toPandas()
+    assert (deep.train > deep.validation).all() and (deep.validation > 0.5).all()
+
+
+def test_empty_folds_have_no_score(spark):
+    rows = spark.createDataFrame([(1.0, 2.0, 1)] * 40, "f double, y double, i int")
+    for kind in ("ridge", "random_forest"):
+        found = tuning.cross_validate(kind, rows, ["f"], "y", 3, {"n_estimators": 2} if kind == "random_forest" else None, fold_keys=["i"])
+        assert found == {"mean_r2": None, "std_r2": None, "scores": [None] * 3}
+    assert tuning.tune_grid("ridge", rows, ["f"], "y", cv=3, fold_keys=["i"])[1] is None
 
 
 def test_training_cache_fills_all_cores(spark, df):

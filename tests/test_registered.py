@@ -11,8 +11,8 @@ import __spark_entry__ as entry
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
-# Fits of many trees; they run in the oracle check and the bench, and have tests of their own.
-SLOW = {"train_forest", "train_gbt", "train_adaboost", "train_all"}
+# Two hundred rounds one after another take minutes; they run in the oracle check, and tests/test_models.py fits fewer.
+SLOW = {"train_gbt", "train_adaboost", "train_all"}
 
 
 @pytest.fixture(scope="module")

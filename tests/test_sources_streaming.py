@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from claimwright.operators import models
 from claimwright.session import scratch_path, shared_folder
 from claimwright.sources import files, warehouse
+from claimwright.operators.registry import ModelRegistry
 from claimwright.streaming import ingest, score
 
 
@@ -78,21 +79,72 @@ def test_warehouse(spark, tmp_path):
     spark.sql(f"DROP TABLE {name}")
 
 
+def test_ragged_lines_raise(spark, tmp_path):
+    schema = "A int, B int, C int"
+    for name, line in (("short", "4|5"), ("long", "6|7|8|9")):
+        (tmp_path / name).write_text(f"A|B|C\n1|2|3\n{line}\n")
+        for wanted in (None, ["A"]):
+            with pytest.raises(Exception):
+                files.read_delimited(spark, str(tmp_path / name), schema, wanted).collect()
+        with pytest.raises(Exception):
+            files.read_delimited(spark, str(tmp_path / name)).collect()
+    (tmp_path / "good").write_text("A|B|C\n1|NA|3\n4|5|\n")
+    got = files.read_delimited(spark, str(tmp_path / "good"), schema)
+    assert sorted(map(tuple, got.collect())) == [(1, None, 3), (4, 5, None)] and got.count() == 2
+
+
 def test_incremental_ingest_takes_each_file_once(spark, tmp_path):
     landing, out, state = (str(tmp_path / d) for d in ("landing", "out", "state"))
     df = spark.createDataFrame([(1, "a"), (2, "b")], "i int, s string")
     for expected in (2, 4):
         df.write.mode("append").option("header", True).csv(landing)
-        ingest.scan_partitions(spark, landing, out, state, df.schema, "csv", 1, header=True)
-        ingest.scan_partitions(spark, landing, out, state, df.schema, "csv", 1, header=True)
+        ingest.scan_partitions(spark, landing, out, state, df.schema, "csv", 1)
+        ingest.scan_partitions(spark, landing, out, state, df.schema, "csv", 1)
         assert spark.read.parquet(out).count() == expected
 
 
-def test_stream_score_with_a_fitted_model(spark, tmp_path):
+def test_bad_lines_have_a_place_of_their_own(spark, tmp_path):
+    landing, out, bad, state = (str(tmp_path / d) for d in ("landing", "out", "bad", "state"))
+    schema = spark.createDataFrame([], "i int, v double, s string").schema
+    (tmp_path / "landing").mkdir()
+    (tmp_path / "landing" / "one.csv").write_text('i|v|s\n1|2.5|a\n2|NA|\n3|x|c\n4|1\n5|1|b|more\n6|1|"x|y"\n\n')
+    ingest.scan_partitions(spark, landing, out, state, schema, rejected=bad, sep="|")
+    assert sorted(map(tuple, spark.read.parquet(out).drop("batch").collect())) == [(1, 2.5, "a"), (2, None, None), (6, 1.0, "x|y")]
+    want = {("3|x|c", "bad value: v"), ("4|1", "wrong number of fields"), ("5|1|b|more", "wrong number of fields")}
+    assert {(r["line"], r["error"]) for r in spark.read.parquet(bad).collect()} == want
+    with pytest.raises(Exception, match="bad value|wrong number"):
+        ingest.scan_partitions(spark, landing, str(tmp_path / "out2"), str(tmp_path / "state2"), schema, sep="|")
+
+
+def test_a_repeated_batch_writes_once(spark, tmp_path):
+    """The first try of a batch dies after it has written; its second try replaces what it wrote."""
+    (tmp_path / "landing").mkdir()
+    (tmp_path / "landing" / "one").write_text("a\nb\n")
+    out, tries = str(tmp_path / "out"), []
+
+    def body(batch, n):
+        tries.append(n)
+        batch.write.mode("overwrite").parquet(f"{out}/batch={n}")
+        if len(tries) == 1:
+            raise RuntimeError("lost")
+
+    for _ in range(2):
+        stream = ingest.stream_files(spark, str(tmp_path / "landing"), "value string", "text")
+        try:
+            ingest.run_batches(stream, str(tmp_path / "state"), body)
+        except Exception as error:
+            assert "lost" in str(error)
+    assert tries == [0, 0] and spark.read.parquet(out).count() == 2
+
+
+def test_stream_score_follows_the_registry(spark, tmp_path):
     rows = spark.range(200).selectExpr("CAST(id AS double) AS AMT_BILLED", "CAST(id % 7 AS double) AS Age", "0.5 * id + 3 * (id % 7) AS y")
-    model = models.train_model("ridge", rows, rows, ["AMT_BILLED", "Age"], "y", {"alpha": 1e-9}, "1").model
+    registry = ModelRegistry(spark, str(tmp_path / "registry"))
     landing = tmp_path / "landing"
     landing.mkdir()
+    args = [str(tmp_path / d) for d in ("landing", "scores", "state")]
+    for version, alpha in (("7", 1e-9), ("8", 1e9)):
+        registry.save(models.train_model("ridge", rows, rows, ["AMT_BILLED", "Age"], "y", {"alpha": alpha}, version), "paid")
     lines = [
         json.dumps({"request_id": "a", "amt_billed": 100.0, "age": 2}),
         json.dumps([{"request_id": "b", "amt_billed": 10, "age": 0}, {"request_id": "c", "amt_billed": "many"}]),
@@ -100,8 +152,10 @@ def test_stream_score_with_a_fitted_model(spark, tmp_path):
         "{broken", "[]",
     ]
     (landing / "one.json").write_text("\n".join(lines))
-    args = [str(tmp_path / d) for d in ("landing", "scores", "state")]
-    score.stream_score(spark, *args, model, "7")
+    with pytest.raises(Exception, match="no model is in production"):
+        score.stream_score(spark, *args, registry)
+    registry.promote("paid", "7")
+    score.stream_score(spark, *args, registry)
     got = {r["request_id"]: r for r in spark.read.parquet(args[1]).filter("request_id IS NOT NULL").collect()}
     assert float(got["a"]["predicted_amount"]) == 56.0 and float(got["b"]["predicted_amount"]) == 5.0
     assert got["a"]["success"] and got["a"]["model_version"] == "7"
@@ -110,8 +164,10 @@ def test_stream_score_with_a_fitted_model(spark, tmp_path):
     assert got["d"]["error"] == "bad value: age"
     assert spark.read.parquet(args[1]).filter("error = 'not a JSON record'").count() == 2
     (landing / "two.json").write_text(json.dumps({"request_id": "e", "amt_billed": 1}))
-    score.stream_score(spark, *args, model, "7")
-    assert spark.read.parquet(args[1]).count() == 7
+    registry.promote("paid", "8")
+    score.stream_score(spark, *args, registry)
+    after = spark.read.parquet(args[1])
+    assert after.count() == 7 and after.where("request_id = 'e'").first()["model_version"] == "8"
 
 
 class StubSession:
@@ -157,6 +213,8 @@ def test_fields_that_do_not_parse(spark, tmp_path):
 
 
 def test_trees_deeper_than_possible(spark):
-    df = spark.createDataFrame([(float(i), float(i)) for i in range(20)], "x double, y double")
+    df = spark.createDataFrame([(float(i), float(i)) for i in range(50)], "x double, y double")
     with pytest.raises(ValueError, match="max_depth 50"):
-        models.train_model("random_forest", df, df, ["x"], "y", {"n_estimators": 1, "max_depth": 50})
+        models.train_model("gradient_boosting", df, df, ["x"], "y", {"n_estimators": 1, "max_depth": 50})
+    deep = models.train_model("random_forest", df, df, ["x"], "y", {"n_estimators": 1, "max_depth": 50, "bootstrap": False})
+    assert deep.scores["train"]["r2"] == 1
