@@ -2,20 +2,25 @@
 
 * Every text becomes its set of distinct 5-word shingles and a signature of 128 minima. Texts
   with equal sets form a class, represented by its smallest id.
-* The forest holds 32 orders of the signature. Documents that share a prefix of an order form a
-  region. Each order ties a document to the first one of its deep region (eight values) or, where
-  it is that itself, of its shallow region (four values). A pair is kept as candidate if its sizes
-  and signatures allow the similarity, and is confirmed on the whole sets.
-* Regions whose members are then all connected are closed. The others are opened, in blocks of
-  bounded size: every member is paired with its four nearest members of other components, and
-  confirmed links close further regions. Members that had more partners are then compared with
-  all of them, where both sides meet: blocks get the texts, each pair is looked at in the first
-  order it shares, nearest first, and only links between components leave a task. So a large
-  group of near copies never becomes a table of pairs.
-
-A pair with similarity 0.75 shares no shallow region with probability (1 - 0.75^4)^32 = 5e-6 and
-has fewer than 72 of 128 equal minima with probability below 2e-6; both can only miss a link,
-none is added, as each is confirmed.
+* The forest holds 32 orders of the signature. In each, documents are sorted by their minima in
+  that order; those that share the first four are a region, the rest sorts them by the length of
+  the prefix that they have in common. Rows of regions with a single document are not moved: a
+  count of the bare region keys makes a bitmap that holds them back.
+* Range partitions of the sorted orders pair each document with the next one of another component
+  among its neighbours, if sizes and signatures allow. A document gives at most one pair per order
+  and round. Pairs are confirmed on whole sets and collapse into components: first from a few
+  orders, then from all. So groups of near copies become one component through their longest
+  common prefixes, and the depth at which a region is done follows from what it holds.
+* Regions that are still open, with documents of several components, are completed: there every
+  document meets those of other components, in blocks of bounded size, and is paired with its
+  nearest ones. Where one component fills a region, only the others meet it. Documents that had
+  more partners than were paired are compared with all of them, where both sides meet: blocks get
+  the texts, each pair is looked at in the first order it shares, nearest first, and only links
+  between components leave a task.
+
+A pair with similarity 0.75 shares no region with probability (1 - 0.75^4)^32 = 5e-6, and has fewer
+than 72 of 128 equal minima, or 78 that agree in two bits, with probability below 2e-6; these can
+only miss a link, none is added, as each is confirmed.
 
 Null texts and texts without words have empty sets, no links, and are kept. A null id takes no
 part and is kept, with no component. Repeated rows belong to one class. Rows that share an id
@@ -36,11 +41,15 @@ from .components import components, written
 
 MINIMA = 128
 ORDERS = 32
-DEPTHS = (4, 8)
+DEPTH = 4  # minima that a region shares
+LENGTH = 12  # minima that an order sorts by
+FIRST_ORDERS = 8  # of the first round
+NEIGHBOURS = 4  # following documents of a sorted order that are looked at
 LEAST_EQUAL = 72  # of the minima, for a candidate
+LEAST_BITS = 78  # of the minima's last two bits
 BLOCK = 1024  # documents of a region compared at once
 TEXT_BLOCK = 256  # the same with their texts
-PARTNERS = 4  # nearest partners paired per document and region
+PARTNERS = 2  # nearest partners paired per document and region
 SIEVE_BITS = 1 << 24
 BLOCK_KEY = ("key", "low", "high")
 WINDOW = 5
@@ -70,8 +79,8 @@ def _parameters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rng = np.random.default_rng(20240607)
     multipliers = rng.integers(0, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     offsets = rng.integers(0, 2**63, MINIMA, dtype=np.uint64)
-    first = np.arange(ORDERS * DEPTHS[0]).reshape(ORDERS, DEPTHS[0])
-    rest = np.stack([rng.permutation(np.setdiff1d(np.arange(MINIMA), own))[: DEPTHS[-1] - DEPTHS[0]] for own in first])
+    first = np.arange(ORDERS * DEPTH).reshape(ORDERS, DEPTH)
+    rest = np.stack([rng.permutation(np.setdiff1d(np.arange(MINIMA), own))[: LENGTH - DEPTH] for own in first])
     return multipliers, offsets, np.hstack([first, rest])
 
 
@@ -86,16 +95,32 @@ def minima(shingles: np.ndarray) -> np.ndarray:
     return least
 
 
-def region_keys(signatures: np.ndarray) -> np.ndarray:
-    """Keys of the regions of each signature: one per order and depth."""
-    keys = []
+def sort_keys(signatures: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per order the key of the region, and the further minima as eight bytes that sort in their order."""
+    heads, tails = [], []
     for order, places in enumerate(FOREST):
         key = np.full(len(signatures), order + 1, np.uint64)
-        for depth, place in enumerate(places, 1):
+        for depth, place in enumerate(places[:DEPTH], 1):
             key = _mixed(key * np.uint64(0x9E3779B97F4A7C15) + signatures[:, place] + np.uint64(depth))
-            if depth in DEPTHS:
-                keys.append(key)
-    return np.stack(keys, axis=1) if len(signatures) else np.zeros((0, ORDERS * len(DEPTHS)), np.uint64)
+        tail = np.zeros(len(signatures), np.uint64)
+        for place in places[DEPTH:]:
+            tail = (tail << np.uint64(8)) | (signatures[:, place] & np.uint64(255))
+        heads.append(key)
+        tails.append(tail)
+    empty = np.zeros((0, ORDERS), np.uint64)
+    return (np.stack(heads, axis=1), np.stack(tails, axis=1)) if len(signatures) else (empty, empty)
+
+
+def two_bits(signatures: np.ndarray) -> np.ndarray:
+    """The last two bits of all minima, packed."""
+    quarter = (signatures & np.uint64(3)).astype(np.uint8).reshape(len(signatures), -1, 4)
+    return quarter[:, :, 0] | quarter[:, :, 1] << 2 | quarter[:, :, 2] << 4 | quarter[:, :, 3] << 6
+
+
+def agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many minima agree in their last two bits."""
+    apart = a ^ b
+    return MINIMA - np.bitwise_count((apart | apart >> 1) & 0x55).sum(axis=1, dtype=np.int64)
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,23 +134,24 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 classes.append(xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
                 rows.append(minima(shingles))
             signatures = np.array(rows, np.uint64).reshape(-1, MINIMA)
-            keys = region_keys(signatures).view(np.int64)
-            offsets = np.arange(0, keys.size + 1, keys.shape[1], dtype=np.int32)
-            low = signatures.astype(np.uint8)
+            offsets = pa.array(np.arange(0, len(rows) * ORDERS + 1, ORDERS, dtype=np.int32))
+            keys, tails = (pa.ListArray.from_arrays(offsets, pa.array(k.view(np.int64).ravel())) for k in sort_keys(signatures))
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0),
                     pa.array(sizes, pa.int64()),
                     pa.array(classes, pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel())),
-                    pa.array([r.tobytes() for r in low], pa.binary()),
+                    keys,
+                    tails,
+                    pa.array([r.tobytes() for r in signatures.astype(np.uint8)], pa.binary()),
+                    pa.array([r.tobytes() for r in two_bits(signatures)], pa.binary()),
                 ],
-                names=["id", "n_shingles", "class", "keys", "signature"],
+                names=["id", "n_shingles", "class", "keys", "tails", "signature", "bits"],
             )
 
 
 def signed(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: id, size of the shingle set, its class, the region keys and the low bytes of the minima."""
+    """Per row: id, size of the shingle set, its class, the keys of all orders, and the minima's last bytes and bits."""
     rows = documents.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").cast("string").cast("binary").alias("text"))
     schema = T.StructType(
         [
@@ -133,7 +159,9 @@ def signed(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             T.StructField("n_shingles", T.LongType()),
             T.StructField("class", T.BinaryType()),
             T.StructField("keys", T.ArrayType(T.LongType())),
+            T.StructField("tails", T.ArrayType(T.LongType())),
             T.StructField("signature", T.BinaryType()),
+            T.StructField("bits", T.BinaryType()),
         ]
     )
     return rows.mapInArrow(_signed, schema)
@@ -149,33 +177,56 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array((a == b).sum(axis=1) >= LEAST_EQUAL)).select(["a", "b"])
 
 
-def regions_of(members: DataFrame, *columns: str) -> DataFrame:
-    """One row per document and order, with the keys of its shallow and deep region."""
-    both = F.transform(F.sequence(F.lit(0), F.lit(ORDERS - 1)), lambda i: F.struct(F.get("keys", 2 * i).alias("key"), F.get("keys", 2 * i + 1).alias("deep")))
-    return members.select("id", "n_shingles", *columns, F.explode(both).alias("region")).select("id", "n_shingles", *columns, "region.*")
+def forest_rows(members: DataFrame) -> DataFrame:
+    """One row per document and order in a region that others may share: tree, key, tail, id, n_shingles, bits."""
+    keys = members.select(F.explode("keys").alias("key"))
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    both = F.transform(F.arrays_zip("keys", "tails"), lambda k, i: F.struct(i.alias("tree"), k["keys"].alias("key"), k["tails"].alias("tail")))
+    rows = members.select("id", "n_shingles", "bits", F.explode(both).alias("at")).select("at.*", "id", "n_shingles", "bits")
+    return sieved(rows, shared, "key")
 
 
-def star_candidates(members: DataFrame) -> DataFrame:
-    """Pairs of each document with the first one of its nearest region in each order, if sizes and signatures allow.
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row of a sorted order with the next one of another component that may be similar."""
+    held = None
+    for batch in batches:
+        known = 0 if held is None else held.num_rows
+        table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+        if not table.num_rows:
+            continue
+        rows = table.to_batches()[0]
+        key, component, size = (rows[n].to_numpy() for n in ("key", "component", "n_shingles"))
+        bits = np.frombuffer(b"".join(rows["bits"].to_pylist()), np.uint8).reshape(-1, MINIMA // 4)
+        todo, found = np.arange(len(key)), []
+        for step in range(1, NEIGHBOURS + 1):
+            todo = todo[todo + step < len(key)]
+            other = todo + step
+            fits = (key[todo] == key[other]) & (component[todo] != component[other]) & (other >= known)
+            fits &= 100 * np.minimum(size[todo], size[other]) >= 75 * np.maximum(size[todo], size[other])
+            i, j = todo[fits], other[fits]
+            near = agreeing(bits[i], bits[j]) >= LEAST_BITS
+            found.append((i[near], j[near]))
+            todo = np.setdiff1d(todo, i[near], assume_unique=True)
+        i, j = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+        yield pa.RecordBatch.from_arrays(_ordered(rows, i, j), names=["a", "b"])
+        held = rows.slice(max(0, rows.num_rows - NEIGHBOURS))
+
+
+def neighbour_candidates(rows: DataFrame) -> DataFrame:
+    """Pairs of neighbours in the sorted orders; ``rows`` have a component."""
+    kind = rows.schema["id"].dataType
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+    # bytes sort as unsigned numbers
+    order = ["key", F.col("tail").bitwiseXOR(F.lit(-(2**63))), "id"]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return ordered.select("key", "id", "component", "n_shingles", "bits").mapInArrow(_neighbours, schema).distinct()
 
-    That is the deep region if it has an earlier document, else the shallow one.
-    """
-    first = F.min(F.struct("id", "n_shingles")).alias("first")
-    rows = regions_of(members)
-    shared = rows.join(rows.groupBy("key").agg(first, F.count(F.lit(1)).alias("n")).where("n > 1"), "key")
-    dense = shared.where("n > 2")
-    inner = dense.groupBy("deep").agg(F.min(F.struct("id", "n_shingles")).alias("inner")).withColumnRenamed("deep", "of")
-    nearer = F.when(F.col("inner.id") < F.col("id"), F.col("inner")).otherwise(F.col("first")).alias("first")
-    chosen = dense.join(inner, F.col("deep") == F.col("of")).select("id", "n_shingles", nearer)
-    pairs = (
-        chosen.unionByName(shared.where("n = 2").select("id", "n_shingles", "first"))
-        .where((F.col("id") > F.col("first.id")) & sizes_allow("n_shingles", "first.n_shingles"))
-        .select(F.col("first.id").alias("a"), F.col("id").alias("b"))
-        .distinct()
-    )
+
+def alike(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """The pairs whose signatures allow the similarity."""
     signatures = members.select("id", "signature")
     with_both = pairs.join(signatures.toDF("b", "signature_b"), "b").join(signatures.toDF("a", "signature_a"), "a")
-    return with_both.mapInArrow(_alike, pairs.schema)
+    return with_both.select("a", "b", "signature_a", "signature_b").mapInArrow(_alike, pairs.schema)
 
 
 def _paired(rows: pa.RecordBatch, wanted=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -189,21 +240,24 @@ def _paired(rows: pa.RecordBatch, wanted=None) -> tuple[np.ndarray, np.ndarray,
         block[1:] |= values[1:] != values[:-1]
     block = np.cumsum(block)
     component, size, part = (rows[n].to_numpy() for n in ("component", "n_shingles", "part"))
-    within = rows["low"].to_numpy() == rows["high"].to_numpy()
-    signature = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint8).reshape(-1, MINIMA)
+    # parts of -1 are in every block of a region that one component fills; among themselves they meet in one
+    low = rows["low"].to_numpy()
+    within = low == rows["high"].to_numpy()
+    guest = part < 0
+    bits = np.frombuffer(b"".join(rows["bits"].to_pylist()), np.uint8).reshape(-1, MINIMA // 4)
     found, step, at = [np.zeros((3, 0), np.int64)], 1, np.arange(rows.num_rows - 1)
     while len(at):
         at = at[at + step < len(block)]
         at = at[block[at] == block[at + step]]
         other = at + step
-        fits = (component[at] != component[other]) & (within[at] | (part[at] != part[other]))
+        fits = (component[at] != component[other]) & (within[at] | (part[at] != part[other])) & ~(guest[at] & guest[other] & (low[at] > 0))
         fits &= 100 * np.minimum(size[at], size[other]) >= 75 * np.maximum(size[at], size[other])
         i, j = at[fits], other[fits]
         if wanted is not None:
             keep = wanted(i, j)
             i, j = i[keep], j[keep]
-        equal = (signature[i] == signature[j]).sum(axis=1)
-        keep = equal >= LEAST_EQUAL
+        equal = agreeing(bits[i], bits[j])
+        keep = equal >= LEAST_BITS
         found.append(np.stack([i[keep], j[keep], equal[keep]]))
         step += 1
     return tuple(np.concatenate(found, axis=1))
@@ -286,49 +340,59 @@ def _by_blocks(body):
     return apply
 
 
-def _blocks(rows: DataFrame, parts) -> DataFrame:
-    """Rows with key, id and ``n`` rows in their region, dealt into blocks that let all parts meet."""
-    return (
-        rows.withColumn("parts", parts)
-        .withColumn("part", F.pmod(F.xxhash64("id", "key"), F.col("parts")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")})
-        .drop("n", "parts", "other")
+def open_regions(rows: DataFrame) -> DataFrame:
+    """key, n, and the component ``most`` with its ``held`` rows of regions with several components."""
+    held = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("held"))
+    largest = F.max(F.struct("held", "component")).alias("largest")
+    found = held.groupBy("key").agg(F.sum("held").alias("n"), F.count(F.lit(1)).alias("components"), largest).where("components > 1")
+    return found.select("key", "n", F.col("largest.held").alias("held"), F.col("largest.component").alias("most"))
+
+
+def _blocks(rows: DataFrame, block: int) -> DataFrame:
+    """Rows with their region's n, held and most, dealt into blocks where rows of different components meet.
+
+    If all but one component fit a block, they are guests of every part of that one. Otherwise all
+    parts meet each other.
+    """
+    filled = F.col("n") - F.col("held") <= F.lit(block)
+    guest = filled & (F.col("component") != F.col("most"))
+    parts = F.when(filled, F.ceil(F.col("held") / block)).otherwise(F.ceil(F.col("n") / block)).cast("int")
+    dealt = rows.withColumns({"parts": parts, "filled": filled, "guest": guest}).withColumn(
+        "part", F.when(F.col("guest"), F.lit(-1)).otherwise(F.pmod(F.xxhash64("id", "key"), F.col("parts")).cast("int"))
     )
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    blocks = F.when(F.col("guest") | ~F.col("filled"), every).otherwise(F.array("part"))
+    met = dealt.withColumn("other", F.explode(blocks))
+    home = F.col("filled")
+    low, high = F.when(home, F.col("other")).otherwise(F.least("part", "other")), F.when(home, F.col("other")).otherwise(F.greatest("part", "other"))
+    return met.withColumns({"low": low, "high": high}).drop("n", "held", "most", "parts", "filled", "guest", "other")
 
 
 def with_components(members: DataFrame, found: DataFrame) -> DataFrame:
     return members.join(found.withColumnRenamed("id", "node"), F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id"))
 
 
-def crossing_candidates(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Nearest pairs (a, b) of different components that share a shallow region.
+def crossing_candidates(rows: DataFrame) -> DataFrame:
+    """Nearest pairs (a, b) of different components in open regions.
 
     A document with more partners than are paired comes as a pair with itself.
     """
-    rows = regions_of(with_components(members, found), "component").drop("deep")
-    open_ = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("least"), F.max("component").alias("greatest"))
-    open_ = open_.where("n > 2 and least <> greatest").select("key", "n")
-    blocks = _blocks(rows.join(open_, "key"), F.ceil(F.col("n") / BLOCK).cast("int"))
-    signed_ = blocks.join(members.select(F.col("id").alias("of"), "signature"), F.col("id") == F.col("of")).drop("of")
-    kind = members.schema["id"].dataType
+    blocks = _blocks(rows.select("key", "id", "component", "n_shingles", "bits").join(open_regions(rows), "key"), BLOCK)
+    kind = rows.schema["id"].dataType
     schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
-    return signed_.repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY).mapInArrow(_by_blocks(_nearest), schema).distinct()
+    return blocks.repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY).mapInArrow(_by_blocks(_nearest), schema).distinct()
 
 
-def dense_links(members: DataFrame, found: DataFrame, crowded: DataFrame, documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+def dense_links(rows: DataFrame, members: DataFrame, crowded: DataFrame, documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Confirmed links of crowded documents (column id) to other components, found within the blocks."""
-    shallow = F.filter("keys", lambda k, i: i % len(DEPTHS) == 0)
-    marked = with_components(members, found).join(crowded.select(F.col("id").alias("node_id"), F.lit(True).alias("crowded")), F.col("id") == F.col("node_id"), "left")
-    rows = regions_of(marked.withColumn("crowded", F.coalesce("crowded", F.lit(False))), "component", "crowded").drop("deep")
-    open_ = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("least"), F.max("component").alias("greatest"), F.max("crowded").alias("any"))
-    open_ = open_.where("any and least <> greatest").select("key", "n")
-    shared = rows.join(open_, "key")
+    marked = rows.select("key", "id", "component", "n_shingles").join(crowded.select(F.col("id").alias("node_id"), F.lit(True).alias("crowded")), F.col("id") == F.col("node_id"), "left")
+    marked = marked.drop("node_id").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
+    any_ = marked.where("crowded").select("key").distinct()
+    shared = marked.join(any_, "key", "left_semi").join(open_regions(marked), "key")
     texts = documents.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").cast("string").cast("binary").alias("text"))
     texts = sieved(texts, shared.select("id")).toDF("text_id", "text")
-    known = members.select(F.col("id").alias("of"), "signature", shallow.alias("keys"))
-    blocks = _blocks(shared, F.ceil(F.col("n") / TEXT_BLOCK).cast("int"))
-    full = blocks.join(known, F.col("id") == F.col("of")).drop("of").join(texts, F.col("id") == F.col("text_id")).drop("text_id")
+    known = members.select(F.col("id").alias("of"), "bits", "keys")
+    full = _blocks(shared, TEXT_BLOCK).join(known, F.col("id") == F.col("of")).drop("of").join(texts, F.col("id") == F.col("text_id")).drop("text_id")
     kind = members.schema["id"].dataType
     schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
     return full.repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY).mapInArrow(_by_blocks(_dense), schema)
@@ -347,8 +411,8 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
 
-def sieved(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose id may be among ``ids``: all that are and few others.
+def sieved(rows: DataFrame, ids: DataFrame, column: str = "id") -> DataFrame:
+    """The rows whose ``column`` may be among ``ids``: all that are and few others.
 
     A bitmap of hashed ids is broadcast. It never exceeds SIEVE_BITS / 8 bytes; with many more
     ids it only lets more rows pass.
@@ -357,12 +421,12 @@ def sieved(rows: DataFrame, ids: DataFrame) -> DataFrame:
     def place(column: str):
         return F.pmod(F.xxhash64(column), F.lit(SIEVE_BITS).cast("long"))
 
-    bits = ids.select(place("id").alias("place"))
-    bits = bits.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
-    placed = rows.withColumn("place", place("id"))
-    byte = F.conv(F.hex(F.substring("bits", (F.bitmap_bit_position("place") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    sieve = ids.select(place(column).alias("place"))
+    sieve = sieve.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("sieve"))
+    placed = rows.withColumn("place", place(column))
+    byte = F.conv(F.hex(F.substring("sieve", (F.bitmap_bit_position("place") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     bit = byte.bitwiseAND(F.expr("shiftleft(1, cast(bitmap_bit_position(place) % 8 as int))"))
-    return placed.join(F.broadcast(bits), F.bitmap_bucket_number("place") == F.col("bucket")).where(bit != 0).drop("place", "bucket", "bits")
+    return placed.join(F.broadcast(sieve), F.bitmap_bucket_number("place") == F.col("bucket")).where(bit != 0).drop("place", "bucket", "sieve")
 
 
 def confirmed(pairs: DataFrame, documents: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -378,15 +442,22 @@ def near_duplicates(spark: SparkSession, documents: DataFrame, doc_id: str = "do
     rows = written(spark, signed(documents, doc_id, text), "signed")
     classes = rows.where(F.col("class").isNotNull() & F.col("id").isNotNull()).groupBy("class").agg(F.min("id").alias("first"))
     members = rows.join(classes.withColumnRenamed("first", "id"), ["class", "id"], "left_semi")
-    tested = written(spark, star_candidates(members), "candidates")
-    links = written(spark, confirmed(tested, documents, doc_id, text), "links")
-    found = components(spark, links)
-    crossing = written(spark, crossing_candidates(members, found), "candidates")
-    nearest = crossing.where("a <> b").join(tested, ["a", "b"], "left_anti")
+    forest = written(spark, forest_rows(members), "forest")
+    # a few orders first, then all of them between what is not yet one component
+    first = forest.where(F.col("tree") < FIRST_ORDERS).withColumn("component", F.col("id"))
+    tested = written(spark, alike(neighbour_candidates(first), members), "candidates")
+    found = components(spark, confirmed(tested, documents, doc_id, text))
+    further = neighbour_candidates(with_components(forest, found)).join(tested, ["a", "b"], "left_anti")
+    further = written(spark, alike(further, members), "candidates")
+    found = components(spark, found.toDF("a", "b").unionByName(confirmed(further, documents, doc_id, text)))
+    # open regions to the end
+    crossing = written(spark, crossing_candidates(with_components(forest, found)), "candidates")
+    tested = tested.unionByName(further)
+    nearest = alike(crossing.where("a <> b").join(tested, ["a", "b"], "left_anti"), members)
     found = components(spark, found.toDF("a", "b").unionByName(confirmed(nearest, documents, doc_id, text)))
     crowded = crossing.where("a = b").select(F.col("a").alias("id"))
     if not crowded.isEmpty():
-        found = components(spark, found.toDF("a", "b").unionByName(dense_links(members, found, crowded, documents, doc_id, text)))
+        found = components(spark, found.toDF("a", "b").unionByName(dense_links(with_components(forest, found), members, crowded, documents, doc_id, text)))
     named = classes.join(found, F.col("first") == F.col("id"), "left").select(F.col("class").alias("of"), F.coalesce("component", "first").alias("component"))
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return rows.join(named, F.col("class") == F.col("of"), "left").select(
