@@ -5,7 +5,7 @@ Only DataFrame functions run here. A line fails by one of three rules:
 * punctuation: symbols or doubled marks come with a large share of its words, or it is a
   fragment of few words without a closing mark;
 * navigation: separators between short items, as in menus and link lists;
-* boilerplate: it holds a stock phrase of page furniture or of a licence.
+* boilerplate: stock phrases of page furniture or of a licence are a large share of it.
 
 A document is rejected if its statistics over the whole text fail (too few words, or too many
 words in repeated windows), or if the failing lines hold more than ``max_lost`` of its
@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .columns import SPACES, let, whole, words_of
+from .columns import SPACE_CLASS, SPACES, let, whole, words_of
 
 # The characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -39,6 +39,7 @@ class Rules:
     doubled_marks: float = 0.3
     separators: float = 0.2
     fragment_words: int = 4
+    stock: float = 0.15  # of the line's characters, in stock phrases
     max_lost: float = 0.5  # of the characters of the lines
     min_words: int = 10
     max_repeated: int = 20  # per cent of the words
@@ -62,11 +63,13 @@ def line_fails(line: Column, rules: Rules) -> Column:
         )
         bars = characters_in(trimmed, SEPARATORS)
         navigation = (bars >= 2) & (bars >= rules.separators * words)
-        boilerplate = trimmed.rlike("(?i)\\b(" + "|".join(STOCK_PHRASES) + ")\\b")
+        phrases = "(?i)\\b(" + "|".join(STOCK_PHRASES) + ")\\b"
+        stock = F.length(trimmed) - F.length(F.regexp_replace(trimmed, phrases, ""))
+        boilerplate = F.when(trimmed.rlike(phrases), stock >= rules.stock * F.length(trimmed)).otherwise(False)
         return (trimmed != "") & (punctuation | navigation | boilerplate)
 
     trimmed = F.trim(line, F.lit(SPACES))
-    return let(F.struct(trimmed.alias("trimmed"), F.size(F.split(trimmed, " +")).alias("words")), judged)
+    return let(F.struct(trimmed.alias("trimmed"), F.size(F.split(trimmed, SPACE_CLASS)).alias("words")), judged)
 
 
 def clean_lines(text: Column, rules: Rules = Rules()) -> Column:
@@ -172,6 +175,10 @@ def judge(documents: DataFrame, text: str = "text", rules: Rules = Rules(), name
 
 def clean_documents(documents: DataFrame, text: str = "text", rules: Rules = Rules()) -> DataFrame:
     """The documents that pass, with their failing lines removed; same columns."""
-    kept = judge(documents, text, rules, "__judged").where("__judged.kept")
-    columns = [F.col("__judged.text").alias(c) if c == text else F.col(f"`{c}`") for c in documents.columns]
-    return kept.select(*columns)
+    names = documents.columns
+    judged = judge(documents.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]), f"c{names.index(text)}", rules, "judged")
+    # an array that is empty for rejected rows: a filter on the verdict would compute it twice, and
+    # so would the one that Spark adds below a plain explode
+    kept = judged.withColumn("passed", let(F.col("judged"), lambda j: F.when(j["kept"], F.array(j["text"])).otherwise(F.array().cast("array<string>"))))
+    rows = kept.select(*[c for c in kept.columns if c not in ("judged", "passed")], F.explode_outer("passed").alias("cleaned"))
+    return rows.where("cleaned is not null").select(*[F.col("cleaned" if c == text else f"c{i}").alias(c) for i, c in enumerate(names)])

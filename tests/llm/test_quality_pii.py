@@ -45,6 +45,22 @@ def test_lines_and_verdict(spark):
     assert quality.clean_documents(frame.limit(0)).columns == frame.columns
 
 
+def test_words_of_lines_and_shares_of_stock_phrases(spark):
+    """Tabs separate words too, and a stock phrase condemns a line only if it is a large part of it."""
+    tabbed = "\n".join("\t".join(f"cell{i}x{j}" for j in range(11)) for i in range(6))
+    paragraph = "Those who want to hear of the next meeting may subscribe at the desk in the hall, where the minutes of all earlier meetings are kept for readers."
+    rows = [(0, tabbed), (1, paragraph), (2, paragraph + "\nLicensed under CC BY-NC 4.0.\nSubscribe to our newsletter!")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"]: r["text"] for r in quality.clean_documents(frame).collect()}
+    assert kept == {0: tabbed, 1: paragraph, 2: paragraph}
+
+
+def test_documents_are_judged_once(spark):
+    frame = spark.createDataFrame([(0, "x")], "doc_id long, text string")
+    plan = quality.clean_documents(frame)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lorem ipsum") == quality.judge(frame)._jdf.queryExecution().optimizedPlan().toString().count("lorem ipsum") > 0
+
+
 def test_running_starts(spark):
     rows = [([],), ([5],), (list(range(1, 50)),)]
     got = spark.createDataFrame(rows, "a array<long>").select("a", running_starts(F.col("a")).alias("s")).collect()
