@@ -3,7 +3,7 @@
 Every whole text becomes a vector of hashed frequencies of its letter sequences of one to three
 letters. A first machine, or one per family against the rest, predicts the family; within a
 family, one machine per pair of languages votes, and margins break ties. The machines are fitted
-by MLlib on about ``per_language`` labelled rows per language, chosen by a hash of the text; the
+by MLlib on about ``per_language`` distinct labelled texts per language, chosen by a hash; the
 prediction runs where the documents are.
 
 Families are fixed for the languages listed here; any other label is a family of its own. Null
@@ -13,7 +13,7 @@ to learn from. Ids and other columns are never inputs; repeated rows get equal p
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
 
@@ -109,21 +109,35 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part["lang"], pa.array(found, pa.list_(pa.float64()))], names=["lang", "vector"])
 
 
-def fit_languages(spark: SparkSession, labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
-    """A model from columns text and lang; rows without either are left out."""
-    rows = labelled.where("text is not null and lang is not null").select("text", "lang")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    shares = {code: int(min(1.0, per_language / n) * 1_000_000) for code, n in counts.items()}
+def _grouped(codes: Iterable[str]) -> dict[str, list[str]]:
+    """Languages by family."""
     families: dict[str, list[str]] = {}
-    for code in sorted(counts):
+    for code in sorted(codes):
         families.setdefault(FAMILY_OF.get(code, code), []).append(code)
-    model = LanguageModel(families)
+    return families
+
+
+def fit_languages(spark: SparkSession, labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
+    """A model from columns text and lang; rows without either are left out.
+
+    Texts without a letter and repeats of a text in its language teach nothing and do not count. So
+    a language is known if one of its texts has a letter, and about ``per_language`` distinct texts,
+    or all if there are fewer, stand for it.
+    """
+    rows = labelled.where("text is not null and lang is not null").select("lang", "text").where(F.col("text").rlike("\\p{L}")).withColumn("hash", F.xxhash64("text"))
+    distinct = rows.select("lang", "hash").distinct()
+    counts = {r["lang"]: r["n"] for r in distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
-        return model
+        return LanguageModel(_grouped(counts))
+    shares = {code: int(min(1.0, per_language / n) * 1_000_000) for code, n in counts.items()}
     share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])
-    chosen = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.element_at(share, F.col("lang")))
+    chosen = rows.where(F.pmod(F.xxhash64("hash"), F.lit(1_000_000)) < F.element_at(share, F.col("lang"))).dropDuplicates(["lang", "hash"]).select("lang", "text")
     schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("vector", T.ArrayType(T.DoubleType()))])
     sample = written(spark, chosen.mapInArrow(_vectors, schema).where("vector is not null"), "letters")
+    families = _grouped([r["lang"] for r in sample.select("lang").distinct().collect()])
+    model = LanguageModel(families)
+    if sum(map(len, families.values())) < 2:
+        return model
     sample = sample.select("lang", array_to_vector("vector").alias("features")).persist()
     machine = LinearSVC(maxIter=30, regParam=1e-4, standardization=False, aggregationDepth=2)
 
