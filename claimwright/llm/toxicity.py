@@ -183,14 +183,17 @@ def with_labels(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
     The labels pass a bitmap of fixed size, so the texts of other documents are not shuffled.
     """
-    one = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    one = labels.where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     texts = sieved(documents.select(F.col("doc_id").alias("id"), "text"), one.select(F.col("doc_id").alias("id")))
     return texts.join(one.hint("merge"), F.col("id") == F.col("doc_id")).select("doc_id", "text", "toxic")
 
 
 def fit_toxicity(spark: SparkSession, labelled: DataFrame, learning: Learning = Learning(), exceptions: tuple[str, ...] = ()) -> ToxicityModel:
-    """A model from columns doc_id, text and toxic (0 or 1). ``exceptions`` are further harmless phrases."""
-    rows = labelled.where("toxic is not null").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
+    """A model from columns doc_id, text and toxic. ``exceptions`` are further harmless phrases.
+
+    Labels are 0 and 1; rows with any other value are not labelled.
+    """
+    rows = labelled.where("toxic in (0, 1)").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
     rows = written(spark, rows, "labelled")
     schema = T.StructType([rows.schema["doc_id"], T.StructField("toxic", T.IntegerType()), T.StructField("class", T.BinaryType())])
     classes = rows.mapInArrow(_classes, schema).where("class is not null")
