@@ -4,8 +4,10 @@ A sequence has three limits: tokens, segments (pieces of documents) and loss-bea
 task fills one sequence after another from a pool of its documents. The next piece is the one
 whose demand, as a share of the limits, has the largest dot product with what is left of the
 sequence, among those that fit whole. If none fits and cutting is allowed, the piece with the
-largest dot product is cut to fill the sequence, and its rest stays in the pool. What is left at
-the end of a task is cut into sequences whose lengths are powers of two, which need no padding.
+largest dot product is cut to fill the sequence, and its rest stays in the pool. A sequence that
+can take no further piece, since documents are so short that its segments run out, and what is
+left at the end of a task, are cut into sequences whose lengths are powers of two, which need no
+padding.
 
 Packing needs no shuffle: sequences hold documents of one input partition, and their ids are
 made of the partition and a running number, so a task that is run again gives the same ids.
@@ -33,9 +35,9 @@ WORD_END = "</w>"
 @dataclass(frozen=True)
 class Limits:
     tokens: int = 4096
-    segments: int = 512
+    segments: int = 2048
     loss: int = 4096
-    pool: int = 512  # documents a task chooses from
+    pool: int = 512  # documents a task chooses from; up to ``segments`` while they do not fill a sequence
     cut: bool = True  # whether a document may be cut to fill a sequence
 
 
@@ -100,23 +102,35 @@ class Packer:
 
     def __init__(self, limits: Limits, place: Callable[[int, int, int, int, int], None]) -> None:
         self.limits, self.place, self.sequence = limits, place, 0
-        n = limits.pool
-        self.documents, self.start, self.left, self.loss = [0] * n, np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
-        self.free = list(range(n))[::-1]
+        self.documents: list[int] = []
+        self.start, self.left, self.loss = (np.zeros(0, np.int64) for _ in range(3))
+        self.free: list[int] = []
+        self._grow(limits.pool)
+
+    def _grow(self, slots: int) -> None:
+        more = slots - len(self.documents)
+        self.free += range(len(self.documents), slots)[::-1]
+        self.documents += [0] * more
+        self.start, self.left, self.loss = (np.concatenate([x, np.zeros(more, np.int64)]) for x in (self.start, self.left, self.loss))
 
     def add(self, document: int, tokens: int, loss: int) -> None:
         """``loss``: how many of the last tokens bear loss."""
         while not self.free:
-            self._fill()
+            if len(self.documents) < self.limits.segments and self.left.sum() < self.limits.tokens:
+                self._grow(min(2 * len(self.documents), self.limits.segments))
+            else:
+                self._fill(self._room())
         slot = self.free.pop()
         self.documents[slot], self.start[slot], self.left[slot], self.loss[slot] = document, 0, tokens, loss
 
     def finish(self) -> None:
-        while len(self.free) < self.limits.pool:
-            if self.limits.cut and self.left.sum() < self.limits.tokens:
-                self._fill(1 << (int(self.left.sum()).bit_length() - 1))
-            else:
-                self._fill()
+        while len(self.free) < len(self.documents):
+            self._fill(self._room())
+
+    def _room(self) -> int:
+        """A whole sequence, or the largest power of two that the pool still fills."""
+        left = int(self.left.sum())
+        return self.limits.tokens if left >= self.limits.tokens or not self.limits.cut else 1 << (left.bit_length() - 1)
 
     def _take(self, slot: int, tokens: int, offset: int) -> int:
         """Places the next tokens of a slot; returns how many of them bear loss."""
@@ -129,11 +143,11 @@ class Packer:
             self.free.append(slot)
         return borne
 
-    def _fill(self, room: int | None = None) -> None:
+    def _fill(self, room: int) -> None:
         """Fills one sequence; tokens without loss come first in a document."""
         limits = self.limits
-        tokens, segments, loss, offset = room or limits.tokens, limits.segments, limits.loss, 0
-        used = np.zeros(limits.pool, bool)  # a document has at most one piece in a sequence
+        tokens, segments, loss, offset = room, limits.segments, limits.loss, 0
+        used = np.zeros(len(self.documents), bool)  # a document has at most one piece in a sequence
         while tokens and segments:
             gain = self.left * (tokens / limits.tokens**2) + segments / limits.segments**2 + self.loss * (loss / limits.loss**2)
             open_ = (self.left > 0) & ~used

@@ -28,6 +28,17 @@ def test_language(spark):
     assert {r["lang_pred"] for r in language.predict_languages(labelled, empty).collect()} == {"und"}
 
 
+def test_copies_and_wordless_languages_teach_nothing(spark):
+    """Many copies of one text are one text; a language without letters is absent."""
+    rows = [("the house and water", "en")] * 4000 + [(f"der garten und schule nicht über {w}", "de") for w in WORDS["de"].split() * 3] + [("123 !", "sv"), ("", "sv"), ("456", "no")]
+    model = language.fit_languages(spark, spark.createDataFrame(rows, "text string, lang string"))
+    assert model.families == {"germanic": ["de", "en"]}
+    asked = spark.createDataFrame([("the house and water",), ("der garten und schule",)], "text string")
+    assert [r["lang_pred"] for r in language.predict_languages(asked, model).collect()] == ["en", "de"]
+    alone = language.fit_languages(spark, spark.createDataFrame([("12", "en"), ("34", "de"), ("ja nein", "de")], "text string, lang string"))
+    assert alone.families == {"germanic": ["de"]} and not alone.pair_machines
+
+
 def test_folding():
     assert toxicity.folded("1D1OT, idіot! stüpid w0rth1ess") == " idiot idiot stupid worthiess "
     assert toxicity.folded("") == "  " and toxicity.folded("!!") == "  "
@@ -52,6 +63,9 @@ def test_toxicity(spark):
     scored = toxicity.measure(spark.createDataFrame([(i, t, 9.0) for i, t in fresh], "doc_id long, text string, score double"), model).collect()
     flags = Counter((r["doc_id"], r["score"] >= 0.3) for r in scored)
     assert flags == Counter([(0, True), (1, False), (2, False), (3, False), (4, True), (4, False)])
+    odd = spark.createDataFrame([(1000 + i, "you idiot table", label) for i, label in enumerate([2, -1, 7, None])], frame.schema)
+    assert toxicity.fit_toxicity(spark, frame.unionByName(odd)) == model
+    assert toxicity.with_labels(frame.select("doc_id", "text"), odd.unionByName(frame.limit(3)).select("doc_id", "toxic")).count() == 3
     none = toxicity.fit_toxicity(spark, frame.limit(0))
     assert all(r["score"] == 0 for r in toxicity.measure(frame, none).collect())
 

@@ -40,6 +40,19 @@ def test_limits_hold(limits):
         assert at <= limits.tokens and len(pieces) <= limits.segments and loss <= limits.loss
 
 
+@pytest.mark.parametrize("longest", [1, 5, 40])
+def test_short_documents_leave_little_padding(longest):
+    rng = np.random.default_rng(longest)
+    lengths, placed = rng.integers(1, longest + 1, 20_000).tolist(), defaultdict(int)
+    packer = packing.Packer(packing.Limits(), lambda document, start, length, sequence, offset: placed.__setitem__(sequence, placed[sequence] + length))
+    for i, n in enumerate(lengths):
+        packer.add(i, n, n)
+    packer.finish()
+    assert sum(placed.values()) == sum(lengths)
+    padding = sum(0 if n & (n - 1) == 0 else 4096 - n for n in placed.values())
+    assert padding < 0.02 * sum(lengths)
+
+
 def test_pieces_hold_the_ids(spark):
     whole = Tokenizer.from_file(VOCABULARY)
     rows = [(0, "Hello WORLD, it's 12345 a_b don't!?—"), (1, None), (2, ""), (3, "ß ²³ <|endoftext|> é 日本 Iİ \x1c x 'S ok"), (4, "ÀÉ ÿ × ÷ we'LL"), (5, "many words here. " * 9000), (6, "same"), (None, "same")]
