@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import columns as fx
 from .features import bin_quantile
+from .neighbours import neighbour_information
 from .profile import _correlations, correlation_matrix
 
 
@@ -85,10 +86,15 @@ def mutual_information(
     return sized.groupBy("feature").agg(F.sum(term).alias("mi"))
 
 
-def select_k_best_mi(
-    df: DataFrame, target: str, k: int = 20, columns: Sequence[str] | None = None, n_bins: int = 10
-) -> DataFrame:
-    return top_features(mutual_information(df, target, columns, n_bins), "mi", k)
+def select_k_best_mi(df: DataFrame, target: str, k: int = 20, columns: Sequence[str] | None = None, n_neighbors: int = 3) -> DataFrame:
+    """The k features of most mutual information with the target, by nearest neighbours."""
+    return top_features(neighbour_information(df, target, columns, n_neighbors), "mi", k)
+
+
+def selected(df: DataFrame, target: str, scores: DataFrame, feature: str = "feature") -> DataFrame:
+    """The reduced frame: the features of a score table, in the order of the columns, and the target."""
+    wanted = {r[0] for r in scores.select(feature).collect()}
+    return df.select(*[fx.quoted(c) for c in df.columns if c in wanted or c == target])
 
 
 def forest_importances(
