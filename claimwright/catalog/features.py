@@ -363,17 +363,20 @@ def select_rfe(spark, sf_dir):
     return select.f_scores(df, "AMT_PAID", kept)
 
 
-@add(
-    "drop_correlated",
-    over_claims(
-        "SELECT CLAIM_ID_KEY, SV_LINE, AMT_BILLED, AMT_DEDUCT FROM claims",
-        [*LINE, "AMT_BILLED", "AMT_DEDUCT"],
-    ),
-)
+CORRELATED = ["AMT_BILLED", "AMT_DEDUCT", "AMT_PAID"]
+
+
+def kept_sql(column, earlier, threshold):
+    """The column's rows, unless its correlation with an earlier column is above the threshold."""
+    low = " OR ".join(f"abs(corr({e}, {column})) > {threshold}" for e in earlier) or "false"
+    return f"SELECT CLAIM_ID_KEY, SV_LINE, '{column}' AS feature, {column} AS amount FROM claims WHERE NOT (SELECT {low} FROM claims)"
+
+
+@add("drop_correlated", over_claims(union(kept_sql(c, CORRELATED[:i], 0.95) for i, c in enumerate(CORRELATED)).replace("(SELECT false FROM claims)", "false"), [*LINE, *CORRELATED]))
 def drop_correlated(spark, sf_dir):
-    """Paid follows billed closely and is dropped."""
-    df = claims_view(spark, sf_dir, [*LINE, "AMT_BILLED", "AMT_DEDUCT", "AMT_PAID"])
-    return select.drop_correlated(df, 0.95, ["AMT_BILLED", "AMT_DEDUCT", "AMT_PAID"])[0]
+    """The columns that are left, one row per value."""
+    left, _ = select.drop_correlated(claims_view(spark, sf_dir, [*LINE, *CORRELATED]), 0.95, CORRELATED)
+    return left.unpivot(LINE, [c for c in left.columns if c not in LINE], "feature", "amount")
 
 
 @add(

@@ -217,6 +217,31 @@ def train_all(spark, sf_dir):
     return result_rows(spark, models.train_all(train, held_out, FEATURES, LABEL))
 
 
+FEW = ["SV_LINE", "CLIENT_LOS"]
+# deep enough, on all features, without sampling: trees that end in the mean of every combination
+EXACT_TREES = {
+    "random_forest": {"n_estimators": 3, "max_depth": None, "max_features": None, "bootstrap": False},
+    "gradient_boosting": {"n_estimators": 3, "max_depth": 13, "learning_rate": 0.1},
+}
+
+
+@add(
+    "train_trees",
+    over_claims(
+        f", g AS (SELECT SV_LINE, coalesce(CLIENT_LOS, 0) AS los, avg({LABEL}) AS p FROM claims GROUP BY ALL), "
+        f"e AS (SELECT {LABEL} AS y, {LABEL} - p AS e FROM claims JOIN g ON g.SV_LINE = claims.SV_LINE AND g.los = coalesce(CLIENT_LOS, 0)) "
+        + union(f"SELECT '{m}' AS model, round({R2}, 8) AS train_r2, round({R2}, 8) AS r2, round(sqrt(avg(e * e)), 4) AS rmse, round(avg(abs(e)), 4) AS mae FROM e" for m in EXACT_TREES),
+        ["SV_LINE", "CLIENT_LOS", LABEL],
+    ),
+)
+def train_trees(spark, sf_dir):
+    """Forest and boosting on features of few values, where both must give the mean of each combination."""
+    rows = models.training_cache(fill_missing(claims_view(spark, sf_dir, [*FEW, LABEL]), {"CLIENT_LOS": 0}))
+    fitted = {kind: models.train_model(kind, rows, rows, FEW, LABEL, params, "1") for kind, params in EXACT_TREES.items()}
+    shown = models.metrics_table(spark, fitted).drop("error")
+    return rounded(rounded(shown, ["train_r2", "r2"], 8), ["rmse", "mae"], 4)
+
+
 # --- tuning -------------------------------------------------------------------------------
 
 

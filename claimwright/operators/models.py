@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import math
+import sys
 import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -11,14 +13,14 @@ from typing import Any
 
 from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import (
     DecisionTreeRegressionModel,
     DecisionTreeRegressor,
     GBTRegressor,
     LinearRegression,
 )
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import columns as fx
 from ..session import shared_folder
@@ -188,29 +190,80 @@ class AdaBoostR2:
         return AdaBoostR2Model(trees, weights)
 
 
+@dataclass
+class FlatTrees:
+    """Many small trees as one table of nodes. A leaf points to itself, so a fixed number of steps ends in it."""
+
+    feature: list[int]
+    threshold: list[float]
+    left: list[int]
+    value: list[float]
+    roots: list[int]
+    depth: int
+
+    @classmethod
+    def of(cls, trees: Sequence[DecisionTreeRegressionModel]) -> FlatTrees:
+        flat = cls([], [], [], [], [], max((t.depth for t in trees), default=0))
+
+        def place(at: int, node) -> None:
+            if node.subtreeDepth() == 0:
+                flat.left[at], flat.value[at] = at, node.prediction()
+                return
+            flat.feature[at], flat.threshold[at], flat.left[at] = node.split().featureIndex(), node.split().threshold(), flat.room(2)
+            place(flat.left[at], node.leftChild())
+            place(flat.left[at] + 1, node.rightChild())
+
+        for tree in trees:
+            flat.roots.append(flat.room(1))
+            place(flat.roots[-1], tree._call_java("rootNode"))
+        return flat
+
+    def room(self, nodes: int) -> int:
+        """Adds leaves; returns the first one's place."""
+        at = len(self.left)
+        self.feature += [0] * nodes
+        self.threshold += [sys.float_info.max] * nodes
+        self.left += range(at, at + nodes)
+        self.value += [0.0] * nodes
+        return at
+
+    def predictions(self, x: Column) -> Column:
+        """The array of all trees' predictions for a row's values."""
+
+        def table(values: list, kind: str) -> Column:
+            return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")  # folded to one literal
+
+        feature, threshold, left, value = table(self.feature, "int"), table(self.threshold, "double"), table(self.left, "int"), table(self.value, "double")
+
+        def leaf(node: Column) -> Column:
+            for _ in range(self.depth):
+                node = F.element_at(F.transform(F.array(node), lambda n: F.get(left, n) + (F.get(x, F.get(feature, n)) > F.get(threshold, n)).cast("int")), 1)
+            return F.get(value, node)
+
+        return F.transform(table(self.roots, "int"), leaf)
+
+
 @dataclass
 class AdaBoostR2Model:
     trees: list[DecisionTreeRegressionModel]
     weights: list[float]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Weighted median of the trees' predictions, as one JVM expression over their columns."""
-        scored = df
-        names = [f"__tree_{i}" for i in range(len(self.trees))]
-        for name, tree in zip(names, self.trees):
-            scored = tree.copy({tree.predictionCol: name}).transform(scored)
+        """Weighted median of the trees' predictions, as one JVM expression over all trees at once."""
+        forest = FlatTrees.of(self.trees)
         half = sum(self.weights) / 2
-        votes = F.array_sort(
-            F.array(*[F.struct(F.col(n).alias("p"), F.lit(w).alias("w")) for n, w in zip(names, self.weights)])
-        )
+        pairs = F.arrays_zip(forest.predictions(vector_to_array(FEATURES)).alias("p"), F.array(*map(F.lit, self.weights)).alias("w"))
+        votes = F.array_sort(pairs)
         start = F.struct(F.lit(0.0).alias("sum"), F.lit(None).cast("double").alias("p"))
+
         def step(acc, vote):
             reached = acc["sum"] + vote["w"]
             return F.struct(
                 reached.alias("sum"), F.coalesce(acc["p"], F.when(reached >= half, vote["p"])).alias("p")
             )
-        median = F.coalesce(F.aggregate(votes, start, step)["p"], F.element_at(votes, -1)["p"])
-        return scored.withColumn(PREDICTION, median).drop(*names)
+
+        voted = F.transform(F.array(votes), lambda v: F.coalesce(F.aggregate(v, start, step)["p"], F.element_at(v, -1)["p"]))
+        return df.withColumn(PREDICTION, F.element_at(voted, 1))
 
     def importances(self) -> list[float]:
         total = sum(self.weights)

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import columns as fx
+from . import products
 from .quantiles import exact_percentiles
 
 # Aggregate expressions put into one pass; more pairs than this take another pass.
@@ -215,8 +215,18 @@ def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """The lower triangle as (x, y, r), with x before y in column order."""
-    return _correlations(df, list(combinations(fx.present(df, columns or fx.numeric_columns(df)), 2)))
+    """The lower triangle as (x, y, r), with x before y in column order.
+
+    Two passes for up to ``products.BLOCK`` columns: the means, then all products about them.
+    """
+    names = fx.present(df, columns or fx.numeric_columns(df))
+    schema = "x string, y string, r double"
+    if len(names) < 2:
+        return df.sparkSession.createDataFrame([], schema)
+    numbers = {c: fx.known(df, c).cast("double") for c in names}
+    means = df.agg(*[F.avg(v) for v in numbers.values()]).first()
+    centred = {c: v - F.lit(m or 0.0) for (c, v), m in zip(numbers.items(), means)}
+    return df.sparkSession.createDataFrame(products.correlations(df, centred), schema)
 
 
 def target_correlation(df: DataFrame, target: str, columns: Sequence[str] | None = None, k: int = 10) -> DataFrame:

@@ -20,7 +20,7 @@ from .clean import require_columns
 log = logging.getLogger(__name__)
 
 BUCKET_SHIFT = 11  # keys have 31 bits, so there are 2**20 buckets
-DIRECT_LIMIT = 100_000  # up to here a plain top-k is cheapest
+DIRECT_LIMIT = 1_000  # up to here a plain top-k, of as many rows from every partition, is cheapest
 INLINE_STRATA = 10_000  # strata whose cut points may travel as a broadcast table
 COPIES_PER_ROW = 65_536
 TIED_ROWS = 2_000_000  # rows of one cut bucket that may be ordered in one task

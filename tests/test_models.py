@@ -106,6 +106,18 @@ def test_adaboost_matches_brute_force(spark, frame):
     assert got == pytest.approx(want.tolist())
 
 
+def test_boosted_trees_score_in_one_projection(df):
+    vectors = models.assemble(df, NAMES)
+    model = models.AdaBoostR2("y", rounds=12).fit(vectors)
+    scored = model.transform(vectors)
+    assert scored._jdf.queryExecution().optimizedPlan().toString().count("Project") <= 2
+    one = vectors
+    for i, tree in enumerate(model.trees):
+        one = tree.copy({tree.predictionCol: f"p{i}"}).transform(one)
+    rows = one.withColumn("all", models.FlatTrees.of(model.trees).predictions(models.vector_to_array("features"))).collect()
+    assert all(r["all"] == [r[f"p{i}"] for i in range(len(model.trees))] for r in rows)
+
+
 def test_adaboost_perfect_fit_stops(spark):
     df = models.assemble(spark.createDataFrame([(float(i % 2), float(i % 2)) for i in range(40)], "f double, y double"), ["f"])
     model = models.AdaBoostR2("y", rounds=5).fit(df)

@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from claimwright.operators import evaluate, profile, quality
+from claimwright.operators import products, evaluate, profile, quality
 
 
 @pytest.fixture(scope="module")
@@ -50,10 +50,23 @@ def test_correlation_is_pairwise_complete(df, frame):
     assert [r["feature"] for r in profile.target_correlation(df, "a").collect()] == ["b", "flat"]
 
 
-def test_wide_correlation_uses_several_passes(df, monkeypatch):
+def test_wide_correlation_uses_blocks(df, monkeypatch):
     whole = sorted(map(tuple, profile.correlation_matrix(df).collect()), key=str)
-    monkeypatch.setattr(profile, "PAIRS_PER_PASS", 2)
-    assert sorted(map(tuple, profile.correlation_matrix(df).collect()), key=str) == whole
+    monkeypatch.setattr(products, "BLOCK", 2)
+    got = sorted(map(tuple, profile.correlation_matrix(df).collect()), key=str)
+    assert [g[:2] for g in got] == [w[:2] for w in whole]
+    assert [g[2] for g in got] == [None if w[2] is None else pytest.approx(w[2]) for w in whole]
+
+
+def test_pair_sums_of_far_and_constant_columns(spark):
+    rows = [(1e9 + i, 1e9 + (i % 5), 7.3, None if i % 3 else float(i * i), 0.1 if i % 3 else float(i)) for i in range(90)]
+    frame = spark.createDataFrame(rows, "a double, b double, flat double, holes double, part double").repartition(4)
+    got = {(r["x"], r["y"]): r["r"] for r in profile.correlation_matrix(frame).collect()}
+    want = frame.toPandas().corr()
+    for (x, y), r in got.items():
+        assert r is None if "flat" in (x, y) else r == pytest.approx(want.loc[x, y])
+    wide = spark.range(40).select(*[((F.col("id") * (i + 3)) % 17).cast("double").alias(f"c{i}") for i in range(63)])
+    assert profile.correlation_matrix(wide).count() == 63 * 62 / 2
 
 
 def test_counts(df, frame, spark):
