@@ -10,6 +10,7 @@ from ..functions import columns as fx
 from ..operators import clean, sampling
 from ..operators.quality import anti_invalid_values
 from ..plans import claims as plans
+from ..plans import workflows
 from ..plans.claims_view import AMOUNTS, claims_view, table
 from ..session import scratch_path
 from ..sources import files, warehouse
@@ -399,3 +400,33 @@ def stratified_split(spark, sf_dir):
 @add("k_folds", over_claims(f"SELECT CLAIM_ID_KEY, SV_LINE, CAST({key_sql(LINE)} % 5 AS INTEGER) AS fold FROM claims", LINE))
 def k_folds(spark, sf_dir):
     return sampling.k_folds(claims_view(spark, sf_dir, LINE), 5, LINE)
+
+
+# --- the ingest workflow ------------------------------------------------------------------
+
+ARRIVING = [*LINE, "AMT_BILLED", "AMT_PAID", "AMT_DEDUCT", "AMT_COINS", "PROC_CODE", "CLIENT_LOS"]
+ENRICHED = [*ARRIVING, "p_name", "p_brand"]
+
+
+@add(
+    "ingest_workflow",
+    over_claims(
+        f", ids AS (SELECT id FROM (SELECT DISTINCT CLAIM_ID_KEY AS id FROM claims) ORDER BY {key_sql(['id'])}, id LIMIT 5000), "
+        "s AS (SELECT claims.*, p_name, p_brand FROM claims LEFT JOIN (SELECT * FROM part WHERE p_partkey % 5 <> 0) ON PROC_CODE = CAST(90000 + p_partkey AS VARCHAR) "
+        "WHERE CLAIM_ID_KEY IN (SELECT id FROM ids)) "
+        f"SELECT count(*) AS rows, {len(ENRICHED)} AS columns, " + " + ".join(f"CAST(count({c}) < count(*) AS INTEGER)" for c in ENRICHED) + " AS columns_with_nulls, "
+        "round(avg(AMT_PAID), 4) AS mean, count(DISTINCT CLAIM_ID_KEY) AS claims, count(p_brand) AS described, "
+        "bool_and(AMT_BILLED >= 0 AND AMT_PAID >= 0 AND AMT_DEDUCT >= 0 AND AMT_COINS >= 0) AS no_negatives, count(*) - count(CLIENT_LOS) AS los_missing FROM s",
+        ARRIVING,
+    ),
+)
+def ingest_workflow(spark, sf_dir):
+    """Sample whole claims, describe their codes, store, validate and profile; what the workflow reports."""
+    parts = table(spark, sf_dir, "part").filter("p_partkey % 5 <> 0").selectExpr("CAST(90000 + p_partkey AS string) AS code", "p_name", "p_brand")
+    claims = claims_view(spark, sf_dir, ARRIVING)
+    done = workflows.ingest(spark, claims, {"PROC_CODE": parts}, scratch_path(spark, "ingested"), n_ids=5000)
+    negatives = done.checks.where("check_name LIKE '%Negative%'").first()["passed"]
+    missing = done.missing.where("column = 'CLIENT_LOS'").first()["missing_count"]
+    seen = done.sample.agg(F.countDistinct("CLAIM_ID_KEY").alias("claims"), F.count("p_brand").alias("described")).first()
+    counts = {c: F.lit(v).cast("bigint") for c, v in {**seen.asDict(), "los_missing": missing}.items()}
+    return done.summary.withColumns({"mean": F.round("mean", 4), "no_negatives": F.lit(negatives), **counts})
