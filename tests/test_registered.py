@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 # Two hundred rounds one after another take minutes; they run in the oracle check, and tests/test_models.py fits fewer.
 SLOW = {"train_gbt", "train_adaboost", "train_all"}
