@@ -7,11 +7,26 @@ folder; only a count and a checksum come to the driver.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from claimwright.session import scratch_path
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """At most so many rows in an Arrow batch, for steps that run within; whole texts make large batches."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def written(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     """The frame as a table in the shared folder, which cuts its lineage."""
     path = scratch_path(spark, label)

@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .components import components, written
+from .components import arrow_batches, components, written
 
 MINIMA = 128
 ORDERS = 32
@@ -50,6 +50,7 @@ LEAST_BITS = 78  # of the minima's last two bits
 BLOCK = 1024  # documents of a region compared at once
 TEXT_BLOCK = 256  # the same with their texts
 PARTNERS = 2  # nearest partners paired per document and region
+TEXT_ROWS = 1024  # texts, or pairs of texts, in one Arrow batch
 SIEVE_BITS = 1 << 24
 BLOCK_KEY = ("key", "low", "high")
 WINDOW = 5
@@ -439,6 +440,11 @@ def confirmed(pairs: DataFrame, documents: DataFrame, doc_id: str, text: str) ->
 
 def near_duplicates(spark: SparkSession, documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id and kept."""
+    with arrow_batches(spark, TEXT_ROWS):
+        return _near_duplicates(spark, documents, doc_id, text)
+
+
+def _near_duplicates(spark: SparkSession, documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     rows = written(spark, signed(documents, doc_id, text), "signed")
     classes = rows.where(F.col("class").isNotNull() & F.col("id").isNotNull()).groupBy("class").agg(F.min("id").alias("first"))
     members = rows.join(classes.withColumnRenamed("first", "id"), ["class", "id"], "left_semi")
