@@ -1,24 +1,32 @@
 """Exact percentiles at any size.
 
-The built-in exact ``percentile`` keeps every distinct value of a column in one task. Here a
-bounded sketch brackets the wanted ranks, counting passes confirm and narrow the brackets (each
-is one scan with a one-row shuffle), and only the values left inside a bracket are ranked
-exactly. Copies of one value are counted, never listed, so a value that fills a third of the
-column costs nothing.
+The built-in exact ``percentile`` keeps every distinct value of a column in one task. Here one
+bounded sketch per column, all in one scan, names values close to the wanted ranks. They cut the
+column into intervals; the next scan counts the intervals and lists the values of those that must
+hold a wanted rank, which then is a running sum away. Copies of one value are counted, never
+listed, so a value that fills a third of the column costs nothing.
+
+So two scans serve any number of columns and shares up to about 1.4e8 values a column. Beyond, a
+scan of sketches within the intervals comes between, which each time allows 140 times as many. A
+sketch may err; every position is counted, so that only costs a scan.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import columns as fx
 
-SKETCH_ACCURACY = 10_000
-LEAF_ROWS = 250_000  # most rows strictly inside a bracket that is ranked exactly
+SKETCH_SIZE = 4_096
+SLACK = 0.003  # more than twice the rank error of such a sketch at 99 %
+GRID = 2_048  # quantiles that are read from a sketch
+LEAF_ROWS = 1_000_000  # most values, as expected, between the ends that are listed for a position
+FEW_ROWS = 10_000  # intervals of no more values are listed whole
 
 
 @dataclass(frozen=True)
@@ -34,25 +42,25 @@ class Rank:
         return self.first + (1 if self.fraction > 0 else 0)
 
 
-@dataclass
-class Bracket:
-    """A closed value range of one column known to hold the listed ranks."""
+def _rank(share: float, n: int) -> Rank:
+    position = (n - 1) * share
+    return Rank(share, math.floor(position), position - math.floor(position))
+
+
+@dataclass(frozen=True)
+class Interval:
+    """Values of a column between two neighbouring ends, and the positions wanted among them.
+
+    ``low`` and ``high`` are its least and greatest value, ``near`` the sketch's values on both
+    sides of each position.
+    """
 
     column: str
+    start: int  # values of the column before it
+    n: int
     low: float
     high: float
-    below: int  # rows under low
-    within: int  # rows in [low, high]
-    strictly: int  # rows in (low, high)
-    ranks: list[Rank] = field(default_factory=list)
-    slack: float = 3.0 / SKETCH_ACCURACY
-
-    @property
-    def is_small(self) -> bool:
-        return self.strictly <= LEAF_ROWS
-
-    def holds(self, rank: Rank) -> bool:
-        return self.below <= rank.first and rank.last < self.below + self.within
+    near: dict[int, tuple[float, float]]
 
 
 def _number(name: str) -> Column:
@@ -60,152 +68,103 @@ def _number(name: str) -> Column:
     return F.nanvl(value, F.lit(None).cast("double"))
 
 
-def _by_column(brackets: Sequence[Bracket]) -> dict[str, list[Bracket]]:
-    grouped: dict[str, list[Bracket]] = {}
-    for b in brackets:
-        grouped.setdefault(b.column, []).append(b)
-    return grouped
-
-
-def _points(brackets: Sequence[Bracket]) -> list[float]:
-    return sorted({p for b in brackets for p in (b.low, b.high)})
-
-
-def _coded(df: DataFrame, columns: Mapping[str, list[Bracket]]) -> DataFrame:
-    """(c, v, code) for every value: code 2k lies just under bracket end k, code 2k + 1 equals it.
+def _coded(df: DataFrame, ends: Mapping[str, Sequence[float]]) -> DataFrame:
+    """(c, v, code) for every value: code 2k lies just under end k of its column, code 2k + 1 equals it.
 
     A binary search written as one small projection per step over constant arrays, which stays
     cheap in generated code however many ends there are.
     """
-    ends = [_points(bs) for bs in columns.values()]
-    steps = max(len(e) for e in ends).bit_length()
+    sizes = [len(e) for e in ends.values()]
+    steps = max(sizes).bit_length()
     size = 2 ** steps
-    table = F.array(*[F.array(*[F.lit(p) for p in e + [math.inf] * (size - len(e))]) for e in ends])
-    pairs = [F.struct(F.lit(i).alias("c"), _number(c).alias("v")) for i, c in enumerate(columns)]
+    table = F.array(*[F.lit(np.array([*e, *[math.inf] * (size - len(e))], np.float64)) for e in ends.values()])
+    pairs = [F.struct(F.lit(i).alias("c"), _number(c).alias("v")) for i, c in enumerate(ends)]
     rows = df.select(F.inline(F.array(*pairs))).filter("v IS NOT NULL").select("c", "v", F.lit(0).alias("k"))
     def end(k: Column) -> Column:
         return F.get(F.get(table, F.col("c")), k)
     for step in (2 ** s for s in reversed(range(steps))):
         under = F.when(end(F.col("k") + (step - 1)) < F.col("v"), step).otherwise(0)
         rows = rows.select("c", "v", (F.col("k") + under).alias("k"))
-    equal = (end(F.col("k")) == F.col("v")).cast("int")
+    known = F.col("k") < F.get(F.array(*[F.lit(n) for n in sizes]), F.col("c"))
+    equal = (known & (end(F.col("k")) == F.col("v"))).cast("int")
     return rows.select("c", "v", (F.col("k") * 2 + F.coalesce(equal, F.lit(0))).alias("code"))
 
 
-def _count(df: DataFrame, brackets: list[Bracket]) -> None:
-    """Fill in the row counts of the brackets: one scan, a few rows shuffled."""
-    columns = _by_column(brackets)
-    rows = _coded(df, columns).groupBy("c", "code").count().collect()
-    for i, bs in enumerate(columns.values()):
-        counts = {r["code"]: r["count"] for r in rows if r["c"] == i}
-        points = _points(bs)
-        for b in bs:
-            low, high = 2 * points.index(b.low) + 1, 2 * points.index(b.high) + 1
-            b.below = sum(n for code, n in counts.items() if code < low)
-            b.within = sum(n for code, n in counts.items() if low <= code <= high)
-            b.strictly = sum(n for code, n in counts.items() if low < code < high)
-
-
-def _merge(proposed: list[Bracket]) -> list[Bracket]:
-    """Overlapping brackets of one column become one."""
-    merged: list[Bracket] = []
-    for b in sorted(proposed, key=lambda b: (b.column, b.low, b.high)):
-        last = merged[-1] if merged else None
-        if last and last.column == b.column and b.low <= last.high:
-            last.high = max(last.high, b.high)
-            last.ranks += b.ranks
-        else:
-            merged.append(b)
-    return merged
-
-
-def _narrow(df: DataFrame, wide: list[Bracket]) -> list[Bracket]:
-    """A sketch pass proposes tighter brackets, a counting pass checks them.
-
-    Ranks that a proposal turns out to miss go back to their old bracket with more slack.
-    """
-    sketches = []
-    for i, b in enumerate(wide):
-        value, last = _number(b.column), max(b.within - 1, 1)
-        ends = []
-        for r in b.ranks:
-            ends += [max((r.first - b.below) / last - b.slack, 0.0), min((r.last - b.below) / last + b.slack, 1.0)]
-        inside = F.when((value >= b.low) & (value <= b.high), value)
-        sketches.append(F.percentile_approx(inside, ends, SKETCH_ACCURACY).alias(f"p{i}"))
-    found = df.agg(*sketches).first()
-    proposed = [
-        Bracket(b.column, found[i][2 * j], found[i][2 * j + 1], 0, 0, 0, [r])
-        for i, b in enumerate(wide)
-        for j, r in enumerate(b.ranks)
-    ]
-    tight = _merge(proposed)
-    _count(df, tight)
-    result = []
-    for b in tight:
-        missed = [r for r in b.ranks if not b.holds(r)]
-        b.ranks = [r for r in b.ranks if b.holds(r)]
-        if b.ranks:
-            result.append(b)
-        for old in wide:
-            back = [r for r in old.ranks if old.column == b.column and r in missed]
-            if back:
-                result.append(
-                    Bracket(old.column, old.low, old.high, old.below, old.within, old.strictly, back, old.slack * 4)
-                )
-    return result
-
-
-def _layers(brackets: list[Bracket]) -> list[list[Bracket]]:
-    """Sets of brackets that do not overlap within a column; nearly always a single one."""
-    layers: list[list[Bracket]] = []
-    for b in sorted(brackets, key=lambda b: (b.column, b.low, b.high)):
-        free = (la for la in layers if all(o.column != b.column or o.high < b.low for o in la))
-        layer = next(free, None)
-        if layer is None:
-            layers.append([b])
-        else:
-            layer.append(b)
-    return layers
-
-
-def _ranked(df: DataFrame, brackets: list[Bracket]) -> dict[tuple[str, float], tuple[float, float]]:
-    """The values at both ends of each rank, from the rows inside disjoint brackets."""
-    columns, owners = _by_column(brackets), []
-    for own in columns.values():
-        points = _points(own)
-        owner = [None] * (2 * len(points) + 1)
-        for b in own:
-            low, high = 2 * points.index(b.low) + 1, 2 * points.index(b.high) + 1
-            owner[low:high + 1] = [brackets.index(b)] * (high + 1 - low)
-        owners.append(F.array(*[F.lit(o).cast("int") for o in owner]))
-    # rows outside all brackets fold into one group and are dropped by the join below: a filter
-    # here would be pushed through the search steps and multiply them
-    owner = F.coalesce(F.get(F.get(F.array(*owners), F.col("c")), F.col("code")), F.lit(-1))
+def _wanted(shares: Mapping[str, Sequence[float]], total: Column) -> Column:
+    """The positions of a row's column: both neighbours of each share."""
+    table = F.array(*[F.lit(np.array(own, np.float64)) for own in shares.values()])
+    places = F.transform(F.get(table, F.col("c")), lambda s: (total - 1).cast("double") * s)
+    both = F.transform(places, lambda p: F.array(F.floor(p).cast("bigint"), F.ceil(p).cast("bigint")))
+    return F.array_sort(F.array_distinct(F.flatten(both)))
+
+
+def _intervals(df: DataFrame, ends: Mapping[str, Sequence[float]], shares: Mapping[str, Sequence[float]]) -> tuple[list[Interval], dict[str, int]]:
+    """One scan: the intervals that hold a wanted position, and the number of values of each column."""
+    grid = F.lit(np.arange(GRID + 1) / GRID)
+    counted = (
+        _coded(df, ends)
+        .groupBy("c", "code")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("v").alias("low"),
+            F.max("v").alias("high"),
+            F.kll_sketch_agg_double("v", SKETCH_SIZE).alias("sketch"),
+        )
+    )
+    own = Window.partitionBy("c")
+    before = own.orderBy("code").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.withColumns({"start": F.coalesce(F.sum("n").over(before), F.lit(0).cast("bigint")), "total": F.sum("n").over(own)})
+    inside = F.filter(_wanted(shares, F.col("total")), lambda p: (p >= F.col("start")) & (p < F.col("start") + F.col("n")))
+    placed = placed.withColumn("asked", inside).filter(F.size("asked") > 0)
+    read = placed.withColumn("grid", F.kll_sketch_get_quantile_double("sketch", grid))
+    def at(p: Column, side: int) -> Column:
+        place = (p - F.col("start")) / F.greatest(F.col("n") - 1, F.lit(1)) + side * SLACK
+        step = F.floor(place * GRID) if side < 0 else F.ceil(place * GRID)
+        return F.get("grid", F.least(F.greatest(step, F.lit(0)), F.lit(GRID)).cast("int"))
+    near = F.transform("asked", lambda p: F.struct(p.alias("p"), at(p, -1).alias("low"), at(p, 1).alias("high")))
+    rows = read.select("c", "start", "n", "low", "high", "total", near.alias("near")).collect()
+    names = list(ends)
+    found = [Interval(names[r["c"]], r["start"], r["n"], r["low"], r["high"], {x["p"]: (x["low"], x["high"]) for x in r["near"]}) for r in rows]
+    return found, {names[r["c"]]: r["total"] for r in rows}
+
+
+def _listed(df: DataFrame, ends: Mapping[str, Sequence[float]], asked: Mapping[str, Mapping[int, Sequence[int]]]) -> dict[tuple[str, int], float]:
+    """One scan: the values at the positions that are asked of the codes of each column, where they lie there."""
+    tables = [[np.array(asked[c].get(code, []), np.int64) for code in range(2 * len(own) + 1)] for c, own in ends.items()]
+    flags = F.array(*[F.lit(np.array([len(a) > 0 for a in own], np.int32)) for own in tables])
+    listed = F.get(F.get(flags, F.col("c")), F.col("code")) == 1
+    # values outside fold into one row per interval; a filter here would be pushed through the
+    # search steps and multiply them
     counted = (
-        _coded(df, columns)
-        .select(owner.alias("b"), "v")
-        .select("b", F.when(F.col("b") >= 0, F.col("v")).alias("v"))
-        .groupBy("b", "v")
+        _coded(df, ends)
+        .select("c", "code", F.when(listed, F.col("v")).alias("v"))
+        .groupBy("c", "code", "v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    rows = [(i, sorted({x - b.below for r in b.ranks for x in (r.first, r.last)})) for i, b in enumerate(brackets)]
-    listed = F.broadcast(df.sparkSession.createDataFrame(rows, "b int, asked array<bigint>"))
-    upto = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("c").orderBy("code").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        counted.groupBy("c", "code")
+        .agg(F.sum("n").alias("held"))
+        .select("c", "code", F.coalesce(F.sum("held").over(before), F.lit(0).cast("bigint")).alias("start"))
+    )
+    upto = Window.partitionBy("c", "code").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    # all positions of a column in one array, and where those of each code begin
+    flat = F.array(*[F.lit(np.concatenate(own)) for own in tables])
+    begins = F.array(*[F.lit(np.cumsum([0, *map(len, own)])) for own in tables])
+    begin = F.get(F.get(begins, F.col("c")), F.col("code"))
+    many = F.get(F.get(begins, F.col("c")), F.col("code") + 1) - begin
+    places = F.slice(F.get(flat, F.col("c")), begin.cast("int") + 1, many.cast("int"))
+    held = F.filter(places, lambda p: (p < F.col("upto")) & (p >= F.col("upto") - F.col("n")))
     hits = (
-        counted.withColumn("upto", F.sum("n").over(upto))
-        .join(listed, "b")
-        .filter(F.exists("asked", lambda a: (a < F.col("upto")) & (a >= F.col("upto") - F.col("n"))))
-        .select("b", "v", "n", "upto")
+        counted.withColumn("within", F.sum("n").over(upto))
+        .join(starts, ["c", "code"])
+        .withColumn("upto", F.col("start") + F.col("within"))
+        .filter("v IS NOT NULL")
+        .select("c", "v", F.explode(held).alias("p"))
         .collect()
     )
-    values = {}
-    for i, b in enumerate(brackets):
-        own = [h for h in hits if h["b"] == i]
-        def at(position: int) -> float:
-            return next(h["v"] for h in own if h["upto"] - h["n"] <= position < h["upto"])
-        for r in b.ranks:
-            values[(b.column, r.share)] = (at(r.first - b.below), at(r.last - b.below))
-    return values
+    names = list(ends)
+    return {(names[h["c"]], h["p"]): h["v"] for h in hits}
 
 
 def _between(low: float, high: float, fraction: float) -> float:
@@ -221,37 +180,41 @@ def exact_percentiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> d
     if not wanted:
         return {}
     source = df.select(*[fx.quoted(c) for c in wanted])
-    measures = []
-    for i, c in enumerate(wanted):
-        x = _number(c)
-        measures += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"low{i}"), F.max(x).alias(f"high{i}")]
-    first = source.agg(*measures).first()
-    todo: list[Bracket] = []
-    answers: dict[tuple[str, float], float] = {}
-    for i, (column, shares) in enumerate(wanted.items()):
-        n, low, high = first[f"n{i}"], first[f"low{i}"], first[f"high{i}"]
-        bracket = Bracket(column, low, high, 0, n, n)
-        for share in dict.fromkeys(shares):
-            position = (n - 1) * share
-            rank = Rank(share, math.floor(position), position - math.floor(position))
-            if n == 0:
-                continue
-            if low == high or rank.last == 0:
-                answers[(column, share)] = low
-            elif rank.first == n - 1:
-                answers[(column, share)] = high
-            else:
-                bracket.ranks.append(rank)
-        if bracket.ranks:
-            todo.append(bracket)
-    while any(not b.is_small for b in todo):
-        todo = [b for b in todo if b.is_small] + _narrow(source, [b for b in todo if not b.is_small])
-    for b in [b for b in todo if b.low == b.high]:
-        answers |= {(b.column, r.share): b.low for r in b.ranks}
-    open_brackets = [b for b in todo if b.low < b.high]
-    ends = {}
-    for layer in _layers(open_brackets):
-        ends |= _ranked(source, layer)
-    fractions = {(b.column, r.share): r.fraction for b in open_brackets for r in b.ranks}
-    answers |= {k: _between(*v, fractions[k]) for k, v in ends.items()}
-    return {c: [answers.get((c, p)) for p in shares] for c, shares in wanted.items()}
+    ends: dict[str, list[float]] = {c: [] for c in wanted}
+    open_shares = {c: list(dict.fromkeys(p)) for c, p in wanted.items()}
+    totals: dict[str, int] = {}
+    values: dict[tuple[str, int], float] = {}  # by column and position
+    while any(open_shares.values()):
+        found, counted = _intervals(source, ends, open_shares)
+        totals = totals or counted
+        brackets: dict[tuple[str, int], tuple[float, float]] = {}
+        largest = 0.0
+        for i in found:
+            for p, near in i.near.items():
+                if i.low == i.high or p == i.start:
+                    values[(i.column, p)] = i.low
+                elif p == i.start + i.n - 1:
+                    values[(i.column, p)] = i.high
+                elif i.n <= min(FEW_ROWS, LEAF_ROWS):
+                    brackets[(i.column, p)] = (i.low, i.high)
+                else:
+                    brackets[(i.column, p)] = near
+                    largest = max(largest, 2 * (SLACK + 1 / GRID) * i.n)
+        points = {c: sorted({*own, *(x for (b, _), pair in brackets.items() if b == c for x in pair)}) for c, own in ends.items()}
+        if brackets and largest <= LEAF_ROWS:
+            asked: dict[str, dict[int, list[int]]] = {c: {} for c in ends}
+            codes = {c: {x: 2 * k + 1 for k, x in enumerate(own)} for c, own in points.items()}
+            for (c, p), (low, high) in sorted(brackets.items()):
+                for code in range(codes[c][low], codes[c][high] + 1):
+                    asked[c].setdefault(code, []).append(p)
+            values |= _listed(source, points, asked)
+        ends = points
+        open_shares = {
+            c: [s for s in own if c in totals and not {(c, _rank(s, totals[c]).first), (c, _rank(s, totals[c]).last)} <= values.keys()]
+            for c, own in open_shares.items()
+        }
+    answers = {}
+    for c, shares in wanted.items():
+        ranks = [_rank(s, totals[c]) for s in shares] if c in totals else []
+        answers[c] = [_between(values[(c, r.first)], values[(c, r.last)], r.fraction) for r in ranks] or [None] * len(shares)
+    return answers

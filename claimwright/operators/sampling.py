@@ -1,9 +1,9 @@
 """Exact, repeatable sampling and splitting.
 
-Units are ordered by a seeded integer key of their content. The k smallest are found by
-counting key buckets, so that only one bucket (about one row in a million) is ever ordered;
-membership of all other rows is a comparison with the bucket number. No row order, no random
-state per task: a recomputed partition gives the same answer.
+Units are ordered by a seeded integer key of their content. The last of the k smallest is found in
+two scans: counts of key buckets give its bucket, the rows of that bucket (about one in a million)
+its key and itself. Membership is then a comparison of key and row, in the pass that reads the
+result anyway. No row order, no random state per task: a recomputed partition gives the same answer.
 """
 
 from __future__ import annotations
@@ -115,7 +115,7 @@ def repeat_rows(df: DataFrame, count_column: str) -> DataFrame:
 def _running_total(tied: DataFrame, order: list, spread: bool) -> DataFrame:
     """Add ``__before``: the rows of the same stratum that come earlier in the order.
 
-    A bucket is small unless one key holds a large share of the table. Then the rows are range
+    Rows of one key are few unless it holds a large share of the table. Then the rows are range
     partitioned in that order, fixed by a checkpoint, and ranked per partition on top of the
     totals of the partitions before.
     """
@@ -196,28 +196,74 @@ def _tag_smallest(
             {"__cut": F.coalesce("__cut", F.lit(-1)), "__need": F.coalesce("__need", F.lit(0).cast("bigint"))}
         )
     rows = [fx.quoted(c) for c in df.columns]
-    clear = marked.filter(F.col("__bucket") != F.col("__cut")).select(
-        *rows, (F.col("__bucket") < F.col("__cut")).alias("__picked")
-    )
-    # the bucket of the cut: identical rows are counted, then ranked
     tied = (
         marked.filter(F.col("__bucket") == F.col("__cut"))
         .groupBy("__stratum", "__need", "__key", *rows)
         .agg(F.count(F.lit(1)).alias("__n"))
     )
-    order = ["__key", *[c.asc_nulls_first() for c in rows]]
-    tied = _running_total(tied, order, spread=largest > TIED_ROWS).withColumn(
-        "__take", F.greatest(F.lit(0), F.least(F.col("__n"), F.col("__need") - F.col("__before")))
-    )
+    edges = _edges(tied, rows, spread=largest > TIED_ROWS)
+    # apart from the edge rows themselves, a row is picked or not by a comparison
+    if stratum is None:
+        found = edges.select("__edge_key").first()
+        last = F.lit(found["__edge_key"] if found else -1)
+        judged = keyed.join(F.broadcast(edges), F.col("__key") == F.col("__edge_key"), "left")
+    else:
+        last = F.coalesce("__edge_key", F.lit(-1))
+        few = F.broadcast(edges) if len(short) <= INLINE_STRATA else edges
+        judged = keyed.join(few, keyed["__stratum"].eqNullSafe(edges["__at"]), "left")
+    row = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(rows)])
+    at_edge = F.col("__key") == last
+    same = at_edge & (row == F.col("__edge"))
+    divided = edges.filter("__take < __copies")
+    picked = (F.col("__key") < last) | (at_edge & (row <= F.col("__edge")))
+    if divided.isEmpty():
+        return judged.select(*rows, picked.alias("__picked"))
+    # copies of an edge row are interchangeable: they leave the table and come back by number
+    whole = judged.filter(~F.coalesce(same & F.expr("__take < __copies"), F.lit(False)))
     shares = F.array(
         F.struct(F.lit(True).alias("picked"), F.col("__take").alias("n")),
-        F.struct(F.lit(False).alias("picked"), (F.col("__n") - F.col("__take")).alias("n")),
+        F.struct(F.lit(False).alias("picked"), (F.col("__copies") - F.col("__take")).alias("n")),
+    )
+    names = [F.col(f"__edge.c{i}").alias(c) for i, c in enumerate(df.columns)]
+    copies = divided.select(*names, F.explode(shares).alias("__s")).select(
+        *rows, F.col("__s.picked").alias("__picked"), F.col("__s.n").alias("__n")
     )
-    edge = (
-        tied.select(*rows, F.explode(F.filter(shares, lambda s: s["n"] > 0)).alias("__s"))
-        .select(*rows, F.col("__s.picked").alias("__picked"), F.col("__s.n").alias("__n"))
+    return whole.select(*rows, picked.alias("__picked")).unionByName(repeat_rows(copies, "__n"))
+
+
+def _edges(tied: DataFrame, rows: list[Column], spread: bool) -> DataFrame:
+    """The last row that is picked of each stratum, fixed by a checkpoint.
+
+    ``tied`` holds the different rows of each stratum's cut bucket with their number. The key of
+    the edge follows from counts per key, at most 2**11 of them; only its rows are ordered.
+    Columns: __at (stratum), __edge_key, __edge (the row), __copies of it and how many to __take.
+    """
+    keys = Window.partitionBy("__stratum").orderBy("__key").rowsBetween(Window.unboundedPreceding, 0)
+    cut = (
+        tied.groupBy("__stratum", "__need", "__key")
+        .agg(F.sum("__n").alias("__held"))
+        .withColumn("__upto", F.sum("__held").over(keys))
+        .filter((F.col("__upto") >= F.col("__need")) & (F.col("__upto") - F.col("__held") < F.col("__need")))
+        .select(
+            F.col("__stratum").alias("__at"),
+            F.col("__key").alias("__edge_key"),
+            (F.col("__need") - F.col("__upto") + F.col("__held")).alias("__rest"),
+        )
+    )
+    same = F.col("__stratum").eqNullSafe(F.col("__at")) & (F.col("__key") == F.col("__edge_key"))
+    ranked = _running_total(tied.join(cut, same), [c.asc_nulls_first() for c in rows], spread)
+    shared_folder(tied.sparkSession)
+    return (
+        ranked.filter((F.col("__before") < F.col("__rest")) & (F.col("__before") + F.col("__n") >= F.col("__rest")))
+        .select(
+            "__at",
+            "__edge_key",
+            F.struct(*[c.alias(f"c{i}") for i, c in enumerate(rows)]).alias("__edge"),
+            F.col("__n").alias("__copies"),
+            (F.col("__rest") - F.col("__before")).alias("__take"),
+        )
+        .checkpoint()
     )
-    return clear.unionByName(repeat_rows(edge, "__n"))
 
 
 def tag_test_rows(

@@ -42,3 +42,24 @@ def test_empty_and_single(spark):
     assert exact_percentiles(empty, {"x": [0.5]}) == {"x": [None]}
     one = spark.range(1).select(F.lit(3).alias("x"))
     assert exact_percentiles(one, {"x": [0.1, 0.9]}) == {"x": [3.0, 3.0]}
+
+
+def test_two_scans_for_any_number_of_shares(skewed, spark, monkeypatch):
+    """The sketch scan and the listing; a leaf smaller than what the sketch leaves open takes one more of each kind at most."""
+    shares = [i / 400 for i in range(401)]
+    for leaf, scans in ((1_000_000, 2), (200, 4)):
+        monkeypatch.setattr(quantiles, "LEAF_ROWS", leaf)
+        made = []
+        for name in ("_intervals", "_listed"):
+            body = getattr(quantiles, name)
+            monkeypatch.setattr(quantiles, name, lambda *a, body=body: made.append(1) or body(*a))
+        found = exact_percentiles(skewed, {"a": shares, "b": shares})
+        assert len(made) <= scans
+        for c in "ab":
+            values = [r[0] for r in skewed.select(c).collect()]
+            assert found[c] == pytest.approx(np.quantile(values, shares).tolist(), rel=1e-13)
+
+
+def test_infinities_and_signed_zeros(spark):
+    df = spark.createDataFrame([(float("inf"),), (float("-inf"),), (0.0,), (-0.0,), (1.0,)] * 3, "x double")
+    assert exact_percentiles(df, {"x": [0.0, 0.5, 1.0]})["x"] == [float("-inf"), 0.0, float("inf")]

@@ -48,6 +48,29 @@ def test_split_800_200(spark):
     assert train.intersect(test).count() == 0
 
 
+def test_split_of_different_rows_is_a_filter(spark):
+    """The edge is known, so either side is one pass over the source without a shuffle."""
+    df = spark.range(5000).select("id", (F.col("id") % 3).alias("s"), F.when(F.col("id") % 7 > 0, F.col("id") * 0.5).alias("x"))
+    for stratum in (None, "s"):
+        plan = sampling.tag_test_rows(df, 0.2, ["id"], stratum)._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("Range (") == 1 and "Exchange" not in plan and "Window" not in plan and "Aggregate" not in plan
+
+
+@pytest.mark.parametrize("inline", [10_000, 1])
+def test_strata_with_copies(lines, monkeypatch, inline):
+    """Per stratum the rows before the edge, and as many copies of the edge as its quota asks for."""
+    monkeypatch.setattr(sampling, "INLINE_STRATA", inline)
+    rows = [tuple(r) for r in lines.collect()]
+    for size in (0.2, 0.5):
+        got = sampling.tag_test_rows(lines, size, ["id", "line"], "line").collect()
+        assert sorted(tuple(r)[:3] for r in got) == sorted(rows)
+        assert sum(r["is_test"] for r in got) == math.ceil(len(rows) * size)
+        for stratum in {r[1] for r in rows}:
+            ordered = sorted((r for r in rows if r[1] == stratum), key=lambda r: (key(r[:2]), r))
+            picked = sorted(tuple(r)[:3] for r in got if r["line"] == stratum and r["is_test"])
+            assert picked == sorted(ordered[: len(picked)])
+
+
 @pytest.mark.parametrize("inline", [10_000, 1])
 def test_stratified_quotas(spark, monkeypatch, inline):
     monkeypatch.setattr(sampling, "INLINE_STRATA", inline)
