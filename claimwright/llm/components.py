@@ -16,15 +16,21 @@ from claimwright.session import scratch_path
 
 
 @contextmanager
-def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
-    """At most so many rows in an Arrow batch, for steps that run within; whole texts make large batches."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+def arrow_batches(spark: SparkSession, rows: int, size: int) -> Iterator[None]:
+    """At most so many rows and about so many bytes in an Arrow batch, for steps that run within.
+
+    Whole texts make large batches; a single longer row is a batch of its own.
+    """
+    limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {name: spark.conf.get(name) for name in limits}
+    for name, limit in limits.items():
+        known = int(before[name].rstrip("b"))
+        spark.conf.set(name, str(min(limit, known) if known > 0 else limit))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def written(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:

@@ -50,7 +50,7 @@ LEAST_BITS = 78  # of the minima's last two bits
 BLOCK = 1024  # documents of a region compared at once
 TEXT_BLOCK = 256  # the same with their texts
 PARTNERS = 2  # nearest partners paired per document and region
-TEXT_ROWS = 1024  # texts, or pairs of texts, in one Arrow batch
+TEXT_ROWS, TEXT_BYTES = 1024, 8 << 20  # texts, or pairs of texts, in one Arrow batch
 SIEVE_BITS = 1 << 24
 BLOCK_KEY = ("key", "low", "high")
 WINDOW = 5
@@ -440,7 +440,7 @@ def confirmed(pairs: DataFrame, documents: DataFrame, doc_id: str, text: str) ->
 
 def near_duplicates(spark: SparkSession, documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id and kept."""
-    with arrow_batches(spark, TEXT_ROWS):
+    with arrow_batches(spark, TEXT_ROWS, TEXT_BYTES):
         return _near_duplicates(spark, documents, doc_id, text)
 
 
