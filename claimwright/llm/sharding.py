@@ -16,12 +16,13 @@ from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F, types as T
 
 from .components import written
 
 BUCKET = 10_000  # partial partitions differenced in one task
 SLOTS = 50_000  # rows numbered in one task
+RUN = 4_096  # equal rows that come back from one
 
 
 def differenced(vectors: list[list[int]]) -> tuple[list[list[int]], list[int]]:
@@ -80,15 +81,28 @@ def balanced(spark: SparkSession, groups: DataFrame, shards: int) -> DataFrame:
 
 
 def numbered(rows: DataFrame, shard: str, order: list[Column], alias: str = "slot") -> DataFrame:
-    """Adds a number from 0 without gaps within each shard, without one task per shard."""
+    """Adds a number from 0 without gaps within each shard, without one task per shard.
+
+    Equal rows are counted, numbered as one and brought back in runs, wherever those lie. Other rows
+    must differ in ``order``.
+    """
+    names = rows.columns
     pieces = -(-max(rows.count(), 1) // SLOTS)
-    placed = rows.withColumn("__piece", F.pmod(F.xxhash64(*order), F.lit(pieces).cast("long")))
-    counts = placed.groupBy(shard, "__piece").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(shard).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(shard, "__piece", F.coalesce(F.sum("__n").over(before), F.lit(0).cast("long")).alias("__start"))
-    within = Window.partitionBy(shard, "__piece").orderBy(*order)
-    ranked = placed.withColumn("__rank", F.row_number().over(within).cast("long") - 1)
-    return ranked.join(starts, [shard, "__piece"]).withColumn(alias, F.col("__start") + F.col("__rank")).drop("__piece", "__rank", "__start")
+    distinct = rows.groupBy(*[F.col(f"`{c}`") for c in names]).agg(F.count(F.lit(1)).alias("__n"))
+    placed = distinct.withColumn("__piece", F.pmod(F.xxhash64(*order), F.lit(pieces).cast("long")))
+    counts = placed.groupBy(shard, "__piece").agg(F.sum("__n").alias("__held"))
+
+    def earlier(value: str, window: WindowSpec) -> Column:
+        return F.coalesce(F.sum(value).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
+
+    starts = counts.select(shard, "__piece", earlier("__held", Window.partitionBy(shard).orderBy("__piece")).alias("__start"))
+    ranked = placed.withColumn("__before", earlier("__n", Window.partitionBy(shard, "__piece").orderBy(*order)))
+    runs = ranked.join(starts, [shard, "__piece"]).withColumn("__run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(__n - 1) div {RUN}"))))
+    spread = runs.repartition(F.xxhash64(*order, "__run"))
+    first = F.col("__run") * RUN
+    number = F.explode(F.sequence(first, F.least(first + RUN, F.col("__n")) - 1))
+    numbers = spread.withColumn("__i", number).withColumn(alias, F.col("__start") + F.col("__before") + F.col("__i"))
+    return numbers.select(*[F.col(f"`{c}`") for c in names], alias)
 
 
 def shard_documents(spark: SparkSession, documents: DataFrame, shards: int = 8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -89,3 +89,43 @@ def lm_scores(rows, discount=0.75):
         p2 = [p if not after[a] else (max(pair[a, b] - discount, 0) + discount * different[a] * p) / after[a] for a, b, p in zip([" start", *w], w, p1)]
         out.append((len(w), sum(single[x] > 0 for x in w), total, sum(map(math.log10, p1)), sum(map(math.log10, p2))))
     return out
+
+
+STOCK = re.compile(
+    r"(?i)\b(all rights reserved|terms of (use|service)|privacy policy|cookie|enable javascript|click here|sign (in|up)|log ?in|subscribe|read more"
+    r"|share (this|on)|skip to content|lorem ipsum|licensed under|is licensed under|released under the)\b"
+)
+
+
+def line_fails(line):
+    line = line.strip(" \t\n\x0b\x0c\r")
+    n = len(words(line))
+    if not n:
+        return False
+    symbols, bars = sum(c in "#*$%&|<>" for c in line), sum(c in "|»›·•¦" for c in line)
+    doubled = (len(line) - len(line.replace("!!", "").replace("??", ""))) / 2
+    fragment = n < 4 and line[-1] not in ".!?:;…\"'”»)"
+    if symbols >= 0.5 * n or doubled >= 0.3 * n or fragment or (bars >= 2 and bars >= 0.2 * n):
+        return True
+    held = len(line) - len(STOCK.sub("", line))
+    return held > 0 and held >= 0.15 * len(line)
+
+
+def cleaned(text):
+    """Whether the statistics fail, the text without failing lines, and whether it is kept."""
+    n, _, _, _, repeated = statistics(text)
+    failed = n < 10 or 100 * repeated > 20 * n
+    lines = (text or "").split("\n")
+    good = [line for line in lines if not line_fails(line)]
+    all_, left = (sum(map(len, x)) for x in (lines, good))
+    return failed, "\n".join(good), not failed and all_ - left <= 0.5 * all_
+
+
+def differenced(sizes, shards):
+    """Sorted sums of Karmarkar-Karp differencing, by sorting all partitions before every step."""
+    partitions = [[0] * (shards - 1) + [size] for size in sizes]
+    while len(partitions) > 1:
+        partitions.sort(key=lambda p: p[-1] - p[0])
+        a, b = partitions.pop(), partitions.pop()
+        partitions.append(sorted(x + y for x, y in zip(a, reversed(b))))
+    return partitions[0]

@@ -1,11 +1,16 @@
+import sys
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from claimwright.llm import packing, sharding
+sys.path.insert(0, str(Path(__file__).parent))
+import brute  # noqa: E402
+
+from claimwright.llm import packing, sharding  # noqa: E402
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -92,6 +97,28 @@ def test_differencing():
         assert sum(size for size, place in zip([8, 7, 6, 5, 4], places) if place[0] == k) == sums[k]
 
 
+@pytest.mark.parametrize("shards", [2, 3, 8])
+def test_differencing_against_brute_force(shards):
+    rng = np.random.default_rng(shards)
+    sizes = [int(x) for x in rng.integers(1, 2**40, 300)]
+    places, sums = sharding.differenced([[n, *[0] * (shards - 1)] for n in sizes])
+    assert sorted(sums) == brute.differenced(sizes, shards)
+    held = [0] * shards
+    for n, place in zip(sizes, places):
+        held[place[0]] += n
+    assert held == sums
+
+
+def test_repeated_rows_are_numbered_apart(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "RUN", 16)
+    monkeypatch.setattr(sharding, "SLOTS", 100)
+    rows = [(1, "hot")] * 400 + [(None, None)] * 33 + [(i, f"text {i}") for i in range(200)]
+    got = sharding.shard_documents(spark, spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    assert sorted((r["doc_id"] or 0, r["size"]) for r in got) == sorted((i or 0, len(t or "") + 1) for i, t in rows)
+    for shard in (0, 1):
+        assert sorted(r["slot"] for r in got if r["shard"] == shard) == list(range(sum(r["shard"] == shard for r in got)))
+
+
 def test_shards(spark, monkeypatch):
     rng = np.random.default_rng(2)
     rows = [(i, "é" * int(rng.integers(1, 400))) for i in range(500)] + [(900, None), (901, None), (902, "x" * 3000), (None, "same"), (903, "same"), (903, "same")]
