@@ -26,6 +26,14 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(whole(text), SPACE_CLASS), lambda w: w != "")
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """The name, lengthened until none of ``taken`` is like it."""
+    known = {c.lower() for c in taken}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
     """Whether crc32 of the id as text leaves ``part``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % parts == part

@@ -37,6 +37,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from .columns import free_name
 from .components import arrow_batches, components, written
 
 MINIMA = 128
@@ -474,5 +475,6 @@ def _near_duplicates(spark: SparkSession, documents: DataFrame, doc_id: str, tex
 def drop_near_duplicates(spark: SparkSession, documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with one of each group; rows that repeat an id and text are one document."""
     judged = near_duplicates(spark, documents, doc_id, text)
-    removed = judged.groupBy(F.col("id").alias("__id")).agg(F.max("kept").alias("kept")).where("not kept").select("__id")
-    return documents.join(removed, F.col(f"`{doc_id}`") == F.col("__id"), "left_anti").dropDuplicates([doc_id, text])
+    gone = free_name(documents.columns, "gone")
+    removed = judged.groupBy(F.col("id").alias(gone)).agg(F.max("kept").alias("kept")).where("not kept").select(gone)
+    return documents.join(removed, F.col(f"`{doc_id}`") == F.col(gone), "left_anti").dropDuplicates([doc_id, text])

@@ -52,6 +52,26 @@ def test_dropping(spark):
     kept = minhash.drop_near_duplicates(spark, frame)
     assert kept.columns == frame.columns and sorted((r["id"] for r in kept.collect())) == [2, 3, 4]
     assert minhash.near_duplicates(spark, frame.limit(0)).count() == 0
+    clashing = frame.withColumnsRenamed({"id": "gone"}).selectExpr("*", "1 as `__id`", "2 as kept", "3 as component")
+    again = minhash.drop_near_duplicates(spark, clashing)
+    assert again.columns == clashing.columns and sorted(r["gone"] for r in again.collect()) == [2, 3, 4]
+
+
+def test_limits_of_batches_are_put_back(spark):
+    names = [f"spark.sql.execution.arrow.{n}" for n in ("maxRecordsPerBatch", "maxBytesPerBatch")]
+    before = [spark.conf.get(n) for n in names]
+    long = spark.range(300, numPartitions=1).selectExpr("repeat('x', 10000) as text")
+
+    def largest(batches):
+        import pyarrow as pa
+
+        yield pa.RecordBatch.from_arrays([pa.array([max(b.nbytes for b in batches)])], names=["n"])
+
+    with components.arrow_batches(spark, 1000, 100_000):
+        assert [spark.conf.get(n).rstrip("b") for n in names] == ["1000", "100000"]
+        assert long.mapInArrow(largest, "n long").first()["n"] < 200_000
+    assert [spark.conf.get(n) for n in names] == before
+    assert long.mapInArrow(largest, "n long").first()["n"] > 2_000_000
 
 
 def vector_links(rows, least=0.95):
