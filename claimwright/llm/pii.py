@@ -6,7 +6,8 @@
 2. The words before a seed or candidate are its lexical patterns. Patterns and instances form a
    bipartite graph with one edge per pattern and distinct value. Round by round, a pattern's
    confidence is the share of its values that are trusted for a kind, and a value's trust is the
-   chance that at least one of its patterns is right.
+   chance that at least one of its patterns is right. Values of no known kind whose shape suits
+   the kind are what the method looks for, so they count against a pattern by ``doubt`` only.
 3. A candidate whose shape suits a kind and whose trust for it passes ``min_trust``, carried by a
    pattern with enough different trusted values, is a found identifier of that kind.
 
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from claimwright.session import scratch_path
 
-from .columns import let, matches, whole
+from .columns import free_name, let, matches, whole
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -46,6 +47,7 @@ class Bootstrap:
     rounds: int = 3
     min_trust: float = 0.8
     min_support: float = 3.0  # trusted different values of an accepted pattern
+    doubt: float = 0.25  # weight against a pattern of its unknown values that suit the kind
     decay: float = 0.95  # of trust handed on by a pattern
     context: int = 80  # characters before an identifier that are looked at for its words
 
@@ -139,12 +141,20 @@ def trusted_values(places: DataFrame, options: Bootstrap) -> DataFrame:
         .select("pattern", "value", *[F.coalesce(F.col(f"seed_{k}"), F.lit(0.0)).alias(f"trust_{k}") for k in KINDS])
     )
     seed = reduce(Column.__or__, [F.col(f"trust_{k}") > 0 for k in KINDS])
+    fits = [(~seed & suits(F.col("value"), k)).cast("double").alias(f"fits_{k}") for k in KINDS]
+    edges = edges.select("*", *[F.col(f"trust_{k}").alias(f"seed_{k}") for k in KINDS], *fits)
     trust = edges
+
+    def confidence(k: str) -> Column:
+        unknown = F.greatest(F.col(f"fits_{k}") - F.col(f"support_{k}") + F.col(f"seeds_{k}"), F.lit(0.0))
+        others = F.col("values") - F.col(f"fits_{k}") - F.col(f"seeds_{k}")
+        return F.col(f"support_{k}") / (F.col(f"support_{k}") + others + options.doubt * unknown)
     for last in [False] * (options.rounds - 1) + [True]:
-        patterns = trust.groupBy("pattern").agg(F.count(F.lit(1)).alias("values"), *[F.sum(f"trust_{k}").alias(f"support_{k}") for k in KINDS])
+        sums = [F.sum(f"{was}_{k}").alias(f"{name}_{k}") for was, name in (("trust", "support"), ("seed", "seeds"), ("fits", "fits")) for k in KINDS]
+        patterns = trust.groupBy("pattern").agg(F.count(F.lit(1)).alias("values"), *sums)
         confident = patterns.select(
             "pattern",
-            *[F.when(F.col(f"support_{k}") >= options.min_support, F.col(f"support_{k}") / F.col("values")).otherwise(0.0).alias(f"sure_{k}") for k in KINDS],
+            *[F.when(F.col(f"support_{k}") >= options.min_support, confidence(k)).otherwise(0.0).alias(f"sure_{k}") for k in KINDS],
         ).where(reduce(Column.__or__, [F.col(f"sure_{k}") >= options.min_trust for k in KINDS]))
         unseen = edges.where(~seed).select("pattern", "value")
         # the chance that none of a value's patterns is right, as a sum of logarithms
@@ -157,7 +167,8 @@ def trusted_values(places: DataFrame, options: Bootstrap) -> DataFrame:
         if last:
             best = F.greatest(*[F.struct(F.col(f"t_{k}").alias("trust"), F.lit(-i).alias("order"), F.lit(k).alias("kind")) for i, k in enumerate(KINDS)])
             return scores.select("value", best.alias("best")).where(F.col("best.trust") >= options.min_trust * options.decay).select("value", F.col("best.kind").alias("kind"))
-        trust = edges.join(scores, "value", "left").select("pattern", "value", *[F.greatest(F.col(f"trust_{k}"), F.coalesce(F.col(f"t_{k}"), F.lit(0.0))).alias(f"trust_{k}") for k in KINDS])
+        known = [f"{name}_{k}" for name in ("seed", "fits") for k in KINDS]
+        trust = edges.join(scores, "value", "left").select("pattern", "value", *known, *[F.greatest(F.col(f"trust_{k}"), F.coalesce(F.col(f"t_{k}"), F.lit(0.0))).alias(f"trust_{k}") for k in KINDS])
     raise ValueError("at least one round is needed")
 
 
@@ -190,10 +201,11 @@ def redact(spark: SparkSession, documents: DataFrame, doc_id: str = "doc_id", te
     Overlapping spans become one, named by the first. Null texts stay null.
     """
     found = find_identifiers(spark, documents, doc_id, text, options).select("doc_id", "text_hash", F.concat("base", "added").alias("spans")).where(F.size("spans") > 0).distinct()
-    found = found.withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash", "spans": "__spans"})
+    of, hashed, spans = (free_name(documents.columns, name) for name in ("of", "hashed", "spans"))
+    found = found.toDF(of, hashed, spans)
     value = whole(F.col(f"`{text}`"))
     merged = F.aggregate(
-        F.array_sort(F.transform("__spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))),
+        F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))),
         F.array().cast("array<struct<start:bigint,end:bigint,kind:string>>"),
         lambda done, s: let(
             F.get(done, F.size(done) - 1),
@@ -212,6 +224,6 @@ def redact(spark: SparkSession, documents: DataFrame, doc_id: str = "doc_id", te
         rest = F.substring(value, (F.element_at(spans, -1)["end"] + 1).cast("int"), F.length(value))
         return F.concat(F.array_join(F.transform(spans, piece), ""), rest)
 
-    joined = documents.join(found, F.col(f"`{doc_id}`").eqNullSafe(F.col("__id")) & (F.xxhash64(value) == F.col("__hash")), "left")
-    new = F.when(F.col("__spans").isNull(), F.col(f"`{text}`")).otherwise(let(merged, rebuilt))
+    joined = documents.join(found, F.col(f"`{doc_id}`").eqNullSafe(F.col(of)) & (F.xxhash64(value) == F.col(hashed)), "left")
+    new = F.when(F.col(spans).isNull(), F.col(f"`{text}`")).otherwise(let(merged, rebuilt))
     return joined.select(*[new.alias(c) if c == text else F.col(f"`{c}`") for c in documents.columns])

@@ -55,6 +55,16 @@ def test_words_of_lines_and_shares_of_stock_phrases(spark):
     assert kept == {0: tabbed, 1: paragraph, 2: paragraph}
 
 
+def test_verdict_against_brute_force(spark):
+    rnd = random.Random(3)
+    pieces = ["the meeting is held", "Home", "|", "›", "click here", "all rights reserved", "###", "!!", "??", "what a day.", "read more", "$", "a plain line of words that ends well.", "cookie", "\t", "licensed under"]
+    rows = [(i, "\n".join(" ".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 6))) for _ in range(rnd.randint(1, 8)))) for i in range(800)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["base_failed"], r["text"], r["kept"]) for r in quality.judge(frame.select("doc_id", "text")).select("doc_id", "judged.base_failed", "judged.text", "judged.kept").collect()}
+    want = {i: brute.cleaned(t) for i, t in rows}
+    assert got == want and 50 < sum(w[2] for w in want.values()) < 750  # both verdicts occur
+
+
 def test_documents_are_judged_once(spark):
     frame = spark.createDataFrame([(0, "x")], "doc_id long, text string")
     plan = quality.clean_documents(frame)._jdf.queryExecution().optimizedPlan().toString()
@@ -87,9 +97,29 @@ def test_bootstrap_and_redaction(spark):
     texts = {r["doc_id"]: r["text"] for r in pii.redact(spark, frame).collect()}
     assert texts[0] == texts[50] == "please dial phone: [PHONE] now" and texts[51] == "it was 5551234567 items" and texts[53] is None
     assert pii.redact(spark, frame).count() == len(rows) and pii.redact(spark, frame).columns == frame.columns
+    clashing = frame.selectExpr("*", "1 as `__id`", "2 as `__hash`", "'y' as `__spans`", "3 as of", "4 as hashed", "5 as base")
+    again = pii.redact(spark, clashing)
+    assert again.columns == clashing.columns and {r["doc_id"]: r["text"] for r in again.collect()} == texts
     assert pii.find_identifiers(spark, frame.limit(0)).count() == 0
 
 
+def test_hidden_seeds_come_back(spark):
+    """A third of the numbers lose the plus that makes them seeds; their contexts bring them back, and no others."""
+    rnd = random.Random(4)
+    contexts = ["my mobile is", "reach us under", "hotline number:"]
+    rows, hidden = [], {}
+    for i in range(90):
+        number = f"({rnd.randint(200, 999)}) 555-{rnd.randint(1000, 9999)}"
+        text = f"well then {contexts[i % 3]} {'' if i // 3 % 3 == 0 else '+1 '}{number} as said"
+        if i // 3 % 3 == 0:
+            hidden[i] = ("phone", text.index(number), text.index(number) + len(number))
+        rows.append((i, text))
+    rows += [(1000 + i, f"the parts list shows {rnd.randint(10**7, 10**8)} in row {i}") for i in range(40)]
+    found = pii.find_identifiers(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    added = {r["doc_id"]: [tuple(s) for s in r["added"]] for r in found if r["added"]}
+    assert added == {i: [span] for i, span in hidden.items()}
+
+
 def test_spelled_at_signs(spark):
     rows = [(k, f"please write mail: user{k}@example.com now") for k in range(12)]
     rows += [(50, "please write mail: john(at)example.com now"), (51, "please write mail: jane[at]example.org now"), (52, "please write mail: (at)x now"), (53, "seen sam(at)home only"), (54, "w" * 200_000 + "(at)")]
