@@ -6,8 +6,8 @@
 2. A shard merges the counts of all chunks into a trie (``ngram_trie``), and answers every chunk:
    token counts and one-byte smoothed probabilities, by context-relative successor search.
 3. Back at its documents, a chunk adds up the logarithms. No counts, vocabulary or trie pass the
-   driver, a frequent pair is one entry per chunk, and chunks and shards keep their size while
-   their number follows the input.
+   driver, a frequent pair is one entry per chunk, and the number of chunks and shards follows the
+   input. Their size stays, but for the shard of a very common word, which holds all its successors.
 
 The model interpolates: p(w | v) = max(c(v, w) - D, 0) / c(v) + D * n(v) / c(v) * p(w), with n(v)
 different successors and p(w) = (c(w) + 1) / (N + V + 1); an unseen context leaves p(w). Words are
