@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from claimwright.operators import forest, models
 from claimwright.operators.registry import ModelRegistry
@@ -102,6 +103,44 @@ def test_hot_and_constant_values_end(spark, monkeypatch):
         fitted(frame.limit(0), trees=1)
 
 
+def test_large_nodes_without_a_split_are_leaves_and_send_no_rows(spark, monkeypatch):
+    """No task gets more rows than the bound, however many rows are alike or however shallow the trees are."""
+    monkeypatch.setattr(forest, "SUBTREE_BYTES", 20 * 40)
+    rows = [(float(i % 2), 1.0, 7.0, float(i % 3), i) for i in range(200)] + [(1e9, 1.0, 7.0, 50.0, 300), (5.0, 1.0, 7.0, 60.0, 301)]
+    frame = spark.createDataFrame(rows, "a double, b double, c double, y double, i int")
+    x = np.array([r[:3] for r in rows])
+    for options in ({"bootstrap": False}, {"max_depth": 1}, {"max_depth": 0}):
+        model = fitted(frame, trees=3, **options)
+        for (tree, node), _ in forest.units_of(model.tops)[0].items():
+            assert (forest.descend(x, *model.tops[tree].arrays()) == node).sum() <= 20
+        got = predictions(model, frame)
+        assert len(got) == len(rows) and all(0 <= v <= 60 for v in got.values())
+        if "bootstrap" in options:
+            assert got[300] == 50 and got[301] == 60
+            assert [got[0], got[1]] == pytest.approx([np.mean([i % 3 for i in range(k, 200, 2)]) for k in (0, 1)])
+        if options.get("max_depth") == 0:
+            assert len(set(got.values())) == 1
+
+
+def test_scored_rows_travel_once_per_group_of_trees(frame, monkeypatch):
+    want = predictions(fitted(frame, trees=7), frame)
+    rows = models.assemble(frame, NAMES).selectExpr("cast(i as long) as row").withColumn("x", F.array(F.lit(1.0), F.lit(2.0), F.lit(3.0)))
+    sent = rows.mapInArrow(forest._dealt(3, 4, 2), "slot int, block binary").collect()
+    for slot in range(8):
+        assert sum(len(forest.unsealed(r["block"])[0]) for r in sent if r["slot"] % 2 == slot % 2) == 4 * sum(len(forest.unsealed(r["block"])[0]) for r in sent if r["slot"] == slot)
+    assert sum(len(forest.unsealed(r["block"])[0]) for r in sent) == 4 * 601
+    monkeypatch.setattr(forest, "SCORED_TREES", 2)
+    monkeypatch.setattr(forest, "SCORED_BYTES", 200 * 24)
+    monkeypatch.setattr(forest, "SUBTREE_BYTES", 60 * 40)
+    monkeypatch.setattr(forest, "TREES", 3)
+    split = fitted(frame, trees=7)
+    assert len(split.tops[0].feature) > 1
+    got = predictions(split, frame)
+    assert got.keys() == want.keys() and np.corrcoef([got[i] for i in want], list(want.values()))[0, 1] > 0.95
+    monkeypatch.undo()
+    assert predictions(split, frame) == pytest.approx(got)  # in one block, all trees together
+
+
 def test_a_forest_is_saved_and_loaded(spark, frame, tmp_path):
     train = frame.where("y is not null")
     result = models.train_model("random_forest", train, train, NAMES, "y", {"n_estimators": 20, "max_depth": None, "min_samples_split": 5}, "1")
