@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import columns as fx
 from .features import bin_quantile
+from .models import training_cache
 from .neighbours import neighbour_information
 from .profile import _correlations, correlation_matrix
 
@@ -100,7 +101,10 @@ def selected(df: DataFrame, target: str, scores: DataFrame, feature: str = "feat
 def forest_importances(
     df: DataFrame, target: str, names: Sequence[str], trees: int, depth: int, seed: int = 42, fill: float = 0.0
 ) -> dict[str, float]:
-    """Importances over all rows; missing features (null or NaN) count as ``fill``."""
+    """Importances over all rows; missing features (null or NaN) count as ``fill``.
+
+    The fit's tasks are the partitions of ``df``, so spread it over all cores (``training_cache``).
+    """
     filled = [F.coalesce(fx.known(df, c).cast("double"), F.lit(fill)).alias(c) for c in names]
     vectors = VectorAssembler(inputCols=list(names), outputCol="features", handleInvalid="error").transform(
         df.select(*filled, fx.quoted(target))
@@ -116,7 +120,9 @@ def select_importance(
 ) -> DataFrame:
     """The most important features of a random forest."""
     names = [c for c in fx.present(df, columns or fx.numeric_columns(df)) if c != target]
-    found = forest_importances(df, target, names, trees, depth)
+    rows = training_cache(df.select(*[fx.quoted(c) for c in [*names, target]]))
+    found = forest_importances(rows, target, names, trees, depth)
+    rows.unpersist()
     scores = df.sparkSession.createDataFrame(list(found.items()), "feature string, importance double")
     return top_features(scores, "importance", n_features)
 
@@ -132,13 +138,16 @@ def select_rfe(
 ) -> list[str]:
     """Refit and drop the ``step`` least important features until ``n_features`` are left.
 
-    Persist ``df`` first if it is expensive: each round is one distributed fit over it.
+    Each round is one distributed fit over rows that are cached and spread over all cores once.
     """
     left = [c for c in fx.present(df, columns or fx.numeric_columns(df)) if c != target]
+    rows = training_cache(df.select(*[fx.quoted(c) for c in [*left, target]])) if len(left) > n_features else df
     while len(left) > n_features:
-        scores = forest_importances(df, target, left, trees, depth)
+        scores = forest_importances(rows, target, left, trees, depth)
         worst = sorted(left, key=lambda c: scores[c])[: min(step, len(left) - n_features)]
         left = [c for c in left if c not in set(worst)]
+    if rows is not df:
+        rows.unpersist()
     return left
 
 

@@ -266,3 +266,29 @@ def test_registered_tree_queries_use_the_defaults(spark, sf_dir, monkeypatch):
     for name in ("select_importance", "select_rfe"):
         all_queries()[name](spark, sf_dir)
     assert set(forests) == {(100, 10), (50, 8)}
+
+
+def test_boosting_keeps_two_copies_of_its_weights(spark, frame):
+    import os
+
+    from claimwright.session import shared_folder
+
+    root = shared_folder(spark).removeprefix("file:")
+
+    def files():
+        return {os.path.join(d, f) for d, _, names in os.walk(root) for f in names if f.startswith("part-") and os.path.getsize(os.path.join(d, f))}
+
+    df, before = models.assemble(spark.createDataFrame(frame.head(200)).coalesce(1), NAMES), files()
+    model = models.AdaBoostR2("y", rounds=5, max_depth=2, checkpoint_every=1).fit(df)
+    assert len(model.trees) == 5 and 0 < len({os.path.dirname(f) for f in files() - before}) <= 2
+
+
+def test_selecting_forests_use_all_cores(spark, frame, monkeypatch):
+    from claimwright.operators import select
+
+    seen = []
+    monkeypatch.setattr(select, "forest_importances", lambda df, target, names, *_: seen.append(df.rdd.getNumPartitions()) or {n: float(i) for i, n in enumerate(names)})
+    df = spark.createDataFrame(frame).coalesce(1)
+    select.select_importance(df, "y", 1, columns=NAMES)
+    assert select.select_rfe(df, "y", 1, 1, columns=NAMES) == NAMES[-1:]
+    assert len(seen) == len(NAMES) and min(seen) >= spark.sparkContext.defaultParallelism
