@@ -40,7 +40,9 @@ def parse_lines(lines: DataFrame, schema: T.StructType, sep: str = ",", na_value
     """
     texts = T.StructType([T.StructField(f"f{i}", T.StringType()) for i in range(len(schema.fields))] + [T.StructField("ragged", T.StringType())])
     options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "ragged"}
-    parsed = lines.select(fx.quoted(column).alias("line"), F.from_csv(fx.quoted(column), texts.simpleString()[7:-1].replace(":", " "), options).alias("f"))
+    fields_of = F.from_csv(fx.quoted(column), texts.simpleString()[7:-1].replace(":", " "), options)
+    # as rows of a generator the fields are parsed once, also below a filter on what is made of them
+    parsed = lines.select(fx.quoted(column).alias("line"), F.explode(F.array(fields_of)).alias("f"))
     fields, wrong = {}, []
     for i, f in enumerate(schema.fields):
         text = F.col(f"f.f{i}")

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from claimwright.operators import models
 from claimwright.session import scratch_path, shared_folder
@@ -218,3 +218,16 @@ def test_trees_deeper_than_possible(spark):
         models.train_model("gradient_boosting", df, df, ["x"], "y", {"n_estimators": 1, "max_depth": 50})
     deep = models.train_model("random_forest", df, df, ["x"], "y", {"n_estimators": 1, "max_depth": 50, "bootstrap": False})
     assert deep.scores["train"]["r2"] == 1
+
+
+def test_lines_are_parsed_once_for_each_side(spark):
+    from claimwright.streaming.ingest import parse_lines
+
+    lines = spark.createDataFrame([("1|2.5",), ("x|1",), ("1",), (None,), ("",)], "value string")
+    rows = parse_lines(lines, T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.DoubleType())]), "|")
+    good, bad = rows.where("error IS NULL").drop("line", "error"), rows.where("error IS NOT NULL").select("line", "error")
+    assert [tuple(r) for r in good.where("a is not null").collect()] == [(1, 2.5)]
+    assert {("x|1", "bad value: a"), ("1", "wrong number of fields")} <= {tuple(r) for r in bad.collect()}
+    assert rows.count() == 5
+    for side in (good, bad):
+        assert side._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 1
