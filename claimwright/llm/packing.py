@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 # What the vocabulary's own pattern splits, for texts of these letters only.
 PLAIN = re.compile(r"[\t-\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
-PLAIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+# letters come first, since most words begin with one and no other alternative does
+PLAIN_WORDS = re.compile(r"[a-zß-öø-ÿ]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 WORD_END = "</w>"
 
 
@@ -80,10 +82,10 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         plain = [PLAIN.fullmatch(t) is not None and "<|" not in t for t in texts]
         found = [PLAIN_WORDS.findall(t.lower()) if p else [] for t, p in zip(texts, plain)]
-        words = [w for f in found for w in f]
+        words = list(chain.from_iterable(found))
         if len(self.places) > self.CACHED_WORDS:
             self._forget()
-        new = [w for w in dict.fromkeys(words) if w not in self.places]
+        new = list(set(words).difference(self.places))
         if new:
             self._learn(new)
         place = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))

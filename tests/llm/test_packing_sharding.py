@@ -138,3 +138,13 @@ def test_shards(spark, monkeypatch):
         sums = [sum(r["size"] for r in members) for members in held.values()]
         assert max(sums) - min(sums) <= 0.02 * sum(sums)
     assert sharding.shard_documents(spark, frame.limit(0), 4).count() == 0
+
+
+def test_words_are_those_of_the_vocabularys_order_of_alternatives():
+    import re
+
+    from claimwright.llm import packing
+
+    as_given = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+    for text in ("it's we'll 'tis 12'd x''s !'re a'b é'm", "''d'", "don't 'S 'vex 3're", "", "ll'ms\t'\n's's"):
+        assert packing.PLAIN_WORDS.findall(text) == as_given.findall(text)
