@@ -1,8 +1,11 @@
-"""Boosted trees over binned rows."""
+"""Boosted trees over binned rows against MLlib's trees, and how much work they are."""
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
+from pyspark.sql import functions as F
+
 from claimwright.operators import boost, models
 from claimwright.operators.registry import ModelRegistry
 
@@ -32,14 +35,65 @@ def jobs(spark, body):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+@pytest.mark.parametrize("leaf", [1, 20])
+def test_gradient_boosting_matches_mllib(vectors, leaf):
+    ours = boost.GradientBoosting("y", 12, 0.3, 4, leaf, checkpoint_every=5).fit(vectors)
+    theirs = GBTRegressor(labelCol="y", maxIter=12, maxDepth=4, stepSize=0.3, minInstancesPerNode=leaf, seed=42).fit(vectors)
+    assert predicted(ours, vectors) == pytest.approx(predicted(theirs, vectors))
+    assert ours.importances() == pytest.approx(theirs.featureImportances.toArray().tolist())
+
+
+def test_gradient_boosting_takes_one_job_a_level(spark, vectors):
+    assert jobs(spark, lambda: models.fit_regressor("gradient_boosting", vectors, "y", {"n_estimators": 20, "max_depth": 2})) <= 20 * 2 + 20
+
+
+def test_rows_of_one_partition_are_spread(spark, monkeypatch):
+    rows = spark.range(0, 80_000, 1, 1).selectExpr("id % 17 * 1.0D as f", "id % 31 * 1.0D as y")
+    seen = []
+    persist = type(rows).persist
+    monkeypatch.setattr(type(rows), "persist", lambda df, *a: seen.append(df.rdd.getNumPartitions()) or persist(df, *a))
+    models.fit_regressor("gradient_boosting", models.assemble(rows, ["f"]), "y", {"n_estimators": 2})
+    assert seen and min(seen) >= 3  # blocks of 2^15 rows at least
+
+
 def test_adaboost_takes_two_jobs_a_round_besides_its_levels(spark, vectors):
     assert jobs(spark, lambda: boost.AdaBoostR2("y", rounds=12, max_depth=2, checkpoint_every=100).fit(vectors)) <= 12 * 4 + 20
 
 
+def test_features_of_many_values_are_cut_by_quantiles_of_all_rows(vectors, monkeypatch):
+    monkeypatch.setattr(boost, "EXACT", 50)
+    cells = boost.cells_of(vectors.select(boost.vector_to_array("features").alias("x")), 3)
+    assert cells.exact == [False, False, True] and len(cells.values[0]) > 400
+    exact = predicted(GBTRegressor(labelCol="y", maxIter=8, maxDepth=3, seed=42).fit(vectors), vectors)
+    rough = predicted(boost.GradientBoosting("y", 8, 0.1, 3).fit(vectors), vectors)
+    assert np.corrcoef(exact, rough)[0, 1] > 0.99
+
+
+def test_deep_levels_may_take_several_scans(vectors, monkeypatch):
+    whole = boost.GradientBoosting("y", 2, 0.1, 12).fit(vectors)
+    monkeypatch.setattr(boost, "SUM_BYTES", 24 * 3 * boost.BINS * 3)  # three nodes a scan
+    assert predicted(boost.GradientBoosting("y", 2, 0.1, 12).fit(vectors), vectors) == predicted(whole, vectors)
+
+
+def test_odd_labels_and_values(spark, vectors):
+    with pytest.raises(ValueError):
+        boost.GradientBoosting("y").fit(vectors.withColumn("y", F.when(F.col("i") > 3, F.col("y"))))
+    with pytest.raises(ValueError):
+        boost.AdaBoostR2("y").fit(vectors.where("false"))
+    constant = vectors.withColumn("y", F.lit(0.1))
+    model = boost.GradientBoosting("y", 3).fit(constant)
+    assert [len(t.feature) for t in model.trees] == [1, 1, 1] and predicted(model, constant)[0] == pytest.approx(0.1)
+    stump = boost.GradientBoosting("y", 1, 0.1, 0).fit(vectors)
+    assert predicted(stump, vectors)[0] == pytest.approx(vectors.agg(F.avg("y")).first()[0])
+    few = vectors.where("i < 3").withColumn("y", F.col("i").cast("double"))
+    tree = DecisionTreeRegressor(labelCol="y", maxDepth=3).fit(few)
+    assert predicted(boost.GradientBoosting("y", 1, 0.1, 3).fit(few), few) == predicted(tree, few)
+
+
 def test_boosted_models_come_back_from_the_registry(spark, vectors, tmp_path):
     registry = ModelRegistry(spark, str(tmp_path / "registry"))
     df = vectors.drop("features")
-    for kind in ("adaboost",):
+    for kind in ("gradient_boosting", "adaboost"):
         result = models.train_model(kind, df, df, NAMES, "y", {"n_estimators": 3}, "1")
         registry.save(result, kind)
         loaded = registry.load(kind)
