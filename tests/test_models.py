@@ -292,3 +292,19 @@ def test_selecting_forests_use_all_cores(spark, frame, monkeypatch):
     select.select_importance(df, "y", 1, columns=NAMES)
     assert select.select_rfe(df, "y", 1, 1, columns=NAMES) == NAMES[-1:]
     assert len(seen) == len(NAMES) and min(seen) >= spark.sparkContext.defaultParallelism
+
+
+def test_one_table_on_both_sides_is_scored_once_and_without_vectors(spark, df, monkeypatch):
+    from claimwright.operators.features import FeatureState
+    from claimwright.operators.scale import fit_scalers
+
+    state, scored = FeatureState(fit_scalers(df, NAMES, "zscore"), {}, NAMES), []
+    metrics = models._metrics
+    monkeypatch.setattr(models, "_metrics", lambda rows, label: scored.append(rows) or metrics(rows, label))
+    result = models.train_model("ridge", df, df, NAMES, "y", None, "1", state)
+    assert len(scored) == 1 and set(result.scores["train"]) == set(result.scores["validation"]) == {"r2", "rmse", "mae"}
+    assert result.scores["train"] == result.scores["validation"] and result.rows == 1000
+    raw = result.model.transform(df)
+    assert "UDF" not in raw._jdf.queryExecution().optimizedPlan().toString()
+    through = result.model.regressor.transform(models.with_vectors(df, NAMES, state))
+    assert sorted(r[0] for r in raw.select("prediction").collect()) == sorted(r[0] for r in through.select("prediction").collect())
