@@ -46,6 +46,21 @@ def test_one_tree_in_memory_equals_brute_force(depth, least):
     assert got.predict(x[held]) == pytest.approx([tree(r) for r in x[held]])
 
 
+def test_levels_of_many_rows_are_split_in_groups_to_the_same_tree(monkeypatch):
+    x, y = sample(3000, 9)
+    w = forest.weights_of(np.arange(len(y)), 1, 42, True)
+    ranked, growth = forest.Ranked(x), forest.Growth(2, None, 2)
+    whole = forest.grow(ranked, y, w, growth, 1)
+    sizes, cuts = [], forest.best_cuts
+    monkeypatch.setattr(forest, "NEAR_ROWS", 100)
+    monkeypatch.setattr(forest, "best_cuts", lambda codes, *rest: sizes.append((codes.shape[1], len(rest[2]))) or cuts(codes, *rest))
+    parts = forest.grow(ranked, y, w, growth, 1)
+    assert max(rows for rows, nodes in sizes if nodes > 1) <= 200  # a larger node is alone
+    assert (parts.feature == whole.feature).all() and (parts.left == whole.left).all() and len(parts.feature) > 2000
+    assert parts.threshold == pytest.approx(whole.threshold) and parts.value == pytest.approx(whole.value) and parts.gains == pytest.approx(whole.gains)
+    assert (forest.Subtree.of(parts.sealed()).predict(x) == parts.predict(x)).all()
+
+
 def test_weights_are_poisson_and_repeatable():
     w = forest.weights_of(np.arange(200_000), 5, 42, True)
     assert abs(w.mean() - 1) < 0.01 and abs((w == 0).mean() - np.exp(-1)) < 0.01
