@@ -47,6 +47,21 @@ def test_gradient_boosting_takes_one_job_a_level(spark, vectors):
     assert jobs(spark, lambda: models.fit_regressor("gradient_boosting", vectors, "y", {"n_estimators": 20, "max_depth": 2})) <= 20 * 2 + 20
 
 
+def test_rows_of_equal_bins_are_one_row_with_their_number_and_mean(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    frame = pd.DataFrame({"a": rng.integers(0, 6, 4000) * 1.0, "b": rng.integers(0, 5, 4000) * 1.0, "y": rng.normal(1e6, 3, 4000), "i": range(4000)})
+    rows = models.assemble(spark.createDataFrame(frame).repartition(2), ["a", "b"])
+    counted = []
+    merged = boost.merged_rows
+    monkeypatch.setattr(boost, "merged_rows", lambda *a: counted.append([len(y) for _, y, _ in boost.arrays_of(merged(*a).toArrow().to_batches(), np.uint8)]) or merged(*a))
+    want = frame.groupby(["a", "b"]).y.mean()
+    for most in (boost.MERGED_ROWS, 7):  # with more keys than a task holds, rows stay in pieces
+        monkeypatch.setattr(boost, "MERGED_ROWS", most)
+        got = boost.GradientBoosting("y", 1, 0.1, 9).fit(rows).transform(rows).select("a", "b", "prediction").distinct().collect()
+        assert {(r["a"], r["b"]): r["prediction"] for r in got} == pytest.approx(want.to_dict(), rel=1e-12) and len(got) == 30
+    assert all(30 <= sum(c) <= 30 * 2 for c in counted) and len(counted) == 2
+
+
 def test_rows_of_one_partition_are_spread(spark, monkeypatch):
     rows = spark.range(0, 80_000, 1, 1).selectExpr("id % 17 * 1.0D as f", "id % 31 * 1.0D as y")
     seen = []
