@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import columns as fx
+from .bagged import BaggedTrees
 from .features import bin_quantile
 from .models import training_cache
 from .neighbours import neighbour_information
@@ -101,18 +101,12 @@ def selected(df: DataFrame, target: str, scores: DataFrame, feature: str = "feat
 def forest_importances(
     df: DataFrame, target: str, names: Sequence[str], trees: int, depth: int, seed: int = 42, fill: float = 0.0
 ) -> dict[str, float]:
-    """Importances over all rows; missing features (null or NaN) count as ``fill``.
-
-    The fit's tasks are the partitions of ``df``, so spread it over all cores (``training_cache``).
-    """
+    """Importances over all rows; missing features (null or NaN) count as ``fill``."""
     filled = [F.coalesce(fx.known(df, c).cast("double"), F.lit(fill)).alias(c) for c in names]
     vectors = VectorAssembler(inputCols=list(names), outputCol="features", handleInvalid="error").transform(
         df.select(*filled, fx.quoted(target))
     )
-    forest = RandomForestRegressor(
-        featuresCol="features", labelCol=target, numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", seed=seed
-    )
-    return dict(zip(names, forest.fit(vectors).featureImportances.toArray().tolist()))
+    return dict(zip(names, BaggedTrees(target, trees, depth, seed).importances(vectors)))
 
 
 def select_importance(
