@@ -114,3 +114,32 @@ def test_boosted_models_come_back_from_the_registry(spark, vectors, tmp_path):
         loaded = registry.load(kind)
         assert predicted(loaded, df) == predicted(result.model, df)
         assert models.importances_of(loaded.regressor, NAMES) == result.importances
+
+
+def test_small_trees_descend_as_large_ones_do(monkeypatch):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(3, 500))
+    trees = [boost.Tree([0, 1, -1, 2, -1, -1, -1], [rng.normal(), rng.normal(), 0.0, rng.normal(), 0.0, 0.0, 0.0], [1, 3, 0, 5, 0, 0, 0], list(rng.integers(0, 4, 7) * 1.0), [], 3) for _ in range(30)]
+    trees.append(boost.Tree())
+    flat, weights, taken = boost.FlatTrees.of(trees), rng.random(31), []
+    plain = np.stack([[t.value[walk(t, row)] for row in x.T] for t in trees])
+    monkeypatch.setattr(flat, "scored", lambda x, kind, merge, each=None: taken.append(merge((each or flat.each)(x), x.shape[1]).to_numpy()))
+    for most in (boost.SMALL, 0):
+        monkeypatch.setattr(boost, "SMALL", most)
+        assert (np.stack(list(flat.each(x))) == plain).all()
+        flat.medians(x, weights)
+        order = np.argsort(plain, axis=0, kind="stable")
+        first = (np.cumsum(weights[order], axis=0) >= sum(weights) / 2).argmax(axis=0)
+        assert (taken.pop() == np.take_along_axis(plain, np.take_along_axis(order, first[None], axis=0), axis=0)[0]).all()
+
+
+def walk(tree, row):
+    node = 0
+    while tree.feature[node] >= 0:
+        node = tree.left[node] + (row[tree.feature[node]] > tree.threshold[node])
+    return node
+
+
+def test_adaboost_takes_one_job_a_round_besides_its_deeper_levels_and_loss(spark, vectors):
+    """The root's sums come with those of the cells."""
+    assert jobs(spark, lambda: boost.AdaBoostR2("y", rounds=12, max_depth=2, checkpoint_every=100).fit(vectors)) <= 12 * 4 + 12
